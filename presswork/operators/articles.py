@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presswork.functions.text import MAX_CHARS, normalize_text, scoring_text
@@ -29,18 +29,16 @@ def dedup_articles(
 ) -> DataFrame:
     """One row per ``(url_hash, fingerprint)``, nulls being equal to each other.
 
-    Which copy stays is left to Spark, unless ``order_by`` names what the survivor
-    has least of. Both forms aggregate before they shuffle, so a key that holds a
-    large share of the rows arrives as one row per map task.
+    Which copy stays is left to Spark, unless ``order_by`` names the order whose first
+    row survives. Either way copies are dropped before the shuffle as well as behind it
+    (as a partial aggregate, or a limit on the rows per key), so that a key with a large
+    share of the rows arrives as one row per map task, and unused columns are pruned.
     """
     if not order_by:
         return df.dropDuplicates(IDENTITY)
-    payload = [name for name in df.columns if name not in IDENTITY]
-    first = F.min_by(F.struct(*payload), F.struct(*order_by)).alias("_first")
-    survivors = df.groupBy(*IDENTITY).agg(first)
-    return survivors.select(
-        *[name if name in IDENTITY else F.col(f"_first.{name}") for name in df.columns]
-    )
+    copies = Window.partitionBy(*IDENTITY).orderBy(*order_by)
+    numbered = df.withColumn("_copy", F.row_number().over(copies))
+    return numbered.filter(F.col("_copy") == 1).drop("_copy")
 
 
 def prepare_articles(

@@ -26,7 +26,7 @@ from presswork.operators import (
 from presswork.plans import demo
 from presswork.plans.enrich import enrich
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, CONSOLE_FIELDS, IDENTITY
-from presswork.sinks import ParquetSink, kafka_payload
+from presswork.sinks import ParquetSink, kafka_payload, utc_date
 from presswork.storage import shared_dir
 from presswork.streaming import batch_writer
 
@@ -198,7 +198,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/presswork-roundtrip-{uuid.uuid4().hex}"
-    sink = ParquetSink(folder, ingest_date=F.to_date("published_at"))
+    sink = ParquetSink(folder, ingest_date=utc_date("published_at"))
     sink.write(_enriched_documents(spark, sf_dir), 0)
     written = spark.read.parquet(folder)
     return written.select(

@@ -1,7 +1,7 @@
 from presswork.sinks.base import Sink, build_sinks
 from presswork.sinks.console import ConsoleSink
 from presswork.sinks.kafka import KafkaSink, kafka_payload
-from presswork.sinks.parquet import ParquetSink, utc_today
+from presswork.sinks.parquet import ParquetSink, utc_date
 
 __all__ = [
     "ConsoleSink",
@@ -10,5 +10,5 @@ __all__ = [
     "Sink",
     "build_sinks",
     "kafka_payload",
-    "utc_today",
+    "utc_date",
 ]

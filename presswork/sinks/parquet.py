@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 _DAY_SECONDS = 86400
 
 
-def utc_today() -> Column:
-    """The date of writing in UTC, whatever the session's time zone."""
-    days = F.floor(F.unix_seconds(F.current_timestamp()) / F.lit(_DAY_SECONDS))
+def utc_date(timestamp: Column | str) -> Column:
+    """The date of an instant in UTC, whatever the session's time zone."""
+    days = F.floor(F.unix_seconds(timestamp) / F.lit(_DAY_SECONDS))
     return F.date_from_unix_date(days.cast("int"))
 
 
@@ -30,7 +30,7 @@ class ParquetSink:
     ingest_date: Column | None = None
 
     def write(self, enriched: DataFrame, batch_id: int) -> None:
-        date = utc_today() if self.ingest_date is None else self.ingest_date
+        date = utc_date(F.current_timestamp()) if self.ingest_date is None else self.ingest_date
         writer = enriched.withColumn("ingest_date", date).write.partitionBy("ingest_date")
         if self.per_batch:
             folder = f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"

@@ -1,0 +1,136 @@
+import pytest
+from helpers import BASE_SCHEMA, base_row
+from pyspark.sql import functions as F
+
+from presswork.operators import (
+    CATEGORY,
+    EMPTY_TEXT,
+    SENTIMENT,
+    count_joined,
+    hot_keys,
+    join_results,
+    join_unique,
+    match_scores,
+)
+
+REPLIES = (
+    "url_hash string, sentiment_label string, sentiment_score double, "
+    "topic_label string, topic_score double, seq int"
+)
+
+
+def base_of(spark, *rows):
+    return spark.createDataFrame([tuple(r.values()) for r in rows], BASE_SCHEMA)
+
+
+# Once without any hot key, once with every key hot and spread over four salts.
+@pytest.mark.parametrize("hot", [{}, {"hot_share": 0.25, "hot_rows": 1}])
+def test_match_scores(spark, hot):
+    base = base_of(
+        spark,
+        base_row("a", fingerprint="1"),
+        base_row("a", fingerprint="2"),
+        base_row("a", fingerprint="3", text="  "),
+        base_row("b", fingerprint="1"),
+        base_row("c", fingerprint="1"),
+    )
+    replies = spark.createDataFrame(
+        [
+            ("a", "new", 0.5, "sport", 0.1, 2),
+            ("a", "old", 0.9, "arts", 0.2, 1),
+            (None, "x", 0.1, "x", 0.1, 3),
+            ("c", None, None, None, None, 1),
+            ("z", "x", 0.1, "x", 0.1, 1),
+        ],
+        REPLIES,
+    )
+    matched = match_scores(base, replies, SENTIMENT, CATEGORY, order_by=["seq"], **hot)
+    got = {(r.url_hash, r.fingerprint): tuple(r[5:]) for r in matched.collect()}
+    answer = ("new", 0.5, None, "sport", 0.1, None)
+    assert matched.count() == len(got) == 5
+    assert got["a", "1"] == got["a", "2"] == answer
+    assert got["a", "3"] == (None, None, EMPTY_TEXT, None, None, EMPTY_TEXT)
+    assert got["c", "1"] == (None,) * 6
+    assert got["b", "1"] == (
+        *(None, None, "missing sentiment result"),
+        *(None, None, "missing classification result"),
+    )
+
+
+def skewed(spark, rows=60_000):
+    """A third of the rows have one key, as many have none, the rest have their own."""
+    return spark.range(0, rows, 1, 40).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+        .alias("key"),
+        F.lit("same").alias("payload"),
+    )
+
+
+def test_hot_keys_are_few_by_definition(spark):
+    frame = skewed(spark)
+    assert [r.key for r in hot_keys(frame, "key", 0.01, 1).collect()] == ["hot"]
+    assert hot_keys(frame, "key", 0.01, 60_000).count() == 0
+    even = spark.range(100).select((F.col("id") % 10).cast("string").alias("key"))
+    assert hot_keys(even, "key", 0.1, 1).count() == 10
+    assert hot_keys(even, "key", 0.11, 1).count() == 0
+
+
+def test_join_unique_spreads_a_hot_key_over_tasks(spark):
+    frame = skewed(spark)
+    right = spark.createDataFrame([("hot", 1), ("1", 2), ("gone", 3)], "key string, v int")
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        joined = join_unique(frame, right, "key", hot_share=0.01, hot_rows=1000)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        values = dict(joined.groupBy("v").count().collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert values == {1: 20_000, 2: 1, None: 39_999}
+    # Exact copies included: without salts one task would have at least 20,000 rows.
+    assert max(r["count"] for r in sizes) < 12_000
+
+
+def test_default_join_pairs_all_rows_of_a_key_and_identity_does_not(spark):
+    base = base_of(
+        spark, base_row("a", fingerprint="x"), base_row("a", fingerprint="y"), base_row("b")
+    )
+    sentiment = base.select("url_hash", "fingerprint", F.lit("e").alias("sentiment_error"))
+    category = base.select("url_hash", "fingerprint", F.lit(None).alias("category_error"))
+    tables = [sentiment.drop("fingerprint"), category.drop("fingerprint")]
+    once = join_results(base, tables[0])
+    both = join_results(base, *tables)
+    assert dict(once.groupBy("url_hash").count().collect()) == {"a": 4, "b": 1}
+    assert dict(both.groupBy("url_hash").count().collect()) == {"a": 8, "b": 1}
+    assert both.columns == [*base.columns, "sentiment_error", "category_error"]
+    single = join_results(base, sentiment, category, on=["url_hash", "fingerprint"])
+    assert dict(single.groupBy("url_hash").count().collect()) == {"a": 2, "b": 1}
+
+
+def test_counts_agree_with_the_join_itself(spark):
+    keys = ["a"] * 4 + ["b"] * 2 + ["c"]
+    base = base_of(spark, *[base_row(k, fingerprint=str(n)) for n, k in enumerate(keys)])
+    sentiment = spark.createDataFrame(
+        [("a", "e"), ("a", None), ("a", "e"), ("b", "e"), ("z", "e")],
+        "url_hash string, sentiment_error string",
+    )
+    category = spark.createDataFrame(
+        [("a", None), ("a", "e"), ("c", "e")], "url_hash string, category_error string"
+    )
+    expected = (
+        join_results(base, sentiment, category)
+        .groupBy("url_hash")
+        .agg(F.count("*"), F.count("sentiment_error"), F.count("category_error"))
+    )
+    counted = count_joined(base, {"sentiment": sentiment, "category": category})
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, expected.collect()))
+    one = count_joined(base, {"sentiment": sentiment})
+    assert one.columns == ["url_hash", "rows", "sentiment_errors"]

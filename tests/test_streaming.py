@@ -1,0 +1,271 @@
+import json
+import logging
+import os
+from collections import Counter
+from unittest.mock import MagicMock
+
+import pytest
+from helpers import Recorder, article, clock
+from pyspark.errors import StreamingQueryException
+
+from presswork import ParquetSink, StreamOptions, batch_writer, parse_articles, start
+from presswork.operators import CATEGORY, SENTIMENT
+from presswork.plans.demo import LengthSentiment, LengthTopic
+from presswork.sources import read_articles_files, read_articles_kafka
+from presswork.streaming import ScorerNotReady, SinkFailure, checkpoint_path
+
+NOW = {"availableNow": True}
+
+
+class Collected:
+    """A sink that keeps the keys of each batch."""
+
+    def __init__(self, fail_on=()):
+        self.batches = {}
+        self.fail_on = set(fail_on)
+
+    def write(self, enriched, batch_id):
+        if batch_id in self.fail_on:
+            raise RuntimeError(f"sink down in {batch_id}")
+        self.batches[batch_id] = sorted(r.url_hash for r in enriched.collect())
+
+
+class Feed:
+    """A folder of JSON lines, one file per micro-batch, and a checkpoint."""
+
+    def __init__(self, spark, folder):
+        self.spark = spark
+        self.folder = folder
+        self.incoming = folder / "incoming"
+        self.incoming.mkdir()
+        self.files = 0
+
+    def add(self, *records):
+        lines = "\n".join(json.dumps(r) if isinstance(r, dict) else r for r in records)
+        path = self.incoming / f"{self.files:03}.json"
+        path.write_text(lines + "\n")
+        self.files += 1
+        # The file source takes files by age: state it, the clock may be too coarse.
+        age = path.stat().st_mtime + self.files
+        os.utime(path, (age, age))
+
+    def run(self, write_batch):
+        stream = read_articles_files(self.spark, str(self.incoming), maxFilesPerTrigger=1)
+        writer = parse_articles(stream).writeStream.foreachBatch(write_batch).outputMode("append")
+        writer = writer.option("checkpointLocation", str(self.folder / "checkpoint"))
+        writer.trigger(**NOW).start().awaitTermination()
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def writer(*sinks, **options):
+    return batch_writer(sinks, LengthSentiment(), LengthTopic(), clock=clock, **options)
+
+
+def test_batches_reach_every_sink_and_a_restart_repeats_none(feed):
+    feed.add(article(url_hash="a"), article(url_hash="b"))
+    feed.add(article(url_hash="c"))
+    first, second = Collected(), Collected()
+    feed.run(writer(first, second))
+    assert first.batches == second.batches == {0: ["a", "b"], 1: ["c"]}
+    feed.add(article(url_hash="d"))
+    again = Collected()
+    feed.run(writer(again))
+    assert again.batches == {2: ["d"]}
+
+
+def test_copies_are_dropped_within_a_batch_and_kept_across_batches(feed):
+    copy = article(url_hash="a", fingerprint="x")
+    feed.add(copy, copy, article(url_hash="a", fingerprint="y"))
+    feed.add(copy)
+    sink = Collected()
+    feed.run(writer(sink))
+    assert sink.batches == {0: ["a", "a"], 1: ["a"]}
+
+
+@pytest.mark.parametrize("reuse", ["table", "persist"])
+def test_an_empty_batch_is_not_scored_nor_written(feed, tmp_path, reuse):
+    traces = tmp_path / "traces"
+    traces.mkdir()
+    feed.add("not json", article(url_hash=None))
+    sink = Collected()
+    feed.run(
+        batch_writer([sink], Recorder(traces, SENTIMENT), Recorder(traces, CATEGORY), reuse=reuse)
+    )
+    assert sink.batches == {} and not list(traces.glob("call-*"))
+
+
+@pytest.mark.parametrize("reuse", ["table", "persist"])
+def test_scorers_run_once_for_counts_and_all_sinks(spark, feed, tmp_path, reuse):
+    traces = {spec: tmp_path / spec.prefix for spec in (SENTIMENT, CATEGORY)}
+    for folder in traces.values():
+        folder.mkdir()
+    recorders = {spec: Recorder(folder, spec) for spec, folder in traces.items()}
+    feed.add(*[article(url_hash=f"k{n}", title=f"t{n}") for n in range(40)])
+    sinks = [Collected(), Collected(), Collected()]
+    feed.run(batch_writer(sinks, recorders[SENTIMENT], recorders[CATEGORY], reuse=reuse))
+    assert all(len(s.batches[0]) == 40 for s in sinks)
+    for recorder in recorders.values():
+        sent = Counter(item["url_hash"] for call in recorder.requests for item in call)
+        assert sent == Counter(f"k{n}" for n in range(40))
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_counts_are_logged(feed, caplog):
+    feed.add(article(url_hash="a"), article(url_hash="b", summary=" "))
+    with caplog.at_level(logging.INFO, logger="presswork"):
+        feed.run(writer(Collected()))
+    assert "batch 0: processed=2 sentiment_errors=1 category_errors=1" in caplog.text
+
+
+def test_a_batch_that_comes_too_early_is_repeated_on_restart(feed):
+    feed.add(article(url_hash="a"))
+    sink = Collected()
+    with pytest.raises(StreamingQueryException, match="not ready"):
+        feed.run(writer(sink, ready=lambda: False))
+    feed.run(writer(sink, ready=lambda: True))
+    assert sink.batches == {0: ["a"]}
+
+
+def test_a_batch_that_comes_too_early_can_be_given_up(feed):
+    feed.add(article(url_hash="a"))
+    feed.add(article(url_hash="b"))
+    answers = iter([False, True])
+    sink = Collected()
+    feed.run(writer(sink, ready=lambda: next(answers), on_not_ready="skip"))
+    assert sink.batches == {1: ["b"]}
+
+
+def test_a_failed_batch_is_repeated_on_restart(feed):
+    for key in "abc":
+        feed.add(article(url_hash=key))
+    broken, other = Collected(fail_on=[1]), Collected()
+    with pytest.raises(StreamingQueryException, match="sink 0"):
+        feed.run(writer(broken, other))
+    # The sink behind the broken one was still offered the batch.
+    assert broken.batches == {0: ["a"]} and other.batches == {0: ["a"], 1: ["b"]}
+    broken.fail_on = set()
+    feed.run(writer(broken, other))
+    assert broken.batches == other.batches == {0: ["a"], 1: ["b"], 2: ["c"]}
+
+
+def test_a_failed_batch_can_be_given_up(feed, caplog):
+    for key in "abc":
+        feed.add(article(url_hash=key))
+    broken, other = Collected(fail_on=[1]), Collected()
+    feed.run(writer(broken, other, on_error="skip"))
+    assert broken.batches == {0: ["a"], 2: ["c"]}
+    assert other.batches == {0: ["a"], 1: ["b"], 2: ["c"]}
+    assert "sink down in 1" in caplog.text
+
+
+def test_a_failure_outside_the_sinks_follows_the_same_policy(spark):
+    frame = spark.range(1)  # not articles
+    with pytest.raises(Exception, match="url_hash|title|author"):
+        writer(Collected())(frame, 0)
+    writer(Collected(), on_error="skip")(frame, 0)
+
+
+def test_errors_raised_by_the_function_itself(spark):
+    frame = parse_articles(spark.createDataFrame([(json.dumps(article()),)], "value string"))
+    with pytest.raises(ScorerNotReady):
+        writer(ready=lambda: False)(frame, 3)
+    with pytest.raises(SinkFailure) as failure:
+        writer(Collected(fail_on=[3]))(frame, 3)
+    assert "sink down in 3" in str(failure.value.__cause__)
+
+
+@pytest.mark.parametrize("wrong", [{"on_error": "x"}, {"on_not_ready": "x"}, {"reuse": "x"}])
+def test_policies_are_checked(wrong):
+    with pytest.raises(ValueError):
+        writer(**wrong)
+
+
+def test_start_runs_the_whole_stream(spark, feed, tmp_path, capfd):
+    feed.add(article(url_hash="a", title="One"), article(url_hash="b", title="Two"))
+    options = StreamOptions(
+        checkpoint_location=str(tmp_path / "checkpoint"),
+        parquet_dir=str(tmp_path / "out"),
+        scoring_partitions=2,
+    )
+    query = start(
+        spark,
+        options,
+        sentiment=LengthSentiment(),
+        category=LengthTopic(),
+        ready=lambda: True,
+        wire=read_articles_files(spark, str(feed.incoming)),
+        trigger=NOW,
+    )
+    query.awaitTermination()
+    written = spark.read.parquet(options.parquet_dir)
+    assert len(written.columns) == 21
+    assert {r.title: r.sentiment_label for r in written.collect()} == {
+        "One": "positive",
+        "Two": "positive",
+    }
+    assert "sentiment_label" in capfd.readouterr().out
+
+
+def test_start_takes_own_sinks(spark, feed, tmp_path):
+    feed.add(article(url_hash="a"))
+    sink = ParquetSink(str(tmp_path / "own"), per_batch=True)
+    options = StreamOptions(
+        checkpoint_location=str(tmp_path / "checkpoint"), show_console=False, reuse="persist"
+    )
+    start(
+        spark,
+        options,
+        sentiment=LengthSentiment(),
+        category=LengthTopic(),
+        ready=lambda: True,
+        sinks=[sink],
+        wire=read_articles_files(spark, str(feed.incoming)),
+        trigger=NOW,
+    ).awaitTermination()
+    assert spark.read.parquet(sink.output_dir).count() == 1
+
+
+def test_checkpoint_defaults_to_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_path(spark, StreamOptions()) == f"{shared}/raw_news_checkpoints"
+    stated = StreamOptions(checkpoint_location="hdfs:///c")
+    assert checkpoint_path(spark, stated) == "hdfs:///c"
+
+
+def kafka_reader():
+    reader = MagicMock()
+    reader.format.return_value = reader.options.return_value = reader
+    return reader
+
+
+def test_kafka_source_options():
+    reader = kafka_reader()
+    read_articles_kafka(None, "a:1,b:2", "raw_news", "earliest", reader=reader)
+    reader.format.assert_called_once_with("kafka")
+    reader.options.assert_called_once_with(
+        **{
+            "kafka.bootstrap.servers": "a:1,b:2",
+            "subscribe": "raw_news",
+            "startingOffsets": "earliest",
+        }
+    )
+    reader.load.assert_called_once_with()
+
+
+def test_kafka_source_limits():
+    reader = kafka_reader()
+    read_articles_kafka(
+        None, "a:1", "t", max_offsets_per_trigger=1000, min_partitions=64, reader=reader
+    )
+    options = reader.options.call_args.kwargs
+    assert options["startingOffsets"] == "latest"
+    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("1000", "64")
+
+
+def test_kafka_source_rejects_other_offsets():
+    with pytest.raises(ValueError):
+        read_articles_kafka(None, "a:1", "t", "middle", reader=kafka_reader())
