@@ -34,3 +34,4 @@ class StreamOptions:
     on_error: str = "fail"
     on_not_ready: str = "fail"
     reuse: str = "table"
+    parquet_per_batch: bool = False

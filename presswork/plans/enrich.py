@@ -10,6 +10,7 @@ from presswork.functions.text import MAX_CHARS
 from presswork.operators.articles import prepare_articles
 from presswork.operators.scorers import ScorerFactory
 from presswork.operators.scoring import CATEGORY, SENTIMENT, score
+from presswork.schemas import IDENTITY
 
 
 def enrich(
@@ -32,5 +33,5 @@ def enrich(
     """
     base = prepare_articles(articles, max_chars, order_by, keep)
     if partitions:
-        base = base.repartition(partitions)
+        base = base.repartition(partitions, *IDENTITY)
     return score(score(base, SENTIMENT, sentiment, **scoring), CATEGORY, category, **scoring)

@@ -85,7 +85,7 @@ def normalize_body(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", normalize_text("text").alias("text_prepped")
     )
     return texts.select(
-        "doc_id", *_readable("text_prepped"), F.length("text_prepped").alias("n")
+        "doc_id", *_readable("text_prepped"), F.length("text_prepped").cast("bigint").alias("n")
     )
 
 
@@ -94,7 +94,7 @@ def choose_scoring_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", scoring_text(body=normalize_text("text")).alias("text_for_inference")
     )
     return texts.select(
-        "doc_id", *_readable("text_for_inference"), F.length("text_for_inference").alias("n")
+        "doc_id", *_readable("text_for_inference"), F.length("text_for_inference").cast("bigint").alias("n")
     )
 
 

@@ -23,11 +23,12 @@ def build_sinks(
     parquet_dir: str,
     bootstrap_servers: str | None = None,
     output_topic: str = OUTPUT_TOPIC,
+    per_batch: bool = False,
 ) -> list[Sink]:
     """Parquet first; Kafka only if asked for and the servers are known."""
     sinks: list[Sink] = []
     if write_parquet:
-        sinks.append(ParquetSink(parquet_dir))
+        sinks.append(ParquetSink(parquet_dir, per_batch))
     if write_kafka and bootstrap_servers:
         sinks.append(KafkaSink(bootstrap_servers, output_topic))
     return sinks

@@ -22,18 +22,36 @@ class ParquetSink:
 
     With ``per_batch`` each batch has a folder ``batch_id=…`` above the dates, which a
     replay overwrites instead of appending to; ``batch_id`` is then a column on reading.
-    ``ingest_date`` sets another date than today's, for backfills.
+
+    ``ingest_date`` sets another date than today's, for backfills. Where it differs from
+    row to row, rows are first brought together by date, or each task would leave a file
+    per date: Spark splits the dates with many rows and merges those with few.
+    ``one_date`` saves that shuffle where the given date is the same for all rows.
     """
 
     output_dir: str
     per_batch: bool = False
     ingest_date: Column | None = None
+    one_date: bool = False
 
     def write(self, enriched: DataFrame, batch_id: int) -> None:
-        date = utc_date(F.current_timestamp()) if self.ingest_date is None else self.ingest_date
-        writer = enriched.withColumn("ingest_date", date).write.partitionBy("ingest_date")
+        if self.ingest_date is None:
+            dated = enriched.withColumn("ingest_date", utc_date(F.current_timestamp()))
+        else:
+            dated = enriched.withColumn("ingest_date", self.ingest_date)
+            if not self.one_date:
+                dated = dated.hint("rebalance", "ingest_date")
+        writer = dated.write.partitionBy("ingest_date")
         if self.per_batch:
-            folder = f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"
-            writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.parquet(self._folder(batch_id))
         else:
             writer.mode("append").parquet(self.output_dir)
+
+    def written(self, enriched: DataFrame, batch_id: int) -> DataFrame:
+        """The rows of a batch that ``write`` has put into its own folder."""
+        read = enriched.sparkSession.read.schema(enriched.schema)
+        return read.parquet(self._folder(batch_id)).select(*enriched.columns)
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"

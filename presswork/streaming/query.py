@@ -45,6 +45,7 @@ def start(
             options.parquet_dir,
             options.bootstrap_servers,
             options.output_topic,
+            options.parquet_per_batch,
         )
     if options.show_console:
         sinks = [*sinks, ConsoleSink(options.console_rows, options.console_truncate)]

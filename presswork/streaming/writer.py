@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,40 +44,60 @@ def batch_writer(
     batch (or the failed sink's share of it) up. Either way every sink is tried.
 
     ``reuse`` says how the scored rows are kept for the counts and the sinks, which
-    must all see the same answers. ``"table"`` writes them once, to a table in
-    ``work_dir`` (by default in the cluster's shared folder) that the next batch
-    overwrites: nothing is scored again if an executor is lost. ``"persist"`` caches
-    them: less to write, but lost blocks are scored again.
+    must all see the same answers:
+
+    * ``"table"`` writes them once, to a table in ``work_dir`` (by default in the
+      cluster's shared folder) that the next batch overwrites. Nothing is scored again
+      if an executor is lost.
+    * ``"sink"`` does the same without the extra copy: the first sink, a ``ParquetSink``
+      with ``per_batch``, is written first and read by the others. If it fails, they are
+      not tried.
+    * ``"persist"`` caches them: less to write, but lost blocks are scored again.
 
     ``enriching`` goes to ``enrich``.
     """
     _check("on_not_ready", on_not_ready, ("fail", "skip"))
     _check("on_error", on_error, ("fail", "skip"))
-    _check("reuse", reuse, ("table", "persist"))
+    _check("reuse", reuse, ("table", "sink", "persist"))
+    if reuse == "sink" and not (sinks and getattr(sinks[0], "per_batch", False)):
+        raise ValueError("reuse='sink' needs a ParquetSink with per_batch as first sink")
 
-    def table_folder(spark: SparkSession) -> str | None:
+    def table_folder(spark: SparkSession) -> str:
         nonlocal work_dir
-        if reuse == "persist":
-            return None
         if work_dir is None:
             work_dir = f"{shared_dir(spark)}/presswork-batch-{uuid.uuid4().hex}"
         return work_dir
 
     def process(batch: DataFrame, batch_id: int) -> None:
         enriched = enrich(batch, sentiment, category, **enriching)
-        with _kept(enriched, table_folder(batch.sparkSession)) as rows:
-            stats = batch_stats(rows).first()
-            if stats.total == 0:
-                logger.info("batch %s: nothing to score", batch_id)
-                return
-            logger.info(
-                "batch %s: processed=%s sentiment_errors=%s category_errors=%s",
-                batch_id,
-                stats.total,
-                stats.sentiment_errors,
-                stats.category_errors,
-            )
-            failures = _write_all(sinks, rows, batch_id)
+        if reuse == "persist":
+            rows = enriched.persist()
+            try:
+                deliver(rows, batch_id, sinks)
+            finally:
+                rows.unpersist()
+        elif reuse == "sink":
+            sinks[0].write(enriched, batch_id)
+            deliver(sinks[0].written(enriched, batch_id), batch_id, sinks[1:])
+        else:
+            folder = table_folder(batch.sparkSession)
+            enriched.write.mode("overwrite").parquet(folder)
+            rows = batch.sparkSession.read.schema(enriched.schema).parquet(folder)
+            deliver(rows, batch_id, sinks)
+
+    def deliver(rows: DataFrame, batch_id: int, receivers: Sequence[Sink]) -> None:
+        stats = batch_stats(rows).first()
+        if stats.total == 0:
+            logger.info("batch %s: nothing to score", batch_id)
+            return
+        logger.info(
+            "batch %s: processed=%s sentiment_errors=%s category_errors=%s",
+            batch_id,
+            stats.total,
+            stats.sentiment_errors,
+            stats.category_errors,
+        )
+        failures = _write_all(receivers, rows, batch_id)
         if failures and on_error == "fail":
             names = ", ".join(failures)
             raise SinkFailure(f"batch {batch_id}: {names}") from next(iter(failures.values()))
@@ -104,20 +123,6 @@ def _check(name: str, value: str, allowed: tuple[str, ...]) -> None:
         raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
 
 
-@contextmanager
-def _kept(enriched: DataFrame, folder: str | None) -> Iterator[DataFrame]:
-    """Rows that several actions can read while the scorers run once."""
-    if folder is None:
-        cached = enriched.persist()
-        try:
-            yield cached
-        finally:
-            cached.unpersist()
-    else:
-        enriched.write.mode("overwrite").parquet(folder)
-        yield enriched.sparkSession.read.schema(enriched.schema).parquet(folder)
-
-
 def _write_all(
     sinks: Sequence[Sink], rows: DataFrame, batch_id: int
 ) -> dict[str, Exception]:

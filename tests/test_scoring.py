@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 from helpers import STAMP, Recorder, clock, texts
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from presswork.operators import CATEGORY, EMPTY_TEXT, SENTIMENT, score, score_table
@@ -222,3 +222,35 @@ def test_every_row_gets_exactly_one_answer(rows, silent, chunk):
                 assert answer.error == "missing sentiment result"
             else:
                 assert answer.error is None and math.isclose(answer.score, 0.9)
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    texts_given=st.lists(st.sampled_from([None, "", " ", "x", "yy", "bad"]), max_size=60),
+    partitions=st.integers(1, 5),
+    chunk=st.integers(1, 30),
+    in_flight=st.integers(1, 3),
+)
+def test_rows_keep_their_columns_and_number(spark, texts_given, partitions, chunk, in_flight):
+    def scorer(items):
+        assert 0 < len(items) <= chunk
+        return [sentiment(i["url_hash"], i["text"]) for i in items if i["text"] != "bad"]
+
+    rows = [(str(n), text) for n, text in enumerate(texts_given)]
+    frame = texts(spark, [*rows, ("last", "z")]).repartition(partitions)
+    scored_rows = score(
+        frame, SENTIMENT, lambda: scorer, chunk_size=chunk, max_in_flight=in_flight, clock=clock
+    ).collect()
+    assert sorted((r.url_hash, r.text_for_inference or "") for r in scored_rows) == sorted(
+        (key, text or "") for key, text in [*rows, ("last", "z")]
+    )
+    for row in scored_rows:
+        text = row.text_for_inference
+        if not (text and text.strip()):
+            assert row.sentiment_error == EMPTY_TEXT
+        elif text == "bad":
+            assert row.sentiment_error == "missing sentiment result"
+        else:
+            assert (row.sentiment_label, row.sentiment_error) == (text, None)

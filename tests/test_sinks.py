@@ -80,7 +80,8 @@ def test_parquet_sink_appends_under_todays_date(spark, enriched, tmp_path):
 
 def test_parquet_sink_reads_back_what_was_written(spark, enriched, tmp_path):
     folder = str(tmp_path / "out")
-    ParquetSink(folder, ingest_date=F.lit("2024-02-03").cast("date")).write(enriched, 0)
+    day = F.lit("2024-02-03").cast("date")
+    ParquetSink(folder, ingest_date=day, one_date=True).write(enriched, 0)
     written = spark.read.parquet(folder).filter(F.col("ingest_date") == date(2024, 2, 3))
     assert sorted(map(tuple, written.drop("ingest_date").collect())) == sorted(
         map(tuple, enriched.collect())
@@ -90,6 +91,18 @@ def test_parquet_sink_reads_back_what_was_written(spark, enriched, tmp_path):
     )
 
 
+def test_dates_that_vary_are_brought_together(spark, tmp_path):
+    rows = spark.range(0, 400, 1, 8)
+    by_row = F.date_from_unix_date((F.col("id") % 4).cast("int"))
+    files = {}
+    for one_date in (False, True):
+        sink = ParquetSink(str(tmp_path / str(one_date)), ingest_date=by_row, one_date=one_date)
+        sink.write(rows, 0)
+        assert spark.read.parquet(sink.output_dir).count() == 400
+        files[one_date] = len(list((tmp_path / str(one_date)).glob("*/*.parquet")))
+    assert files == {False: 4, True: 32}
+
+
 def test_a_replayed_batch_overwrites_itself_only(spark, enriched, tmp_path):
     sink = ParquetSink(str(tmp_path / "out"), per_batch=True)
     for batch in (0, 1, 1):

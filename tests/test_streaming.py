@@ -9,7 +9,7 @@ from helpers import Recorder, article, clock
 from pyspark.errors import StreamingQueryException
 
 from presswork import ParquetSink, StreamOptions, batch_writer, parse_articles, start
-from presswork.operators import CATEGORY, SENTIMENT
+from presswork.operators import CATEGORY, SENTIMENT, keep_scorable, score, select_base
 from presswork.plans.demo import LengthSentiment, LengthTopic
 from presswork.sources import read_articles_files, read_articles_kafka
 from presswork.streaming import ScorerNotReady, SinkFailure, checkpoint_path
@@ -114,6 +114,29 @@ def test_scorers_run_once_for_counts_and_all_sinks(spark, feed, tmp_path, reuse)
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
+def test_the_first_sinks_table_can_serve_the_others(spark, feed, tmp_path):
+    traces = {spec: tmp_path / spec.prefix for spec in (SENTIMENT, CATEGORY)}
+    for folder in traces.values():
+        folder.mkdir()
+    recorders = [Recorder(folder, spec) for spec, folder in traces.items()]
+    feed.add(*[article(url_hash=f"k{n}", title=f"t{n}") for n in range(30)])
+    feed.add("not json")
+    feed.add(article(url_hash="z"))
+    table, other = ParquetSink(str(tmp_path / "out"), per_batch=True), Collected()
+    feed.run(batch_writer([table, other], *recorders, reuse="sink"))
+    assert other.batches == {0: sorted(f"k{n}" for n in range(30)), 2: ["z"]}
+    written = spark.read.parquet(table.output_dir)
+    assert dict(written.groupBy("batch_id").count().collect()) == {0: 30, 2: 1}
+    for recorder in recorders:
+        assert sum(map(len, recorder.requests)) == 31
+
+
+def test_only_a_sink_with_a_table_per_batch_can_serve_the_others(tmp_path):
+    for sinks in ([], [Collected()], [ParquetSink(str(tmp_path))]):
+        with pytest.raises(ValueError, match="per_batch"):
+            writer(*sinks, reuse="sink")
+
+
 def test_counts_are_logged(feed, caplog):
     feed.add(article(url_hash="a"), article(url_hash="b", summary=" "))
     with caplog.at_level(logging.INFO, logger="presswork"):
@@ -269,3 +292,28 @@ def test_kafka_source_limits():
 def test_kafka_source_rejects_other_offsets():
     with pytest.raises(ValueError):
         read_articles_kafka(None, "a:1", "t", "middle", reader=kafka_reader())
+
+
+def test_start_reads_the_topic_the_options_name(spark, monkeypatch):
+    asked = {}
+
+    def fake_source(session, *arguments, **limits):
+        asked.update(arguments=arguments, limits=limits)
+        raise LookupError("no broker here")
+
+    monkeypatch.setattr("presswork.streaming.query.read_articles_kafka", fake_source)
+    options = StreamOptions(starting_offsets="earliest", max_offsets_per_trigger=10)
+    with pytest.raises(LookupError):
+        start(spark, options, ready=lambda: True)
+    assert asked["arguments"] == ("localhost:9092", "raw_news", "earliest")
+    assert asked["limits"] == {"max_offsets_per_trigger": 10, "min_partitions": None}
+
+
+def test_scoring_works_on_a_stream_itself(spark, feed, tmp_path):
+    feed.add(article(url_hash="a"), article(url_hash="b"))
+    base = keep_scorable(select_base(parse_articles(read_articles_files(spark, str(feed.incoming)))))
+    scored = score(base, SENTIMENT, LengthSentiment(), clock=clock)
+    stream = scored.writeStream.format("memory").queryName("scored_stream")
+    stream = stream.option("checkpointLocation", str(tmp_path / "checkpoint"))
+    stream.trigger(**NOW).start().awaitTermination()
+    assert spark.table("scored_stream").filter("sentiment_error is null").count() == 2
