@@ -49,8 +49,11 @@ class HttpScorer:
     def __call__(self, items: list[dict[str, str]]) -> list[dict[str, Any]]:
         reply = self.session.post(self.endpoint, json={"items": items}, timeout=self.timeout_s)
         reply.raise_for_status()
-        content = reply.json()
-        return content.get("results", []) if isinstance(content, dict) else []
+        match reply.json():
+            case {"results": results}:
+                return results
+            case _:
+                return []
 
 
 class HttpReady:

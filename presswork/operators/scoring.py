@@ -145,12 +145,9 @@ def _ask(asked, scorer, spec, clock) -> list[Answer]:
             if len(found) != len(asked):
                 raise ValueError(f"{len(found)} answers to {len(asked)} texts")
         else:
-            by_key = {
-                reply["url_hash"]: reply
-                for reply in replies
-                if isinstance(reply, dict) and reply.get("url_hash") is not None
-            }
-            found = [by_key.get(key) for key, _ in asked]
+            latest = {reply.get("url_hash"): reply for reply in replies if type(reply) is dict}
+            latest.pop(None, None)
+            found = [latest.get(key) for key, _ in asked]
         return [_read(reply, spec, at) for reply in found]
     except Exception as failure:  # a failed request is a result, not a failed task
         at = clock()

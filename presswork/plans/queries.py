@@ -55,6 +55,10 @@ def _readable(*names: str) -> list[str | Column]:
     return shown
 
 
+def _size(text: str) -> Column:
+    return F.length(text).cast("bigint").alias("n")
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = demo.read_articles(spark, sf_dir)
     return prepare_articles(articles, order_by=_FIRST, keep=["doc_id"])
@@ -84,18 +88,14 @@ def normalize_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = demo.read_documents(spark, sf_dir).select(
         "doc_id", normalize_text("text").alias("text_prepped")
     )
-    return texts.select(
-        "doc_id", *_readable("text_prepped"), F.length("text_prepped").cast("bigint").alias("n")
-    )
+    return texts.select("doc_id", *_readable("text_prepped"), _size("text_prepped"))
 
 
 def choose_scoring_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = demo.read_articles(spark, sf_dir).select(
         "doc_id", scoring_text(body=normalize_text("text")).alias("text_for_inference")
     )
-    return texts.select(
-        "doc_id", *_readable("text_for_inference"), F.length("text_for_inference").cast("bigint").alias("n")
-    )
+    return texts.select("doc_id", *_readable("text_for_inference"), _size("text_for_inference"))
 
 
 def project_base(spark: SparkSession, sf_dir: str) -> DataFrame:
