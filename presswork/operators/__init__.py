@@ -14,6 +14,7 @@ from presswork.operators.scoring import (
     SENTIMENT,
     ScoreSpec,
     score,
+    score_all,
     score_table,
 )
 from presswork.operators.stats import batch_stats, error_rows
@@ -40,6 +41,7 @@ __all__ = [
     "match_scores",
     "prepare_articles",
     "score",
+    "score_all",
     "score_table",
     "select_base",
 ]

@@ -7,17 +7,19 @@ position. No shuffle and no join is needed to bring the answers back.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
+from itertools import chain
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from presswork.operators.scorers import Scorer, ScorerFactory
 from presswork.schemas import answer_schema
@@ -73,9 +75,25 @@ def score(
     ``max_in_flight`` of them are open at a time per task, so the load on a remote
     scorer is bounded by that times the running tasks.
     """
+    return score_all(
+        df, {spec: scorer}, chunk_size=chunk_size, max_in_flight=max_in_flight, clock=clock
+    )
+
+
+def score_all(
+    df: DataFrame,
+    scorers: Mapping[ScoreSpec, ScorerFactory],
+    *,
+    chunk_size: int = CHUNK_SIZE,
+    max_in_flight: int = 1,
+    clock: Callable[[], str] = utc_now,
+) -> DataFrame:
+    """``score`` for several scorers: the text goes to Python once, and a task waits for
+    the scorers at the same time instead of one after the other. ``max_in_flight``
+    counts for each of them."""
     if chunk_size < 1 or max_in_flight < 1:
         raise ValueError("chunk_size and max_in_flight must be at least 1")
-    answer = _answer_udf(spec, scorer, chunk_size, max_in_flight, clock)
+    answer = _answer_udf(dict(scorers), chunk_size, max_in_flight, clock)
     scored = df.withColumn("_answer", answer("url_hash", "text_for_inference"))
     return scored.select(*df.columns, "_answer.*")
 
@@ -86,39 +104,44 @@ def score_table(df: DataFrame, spec: ScoreSpec, scorer: ScorerFactory, **options
     return score(asked, spec, scorer, **options).drop("text_for_inference")
 
 
-def _answer_udf(spec, scorer, chunk_size, max_in_flight, clock):
-    names = answer_schema(spec.prefix).fieldNames()
+def _answer_udf(scorers, chunk_size, max_in_flight, clock):
+    schema = StructType([field for spec in scorers for field in answer_schema(spec.prefix)])
+    names = schema.fieldNames()
+    threads = max_in_flight if max_in_flight > 1 or len(scorers) > 1 else 0
 
-    @F.arrow_udf(answer_schema(spec.prefix))
+    @F.arrow_udf(schema)
     def answer(
         batches: Iterator[tuple[pa.Array, pa.Array]],
     ) -> Iterator[pa.Array]:
-        run = partial(answer_chunk, scorer=scorer(), spec=spec, clock=clock)
-        for answers in _in_chunks(batches, run, chunk_size, max_in_flight):
-            yield _to_arrow(answers, names)
+        with ExitStack() as stack:
+            asking = []
+            for spec, factory in scorers.items():
+                ask = partial(answer_chunk, scorer=factory(), spec=spec, clock=clock)
+                pool = stack.enter_context(ThreadPoolExecutor(threads)) if threads else None
+                asking.append(partial(pool.map if pool else map, ask))
+            for chunks in _chunks(batches, chunk_size):
+                # Every pool has its requests before the first answer is waited for.
+                pending = [ask_all(chunks) for ask_all in asking]
+                columns = [column for answers in pending for column in _to_arrow(answers)]
+                yield pa.StructArray.from_arrays(columns, names=names)
 
     # An answer may differ from one call to the next. Saying so also keeps Catalyst
     # from copying the call into a filter on its result, which would ask twice.
     return answer.asNondeterministic()
 
 
-def _in_chunks(batches, run, chunk_size: int, max_in_flight: int) -> Iterator[list[Answer]]:
-    """Answers in row order. Chunks run on across Arrow batches: only the last chunk
-    of a partition may be short."""
-    with ExitStack() as stack:
-        each = map
-        if max_in_flight > 1:
-            each = stack.enter_context(ThreadPoolExecutor(max_in_flight)).map
-        rows: list[tuple[str, str]] = []
-        for ids, texts in batches:
-            rows.extend(zip(ids.to_pylist(), texts.to_pylist()))
-            full = len(rows) - len(rows) % chunk_size
-            if full:
-                chunks = [rows[at : at + chunk_size] for at in range(0, full, chunk_size)]
-                yield [answer for answers in each(run, chunks) for answer in answers]
-                rows = rows[full:]
-        if rows:
-            yield run(rows)
+def _chunks(batches, size: int) -> Iterator[list[list[tuple[str, str]]]]:
+    """Lists of full chunks, in row order. Chunks run on across Arrow batches: only the
+    last chunk of a partition may be short."""
+    rows: list[tuple[str, str]] = []
+    for ids, texts in batches:
+        rows.extend(zip(ids.to_pylist(), texts.to_pylist()))
+        full = len(rows) - len(rows) % size
+        if full:
+            yield [rows[at : at + size] for at in range(0, full, size)]
+            rows = rows[full:]
+    if rows:
+        yield [rows]
 
 
 def answer_chunk(
@@ -165,7 +188,7 @@ def _read(reply: dict | None, spec: ScoreSpec, at: str) -> Answer:
     return Answer(None if label is None else str(label), number, at, None)
 
 
-def _to_arrow(answers: list[Answer], names: list[str]) -> pa.StructArray:
+def _to_arrow(chunks: Iterable[list[Answer]]) -> list[pa.Array]:
     types = [pa.string(), pa.float64(), pa.string(), pa.string()]
-    columns = [pa.array(values, kind) for values, kind in zip(zip(*answers), types)]
-    return pa.StructArray.from_arrays(columns, names=names)
+    fields = zip(*chain.from_iterable(chunks))
+    return [pa.array(values, kind) for values, kind in zip(fields, types)]

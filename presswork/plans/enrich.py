@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from presswork.functions.text import MAX_CHARS
 from presswork.operators.articles import prepare_articles
 from presswork.operators.scorers import ScorerFactory
-from presswork.operators.scoring import CATEGORY, SENTIMENT, score
+from presswork.operators.scoring import CATEGORY, SENTIMENT, score_all
 from presswork.schemas import IDENTITY
 
 
@@ -34,4 +34,4 @@ def enrich(
     base = prepare_articles(articles, max_chars, order_by, keep)
     if partitions:
         base = base.repartition(partitions, *IDENTITY)
-    return score(score(base, SENTIMENT, sentiment, **scoring), CATEGORY, category, **scoring)
+    return score_all(base, {SENTIMENT: sentiment, CATEGORY: category}, **scoring)

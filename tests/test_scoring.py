@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 
 import pytest
@@ -6,7 +7,7 @@ from helpers import STAMP, Recorder, clock, texts
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from presswork.operators import CATEGORY, EMPTY_TEXT, SENTIMENT, score, score_table
+from presswork.operators import CATEGORY, EMPTY_TEXT, SENTIMENT, score, score_all, score_table
 from presswork.operators.scoring import answer_chunk
 from presswork.schemas import CATEGORY_SCHEMA, SENTIMENT_SCHEMA
 
@@ -170,13 +171,56 @@ def test_only_key_and_text_go_to_python_and_no_shuffle_is_added(spark):
     frame = spark.range(4).selectExpr(
         "id", "string(id) url_hash", "'t' text_for_inference", "repeat('x', 100) text"
     )
-    result = score(
-        score(frame, SENTIMENT, replying(sentiment("1"))), CATEGORY, replying()
-    )
-    assert result.columns[:4] == frame.columns and len(result.columns) == 12
-    plan = result._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 2
-    assert "Exchange" not in plan and "Join" not in plan
+    one_by_one = score(score(frame, SENTIMENT, replying(sentiment("1"))), CATEGORY, replying())
+    at_once = score_all(frame, {SENTIMENT: replying(sentiment("1")), CATEGORY: replying()})
+    for result, calls in ((one_by_one, 2), (at_once, 1)):
+        assert result.columns[:4] == frame.columns and len(result.columns) == 12
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [answer(url_hash") == calls
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_scorers_are_waited_for_at_the_same_time(spark, tmp_path):
+    class Meeting:
+        """Answers only if the other scorer is being asked too."""
+
+        def __init__(self, mine, other):
+            self.mine, self.other = tmp_path / mine, tmp_path / other
+
+        def __call__(self):
+            return self.answer
+
+        def answer(self, items):
+            self.mine.touch()
+            deadline = time.monotonic() + 20
+            while not self.other.exists():
+                if time.monotonic() > deadline:
+                    raise TimeoutError("alone")
+                time.sleep(0.01)
+            return []
+
+    rows = texts(spark, [(str(n), "t") for n in range(5)])
+    scorers = {SENTIMENT: Meeting("s", "c"), CATEGORY: Meeting("c", "s")}
+    errors = score_all(rows, scorers).select("sentiment_error", "category_error").distinct()
+    assert [tuple(r) for r in errors.collect()] == [
+        ("missing sentiment result", "missing classification result")
+    ]
+
+
+def test_several_scorers_answer_as_each_alone(spark, tmp_path):
+    rows = [(f"k{n}", f"t{n}" if n % 4 else " ") for n in range(130)]
+    recorders = {}
+    for spec in (SENTIMENT, CATEGORY):
+        folder = tmp_path / spec.prefix
+        folder.mkdir()
+        recorders[spec] = Recorder(folder, spec, fail_on="t30" if spec is CATEGORY else None)
+    frame = texts(spark, rows).repartition(2).persist()
+    both = score_all(frame, recorders, chunk_size=10, max_in_flight=2, clock=clock)
+    alone = score(frame, SENTIMENT, recorders[SENTIMENT], chunk_size=10, clock=clock)
+    alone = score(alone, CATEGORY, recorders[CATEGORY], chunk_size=10, clock=clock)
+    assert both.columns == alone.columns
+    assert Counter(both.collect()) == Counter(alone.collect())
+    frame.unpersist()
 
 
 def test_result_table(spark):
