@@ -1,0 +1,36 @@
+from unittest.mock import Mock
+
+import pytest
+
+from presswork.options import StreamOptions
+from presswork.storage import shared_dir
+from presswork.streaming import checkpoint_path
+
+
+def session(**settings):
+    fake = Mock()
+    fake.conf.get.side_effect = settings.get
+    return fake
+
+
+CLUSTER = {"spark.master": "yarn"}
+SHARED = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///shared/"}
+LOCAL = {"spark.master": "local[8]"}
+
+
+def test_the_named_folder_is_used():
+    assert shared_dir(session(**SHARED)) == "hdfs:///shared"
+    stated = checkpoint_path(session(**SHARED), StreamOptions(topic="t"))
+    assert stated == "hdfs:///shared/t_checkpoints"
+
+
+def test_a_cluster_never_gets_a_local_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(**CLUSTER))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_path(session(**CLUSTER), StreamOptions())
+
+
+def test_a_local_master_may_use_a_temporary_folder():
+    assert shared_dir(session(**LOCAL)) != shared_dir(session(**LOCAL))
+    assert checkpoint_path(session(**LOCAL), StreamOptions()) == "/tmp/raw_news_checkpoints"
