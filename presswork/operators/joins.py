@@ -17,11 +17,21 @@ def join_results(
     A ``url_hash`` that several fingerprints share has as many rows in every table, and
     the default key pairs all of them: k rows become k² with one table and k³ with two.
     ``enrich`` has no such join. Where result tables are unavoidable, let them carry
-    ``fingerprint`` and join on ``["url_hash", "fingerprint"]``: one row out per row in.
-    To know only how many rows the default key would give, use ``count_joined``.
+    ``fingerprint`` and join on ``IDENTITY``: one row out per row in, null fingerprints
+    being equal. To know only how many rows the default key would give, use
+    ``count_joined``.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    return reduce(lambda left, right: left.join(right, keys, "left"), results, base)
+    return reduce(lambda left, right: _left_join(left, right, keys), results, base)
+
+
+def _left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    own = {key: f"_right_{key}" for key in keys}
+    matches = [
+        F.col(key) == F.col(other) if key == "url_hash" else F.col(key).eqNullSafe(F.col(other))
+        for key, other in own.items()
+    ]
+    return left.join(right.withColumnsRenamed(own), matches, "left").drop(*own.values())
 
 
 def count_joined(base: DataFrame, results: dict[str, DataFrame]) -> DataFrame:

@@ -111,6 +111,9 @@ from answered""",
     "error_rows": f"""{_COMMON}
 select s_error as sentiment_error, c_error as category_error, count(*) as rows
 from answered where s_error is not null or c_error is not null group by all""",
+    "join_identity": f"""{_COMMON}
+select doc_id, url_hash, fingerprint, {_sentiment('s_error')}, {_category('c_error')}
+from answered""",
     "join_sentiment": f"""{_COMMON}
 select b.url_hash, count(*)::double as rows, count(s.s_error)::double as sentiment_errors
 from answered b left join answered s on b.url_hash = s.url_hash group by b.url_hash""",

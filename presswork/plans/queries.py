@@ -16,6 +16,7 @@ from presswork.operators import (
     count_joined,
     dedup_articles,
     error_rows,
+    join_results,
     keep_scorable,
     match_scores,
     prepare_articles,
@@ -170,6 +171,21 @@ def count_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.groupBy("sentiment_error", "category_error").agg(F.count("*").alias("rows"))
 
 
+def join_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both result tables brought back to the articles on the row's identity."""
+    base = _base(spark, sf_dir)
+    asked = base.select(*IDENTITY, "text_for_inference")
+    tables = [
+        score(asked, spec, scorer, clock=demo.fixed_clock).drop("text_for_inference")
+        for spec, scorer in (
+            (SENTIMENT, demo.LengthSentiment(_GAP)),
+            (CATEGORY, demo.LengthTopic(_TOPIC_GAP)),
+        )
+    ]
+    joined = join_results(base, *tables, on=IDENTITY)
+    return joined.select("doc_id", *IDENTITY, *_ANSWERS)
+
+
 def join_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _base(spark, sf_dir)
     return count_joined(
@@ -256,6 +272,7 @@ QUERIES = {
     "match_scores": match_replies,
     "route_empty_text": route_empty_text,
     "error_rows": count_errors,
+    "join_identity": join_identity,
     "join_sentiment": join_sentiment,
     "join_both": join_both,
     "batch_stats": count_batch,

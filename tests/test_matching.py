@@ -12,6 +12,7 @@ from presswork.operators import (
     join_unique,
     match_scores,
 )
+from presswork.schemas import IDENTITY
 
 REPLIES = (
     "url_hash string, sentiment_label string, sentiment_score double, "
@@ -111,8 +112,17 @@ def test_default_join_pairs_all_rows_of_a_key_and_identity_does_not(spark):
     assert dict(once.groupBy("url_hash").count().collect()) == {"a": 4, "b": 1}
     assert dict(both.groupBy("url_hash").count().collect()) == {"a": 8, "b": 1}
     assert both.columns == [*base.columns, "sentiment_error", "category_error"]
-    single = join_results(base, sentiment, category, on=["url_hash", "fingerprint"])
+    single = join_results(base, sentiment, category, on=IDENTITY)
     assert dict(single.groupBy("url_hash").count().collect()) == {"a": 2, "b": 1}
+    assert single.columns == both.columns
+
+
+def test_identity_has_equal_nulls_and_the_key_has_not(spark):
+    base = base_of(spark, base_row("a", fingerprint=None), base_row(None))
+    table = base.select(*IDENTITY, F.lit("e").alias("sentiment_error"))
+    for on, expected in ((IDENTITY, {"a": "e", None: None}), ("url_hash", {"a": "e", None: None})):
+        result = join_results(base, table if on == IDENTITY else table.drop("fingerprint"), on=on)
+        assert dict(result.select("url_hash", "sentiment_error").collect()) == expected
 
 
 def test_counts_agree_with_the_join_itself(spark):
