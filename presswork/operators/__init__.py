@@ -17,7 +17,7 @@ from presswork.operators.scoring import (
     score_all,
     score_table,
 )
-from presswork.operators.stats import batch_stats, error_rows
+from presswork.operators.stats import batch_stats, error_rows, stat_columns
 
 __all__ = [
     "CATEGORY",
@@ -44,4 +44,5 @@ __all__ = [
     "score_all",
     "score_table",
     "select_base",
+    "stat_columns",
 ]

@@ -12,7 +12,8 @@ from presswork.sinks.parquet import ParquetSink
 
 class Sink(Protocol):
     """Anything that can write an enriched batch. A batch that failed half-way is
-    written again under the same ``batch_id``."""
+    written again under the same ``batch_id``. A sink that reads all rows exactly once
+    may say so with ``single_pass = True`` (see ``reuse`` of ``batch_writer``)."""
 
     def write(self, enriched: DataFrame, batch_id: int) -> None: ...
 

@@ -23,6 +23,8 @@ class KafkaSink:
     bootstrap_servers: str
     topic: str = OUTPUT_TOPIC
 
+    single_pass = True
+
     def write(self, enriched: DataFrame, batch_id: int) -> None:
         options = {"kafka.bootstrap.servers": self.bootstrap_servers, "topic": self.topic}
         records = kafka_payload(enriched).write.format("kafka")

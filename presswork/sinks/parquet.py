@@ -34,6 +34,8 @@ class ParquetSink:
     ingest_date: Column | None = None
     one_date: bool = False
 
+    single_pass = True
+
     def write(self, enriched: DataFrame, batch_id: int) -> None:
         if self.ingest_date is None:
             dated = enriched.withColumn("ingest_date", utc_date(F.current_timestamp()))

@@ -6,10 +6,10 @@ import logging
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from presswork.operators.scorers import ScorerFactory
-from presswork.operators.stats import batch_stats
+from presswork.operators.stats import batch_stats, stat_columns
 from presswork.plans.enrich import enrich
 from presswork.sinks import Sink
 from presswork.storage import shared_dir
@@ -53,14 +53,18 @@ def batch_writer(
       with ``per_batch``, is written first and read by the others. If it fails, they are
       not tried.
     * ``"persist"`` caches them: less to write, but lost blocks are scored again.
+    * ``"none"`` keeps nothing: for one sink alone that reads its rows once, such as
+      those for Parquet and Kafka. The counts are taken while it writes.
 
     ``enriching`` goes to ``enrich``.
     """
     _check("on_not_ready", on_not_ready, ("fail", "skip"))
     _check("on_error", on_error, ("fail", "skip"))
-    _check("reuse", reuse, ("table", "sink", "persist"))
+    _check("reuse", reuse, ("table", "sink", "persist", "none"))
     if reuse == "sink" and not (sinks and getattr(sinks[0], "per_batch", False)):
         raise ValueError("reuse='sink' needs a ParquetSink with per_batch as first sink")
+    if reuse == "none" and [getattr(s, "single_pass", False) for s in sinks] != [True]:
+        raise ValueError("reuse='none' needs exactly one sink, and one with single_pass")
 
     def table_folder(spark: SparkSession) -> str:
         nonlocal work_dir
@@ -76,6 +80,10 @@ def batch_writer(
                 deliver(rows, batch_id, sinks)
             finally:
                 rows.unpersist()
+        elif reuse == "none":
+            counts = Observation()
+            sinks[0].write(enriched.observe(counts, *stat_columns()), batch_id)
+            _report(batch_id, **counts.get)
         elif reuse == "sink":
             sinks[0].write(enriched, batch_id)
             deliver(sinks[0].written(enriched, batch_id), batch_id, sinks[1:])
@@ -87,16 +95,9 @@ def batch_writer(
 
     def deliver(rows: DataFrame, batch_id: int, receivers: Sequence[Sink]) -> None:
         stats = batch_stats(rows).first()
+        _report(batch_id, **stats.asDict())
         if stats.total == 0:
-            logger.info("batch %s: nothing to score", batch_id)
             return
-        logger.info(
-            "batch %s: processed=%s sentiment_errors=%s category_errors=%s",
-            batch_id,
-            stats.total,
-            stats.sentiment_errors,
-            stats.category_errors,
-        )
         failures = _write_all(receivers, rows, batch_id)
         if failures and on_error == "fail":
             names = ", ".join(failures)
@@ -118,6 +119,19 @@ def batch_writer(
     return write_batch
 
 
+def _report(batch_id: int, total: int, sentiment_errors: int, category_errors: int) -> None:
+    if total == 0:
+        logger.info("batch %s: nothing to score", batch_id)
+        return
+    logger.info(
+        "batch %s: processed=%s sentiment_errors=%s category_errors=%s",
+        batch_id,
+        total,
+        sentiment_errors,
+        category_errors,
+    )
+
+
 def _check(name: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
         raise ValueError(f"{name} must be one of {allowed}, not {value!r}")

@@ -131,6 +131,35 @@ def test_the_first_sinks_table_can_serve_the_others(spark, feed, tmp_path):
         assert sum(map(len, recorder.requests)) == 31
 
 
+def test_one_sink_alone_needs_no_copy(spark, feed, tmp_path, caplog):
+    traces = {spec: tmp_path / spec.prefix for spec in (SENTIMENT, CATEGORY)}
+    for folder in traces.values():
+        folder.mkdir()
+    recorders = [Recorder(folder, spec) for spec, folder in traces.items()]
+    feed.add(*[article(url_hash=f"k{n}", summary="t" if n % 3 else " ") for n in range(30)])
+    feed.add("not json")
+    feed.add(article(url_hash="z"))
+    sink = ParquetSink(str(tmp_path / "out"))
+    with caplog.at_level(logging.INFO, logger="presswork"):
+        feed.run(batch_writer([sink], *recorders, reuse="none"))
+    assert spark.read.parquet(sink.output_dir).count() == 31
+    for recorder in recorders:
+        assert sum(map(len, recorder.requests)) == 21
+    lines = [r.message for r in caplog.records if r.name.startswith("presswork")]
+    assert lines == [
+        "batch 0: processed=30 sentiment_errors=10 category_errors=10",
+        "batch 1: nothing to score",
+        "batch 2: processed=1 sentiment_errors=0 category_errors=0",
+    ]
+
+
+def test_only_one_sink_of_one_pass_goes_without_a_copy(tmp_path):
+    parquet = ParquetSink(str(tmp_path))
+    for sinks in ([], [Collected()], [parquet, parquet], [parquet, Collected()]):
+        with pytest.raises(ValueError, match="single_pass"):
+            writer(*sinks, reuse="none")
+
+
 def test_only_a_sink_with_a_table_per_batch_can_serve_the_others(tmp_path):
     for sinks in ([], [Collected()], [ParquetSink(str(tmp_path))]):
         with pytest.raises(ValueError, match="per_batch"):
