@@ -13,7 +13,7 @@ from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
-from itertools import chain
+from itertools import chain, compress
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -151,11 +151,12 @@ def answer_chunk(
 
     Blank texts are not sent. If the request fails, every row sent gets the message.
     """
-    asked = [row for row in rows if row[1] and row[1].strip()]
+    sent = [bool(text and text.strip()) for _, text in rows]
+    asked = list(compress(rows, sent))
     answers = iter(_ask(asked, scorer, spec, clock) if asked else [])
     return [
-        next(answers) if row[1] and row[1].strip() else Answer(None, None, clock(), EMPTY_TEXT)
-        for row in rows
+        next(answers) if was_sent else Answer(None, None, clock(), EMPTY_TEXT)
+        for was_sent in sent
     ]
 
 
@@ -168,7 +169,8 @@ def _ask(asked, scorer, spec, clock) -> list[Answer]:
             if len(found) != len(asked):
                 raise ValueError(f"{len(found)} answers to {len(asked)} texts")
         else:
-            latest = {reply.get("url_hash"): reply for reply in replies if type(reply) is dict}
+            usable = (reply for reply in replies if isinstance(reply, dict))
+            latest = {reply.get("url_hash"): reply for reply in usable}
             latest.pop(None, None)
             found = [latest.get(key) for key, _ in asked]
         return [_read(reply, spec, at) for reply in found]

@@ -20,7 +20,8 @@ _YEAR_MINUTES = 525600
 
 
 def document_articles(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and the ten article fields for each document."""
+    """``doc_id`` and the ten article fields for each document. As in a feed, the title
+    is the first line, and the summary, where there is one, the opening of the text."""
     doc, body = F.col("doc_id"), F.col("text")
     digest = F.md5(body)
     url = F.concat(F.lit("https://news.example/"), F.substring(digest, 1, 3))

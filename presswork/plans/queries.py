@@ -21,6 +21,7 @@ from presswork.operators import (
     match_scores,
     prepare_articles,
     score,
+    score_all,
     score_table,
     select_base,
 )
@@ -135,20 +136,16 @@ def score_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replies to some of the articles, several per ``url_hash``; the last one counts."""
+    """The replies of one run as a table, several per ``url_hash`` and none to some
+    articles; the last one counts."""
     base = _base(spark, sf_dir)
-    n = F.length("text_for_inference")
-    sentiment_labels = F.array(*map(F.lit, ("positive", "negative", "neutral")))
-    replies = base.filter(n % _GAP != 0).select(
-        "url_hash",
-        "doc_id",
-        F.get(sentiment_labels, n % 3).alias("sentiment_label"),
-        ((n % 101) / F.lit(100.0)).alias("sentiment_score"),
-        F.concat(F.lit("topic"), n % 5).alias("topic_label"),
-        ((n % 97) / F.lit(96.0)).alias("topic_score"),
-    )
+    scorers = {SENTIMENT: demo.LengthSentiment(_GAP), CATEGORY: demo.LengthTopic()}
+    answered = score_all(base, scorers).filter(F.col("sentiment_error").isNull())
+    topics = {"category_label": "topic_label", "category_score": "topic_score"}
     slim = base.select("doc_id", "url_hash", "text_for_inference")
-    matched = match_scores(slim, replies, SENTIMENT, CATEGORY, order_by=["doc_id"])
+    matched = match_scores(
+        slim, answered.withColumnsRenamed(topics), SENTIMENT, CATEGORY, order_by=["doc_id"]
+    )
     return matched.drop("text_for_inference")
 
 

@@ -340,7 +340,8 @@ def test_start_reads_the_topic_the_options_name(spark, monkeypatch):
 
 def test_scoring_works_on_a_stream_itself(spark, feed, tmp_path):
     feed.add(article(url_hash="a"), article(url_hash="b"))
-    base = keep_scorable(select_base(parse_articles(read_articles_files(spark, str(feed.incoming)))))
+    articles = parse_articles(read_articles_files(spark, str(feed.incoming)))
+    base = keep_scorable(select_base(articles))
     scored = score(base, SENTIMENT, LengthSentiment(), clock=clock)
     stream = scored.writeStream.format("memory").queryName("scored_stream")
     stream = stream.option("checkpointLocation", str(tmp_path / "checkpoint"))
