@@ -73,7 +73,8 @@ def join_unique(
     once per salt; all other rows keep salt 0. ``left`` is shuffled once, no task gets
     more than about ``hot_share`` of it from one key, and ``right`` grows by at most
     (1 / hot_share)² rows. Both broadcasts hold at most 1 / hot_share keys. Finding them
-    evaluates ``left`` a second time, pruned to its key.
+    evaluates ``left`` a second time, pruned to its key; where that costs more than a
+    copy, give ``storage.as_table(left)``.
     """
     salts = math.ceil(1 / hot_share)
     no_salt = F.lit(0).cast("bigint")

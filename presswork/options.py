@@ -28,6 +28,7 @@ class StreamOptions:
 
     # Own additions; the defaults leave Spark's behaviour alone.
     max_in_flight: int = 1
+    survivor_order: tuple[str, ...] | None = None  # e.g. ("published_at", "title")
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     scoring_partitions: int | None = None

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +27,7 @@ from presswork.plans import demo
 from presswork.plans.enrich import enrich
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, CONSOLE_FIELDS, IDENTITY
 from presswork.sinks import ParquetSink, kafka_payload, utc_date
-from presswork.storage import shared_dir
+from presswork.storage import as_table, new_folder
 from presswork.streaming import batch_writer
 
 _FIRST = ["published_at", "doc_id"]
@@ -66,6 +64,11 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_articles(articles, order_by=_FIRST, keep=["doc_id"])
 
 
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What scoring needs of the base, as a table for the plans that read it repeatedly."""
+    return as_table(_base(spark, sf_dir).select("doc_id", *IDENTITY, "text_for_inference"))
+
+
 def _enriched(articles: DataFrame, gaps: bool = False) -> DataFrame:
     return enrich(
         articles,
@@ -138,15 +141,14 @@ def score_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replies of one run as a table, several per ``url_hash`` and none to some
     articles; the last one counts."""
-    base = _base(spark, sf_dir)
+    base = _asked(spark, sf_dir)
     scorers = {SENTIMENT: demo.LengthSentiment(_GAP), CATEGORY: demo.LengthTopic()}
     answered = score_all(base, scorers).filter(F.col("sentiment_error").isNull())
     topics = {"category_label": "topic_label", "category_score": "topic_score"}
-    slim = base.select("doc_id", "url_hash", "text_for_inference")
     matched = match_scores(
-        slim, answered.withColumnsRenamed(topics), SENTIMENT, CATEGORY, order_by=["doc_id"]
+        base, answered.withColumnsRenamed(topics), SENTIMENT, CATEGORY, order_by=["doc_id"]
     )
-    return matched.drop("text_for_inference")
+    return matched.drop("fingerprint", "text_for_inference")
 
 
 def route_empty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,8 +172,8 @@ def count_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both result tables brought back to the articles on the row's identity."""
-    base = _base(spark, sf_dir)
-    asked = base.select(*IDENTITY, "text_for_inference")
+    base = _asked(spark, sf_dir)
+    asked = base.drop("doc_id")
     tables = [
         score(asked, spec, scorer, clock=demo.fixed_clock).drop("text_for_inference")
         for spec, scorer in (
@@ -184,14 +186,14 @@ def join_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _base(spark, sf_dir)
+    base = _asked(spark, sf_dir)
     return count_joined(
         base, {"sentiment": score_table(base, SENTIMENT, demo.LengthSentiment(_GAP))}
     )
 
 
 def join_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _base(spark, sf_dir)
+    base = _asked(spark, sf_dir)
     return count_joined(
         base,
         {
@@ -210,7 +212,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/presswork-roundtrip-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "roundtrip")
     sink = ParquetSink(folder, ingest_date=utc_date("published_at"))
     sink.write(_enriched_documents(spark, sf_dir), 0)
     written = spark.read.parquet(folder)
@@ -236,7 +238,7 @@ def enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through Structured Streaming: wire records in files, all of them as one
     micro-batch, the micro-batch function, and the Parquet sink, read back."""
-    folder = f"{shared_dir(spark)}/presswork-stream-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "stream")
     records = demo.document_wire(demo.read_documents(spark, sf_dir))
     records.write.parquet(f"{folder}/wire")
     wire = spark.readStream.schema(records.schema).parquet(f"{folder}/wire")

@@ -1,10 +1,11 @@
-"""Where intermediate tables go."""
+"""Intermediate tables, and where they go."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,3 +19,18 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="presswork-")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_dir(spark)}/presswork-{purpose}-{uuid.uuid4().hex}"
+
+
+def as_table(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written to ``folder`` (by default a new shared one) and read back.
+
+    For rows that several plans need: they are computed here and now, once, and no
+    executor lost later brings the computation back.
+    """
+    folder = folder or new_folder(df.sparkSession, "table")
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

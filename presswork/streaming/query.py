@@ -73,6 +73,7 @@ def start(
         reuse=options.reuse,
         work_dir=_work_dir(spark, checkpoint) if options.reuse == "table" else None,
         max_chars=options.max_chars,
+        order_by=options.survivor_order,
         partitions=options.scoring_partitions,
         chunk_size=options.chunk_size,
         max_in_flight=options.max_in_flight,

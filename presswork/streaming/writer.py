@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +11,7 @@ from presswork.operators.scorers import ScorerFactory
 from presswork.operators.stats import batch_stats, stat_columns
 from presswork.plans.enrich import enrich
 from presswork.sinks import Sink
-from presswork.storage import shared_dir
+from presswork.storage import as_table, new_folder
 
 logger = logging.getLogger(__name__)
 
@@ -69,7 +68,7 @@ def batch_writer(
     def table_folder(spark: SparkSession) -> str:
         nonlocal work_dir
         if work_dir is None:
-            work_dir = f"{shared_dir(spark)}/presswork-batch-{uuid.uuid4().hex}"
+            work_dir = new_folder(spark, "batch")
         return work_dir
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -88,9 +87,7 @@ def batch_writer(
             sinks[0].write(enriched, batch_id)
             deliver(sinks[0].written(enriched, batch_id), batch_id, sinks[1:])
         else:
-            folder = table_folder(batch.sparkSession)
-            enriched.write.mode("overwrite").parquet(folder)
-            rows = batch.sparkSession.read.schema(enriched.schema).parquet(folder)
+            rows = as_table(enriched, table_folder(batch.sparkSession))
             deliver(rows, batch_id, sinks)
 
     def deliver(rows: DataFrame, batch_id: int, receivers: Sequence[Sink]) -> None:

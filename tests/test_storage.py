@@ -1,9 +1,10 @@
 from unittest.mock import Mock
 
 import pytest
+from pyspark.sql import functions as F
 
 from presswork.options import StreamOptions
-from presswork.storage import shared_dir
+from presswork.storage import as_table, shared_dir
 from presswork.streaming import checkpoint_path
 
 
@@ -34,3 +35,17 @@ def test_a_cluster_never_gets_a_local_folder():
 def test_a_local_master_may_use_a_temporary_folder():
     assert shared_dir(session(**LOCAL)) != shared_dir(session(**LOCAL))
     assert checkpoint_path(session(**LOCAL), StreamOptions()) == "/tmp/raw_news_checkpoints"
+
+
+def test_a_table_is_computed_once(spark, tmp_path):
+    traces = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def trace(n):
+        traces.add(1)
+        return n
+
+    table = as_table(spark.range(10).select(trace("id").alias("n")), str(tmp_path / "t"))
+    assert (table.count(), table.agg(F.sum("n")).first()[0]) == (10, 45)
+    assert traces.value == 10
+    assert as_table(spark.range(3).selectExpr("int(id) n"), str(tmp_path / "t")).count() == 3

@@ -263,10 +263,13 @@ def test_start_runs_the_whole_stream(spark, feed, tmp_path, capfd):
 
 
 def test_start_takes_own_sinks(spark, feed, tmp_path):
-    feed.add(article(url_hash="a"))
+    feed.add(*[article(url_hash="a", title=title) for title in "cab"])
     sink = ParquetSink(str(tmp_path / "own"), per_batch=True)
     options = StreamOptions(
-        checkpoint_location=str(tmp_path / "checkpoint"), show_console=False, reuse="persist"
+        checkpoint_location=str(tmp_path / "checkpoint"),
+        show_console=False,
+        reuse="persist",
+        survivor_order=("title",),
     )
     start(
         spark,
@@ -278,7 +281,7 @@ def test_start_takes_own_sinks(spark, feed, tmp_path):
         wire=read_articles_files(spark, str(feed.incoming)),
         trigger=NOW,
     ).awaitTermination()
-    assert spark.read.parquet(sink.output_dir).count() == 1
+    assert [r.title for r in spark.read.parquet(sink.output_dir).collect()] == ["a"]
 
 
 def test_checkpoint_defaults_to_the_shared_folder(spark):
