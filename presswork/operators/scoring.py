@@ -117,8 +117,11 @@ def _answer_udf(scorers, chunk_size, max_in_flight, clock):
             asking = []
             for spec, factory in scorers.items():
                 ask = partial(answer_chunk, scorer=factory(), spec=spec, clock=clock)
-                pool = stack.enter_context(ThreadPoolExecutor(threads)) if threads else None
-                asking.append(partial(pool.map if pool else map, ask))
+                if threads:
+                    pool = ThreadPoolExecutor(threads)
+                    # Requests nobody waits for any more, as under a limit, are dropped.
+                    stack.callback(pool.shutdown, wait=False, cancel_futures=True)
+                asking.append(partial(pool.map if threads else map, ask))
             for chunks in _chunks(batches, chunk_size):
                 # Every pool has its requests before the first answer is waited for.
                 pending = [ask_all(chunks) for ask_all in asking]
