@@ -53,7 +53,8 @@ def batch_writer(
       not tried.
     * ``"persist"`` caches them: less to write, but lost blocks are scored again.
     * ``"none"`` keeps nothing: for one sink alone that reads its rows once, such as
-      those for Parquet and Kafka. The counts are taken while it writes.
+      those for Parquet and Kafka. The counts, which are logged only, are taken while it
+      writes; where the sink shuffles (dates that vary), a repeated stage counts twice.
 
     ``enriching`` goes to ``enrich``.
     """
