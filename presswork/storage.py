@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
+_stated: list[str] = []
 
-    Only a local master, whose executors all sit on this machine, may do without.
-    """
+
+def use_shared_dir(folder: str) -> None:
+    """The folder to use in sessions that do not name one in ``spark.checkpoint.dir``.
+    Every executor must see it under this path."""
+    _stated[:] = [folder]
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: what ``spark.checkpoint.dir`` names, else what
+    ``use_shared_dir`` stated. There is no default, on one machine neither."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="presswork-")
+    for folder in (configured, *_stated):
+        if folder:
+            return folder.rstrip("/")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 

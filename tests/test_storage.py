@@ -3,6 +3,7 @@ from unittest.mock import Mock
 import pytest
 from pyspark.sql import functions as F
 
+from presswork import storage
 from presswork.options import StreamOptions
 from presswork.storage import as_table, shared_dir
 from presswork.streaming import checkpoint_path
@@ -25,15 +26,21 @@ def test_the_named_folder_is_used():
     assert stated == "hdfs:///shared/t_checkpoints"
 
 
-def test_a_cluster_never_gets_a_local_folder():
+def test_a_cluster_never_gets_a_local_folder(monkeypatch):
+    monkeypatch.setattr(storage, "_stated", [])
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session(**CLUSTER))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_path(session(**CLUSTER), StreamOptions())
 
 
-def test_a_local_master_may_use_a_temporary_folder():
-    assert shared_dir(session(**LOCAL)) != shared_dir(session(**LOCAL))
+def test_no_session_gets_a_folder_nobody_named(monkeypatch):
+    monkeypatch.setattr(storage, "_stated", [])
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(**LOCAL))
+    storage.use_shared_dir("/stated/")
+    assert shared_dir(session(**LOCAL)) == shared_dir(session(**CLUSTER)) == "/stated"
+    assert shared_dir(session(**SHARED)) == "hdfs:///shared"
     assert checkpoint_path(session(**LOCAL), StreamOptions()) == "/tmp/raw_news_checkpoints"
 
 
