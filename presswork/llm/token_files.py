@@ -13,6 +13,7 @@ import json
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,9 +25,9 @@ from presswork.storage import new_folder
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 # Texts handed over at once hold this many characters, or one text.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 # Pieces of text a worker remembers the ids of.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 1000
 
@@ -75,8 +76,6 @@ class _Encoder:
         self._known = worker_cache(f"pieces of {path}")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
@@ -112,8 +111,6 @@ def _chunks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         encoder, start = _Encoder(path), 0
         part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
@@ -176,8 +173,6 @@ def part_offsets(files: DataFrame) -> DataFrame:
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import numpy as np
-
     for batch in batches:
         tokens = batch.column("tokens")
         values = np.ascontiguousarray(tokens.values.to_numpy(zero_copy_only=False), "<u4")
