@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from presswork.llm import mixing, token_files
+from presswork.llm import decontaminate, mixing, secrets, token_files
 
 QUERIES = {
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_scan_secrets": secrets.op6_scan_secrets,
     "op9_token_files": token_files.op9_token_files,
 }
 ORACLES = {
+    "op4_decontaminate": decontaminate.SQL,
     "op5_mix_sources": mixing.SQL,
+    "op6_scan_secrets": secrets.SQL,
 }
