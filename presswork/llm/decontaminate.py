@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table
+from presswork.llm.tables import read_table, ship, unpack
 from presswork.storage import as_table
 
 WINDOW = 10
@@ -188,7 +188,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _match(shared, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton: Automaton = shared.value
+        automaton: Automaton = unpack(shared)
         number = automaton.vocabulary.get
         for batch in batches:
             n_words, all_spans, all_items = [], [], []
@@ -250,7 +250,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
                 ("items", pa.list_(pa.string())),
             ]
         )
-        rows = rows.mapInArrow(_match(context.broadcast(automaton), plain), schema)
+        rows = rows.mapInArrow(_match(ship(context, automaton), plain), schema)
     return rows
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from presswork.llm import decontaminate, mixing, secrets, token_files
+from presswork.llm import decontaminate, language, mixing, secrets, token_files, topk
 
 QUERIES = {
+    "op1_top_k": topk.op1_top_k,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_scan_secrets": secrets.op6_scan_secrets,
+    "op8_identify_language": language.op8_identify_language,
     "op9_token_files": token_files.op9_token_files,
 }
 ORACLES = {
+    "op1_top_k": topk.SQL,
     "op4_decontaminate": decontaminate.SQL,
     "op5_mix_sources": mixing.SQL,
     "op6_scan_secrets": secrets.SQL,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 
+from pyspark import Broadcast, SparkContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -18,3 +20,13 @@ def worker_cache(name: str) -> dict:
     a lost worker takes its dict along."""
     module = sys.modules.setdefault("_presswork_worker", types.ModuleType("_presswork_worker"))
     return module.__dict__.setdefault(name, {})
+
+
+def ship(context: SparkContext, value: object) -> Broadcast:
+    """A broadcast of ``value`` together with its class, which executors need not have.
+    Only for what has a stated bound."""
+    return context.broadcast(cloudpickle.dumps(value))
+
+
+def unpack(shared: Broadcast) -> object:
+    return pickle.loads(shared.value)
