@@ -139,10 +139,10 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 with whole as (
-  select vec_id, list_transform(embedding, x -> floor(x::double * 1024)) as v
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)) as v
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
   from whole q join whole c on q.vec_id <> c.vec_id
