@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presswork.llm import decontaminate, language, mixing, secrets, token_files, topk
+from presswork.llm import decontaminate, jaccard, language, mixing, secrets, token_files, topk
 
 QUERIES = {
     "op1_top_k": topk.op1_top_k,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_scan_secrets": secrets.op6_scan_secrets,
     "op8_identify_language": language.op8_identify_language,
     "op9_token_files": token_files.op9_token_files,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 ORACLES = {
     "op1_top_k": topk.SQL,
