@@ -114,12 +114,14 @@ def _windows(bits: int, percent: int):
                 shared = hg.read_answers(answers)[np.searchsorted(keys, cut)]
                 cuts = _sets(found, len(ends))
                 nodes, sizes, sets, pivots = [], [], [], []
-                for place in chosen:
+                for doc in chosen:
+                    place, copies = doc["place"], doc["copies"]
                     a, b = cuts[place], cuts[place + 1]
                     n = int(b - a)
                     window = n - (percent * n + 99) // 100 + 1
                     first = np.lexsort((found[0][a:b], shared[a:b]))[:window]
-                    known = first[shared[a:b][first] > 1]
+                    others = shared[a:b][first]
+                    known = first[(others > copies) | (others == hg.MOST)]
                     if len(known):
                         nodes.append(gid << 20 | place)
                         sizes.append(n)
@@ -283,10 +285,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     # Copies of a set are one point; the smallest node stands for it.
     classes = listed.filter("n_shingles > 0").groupBy("print").agg(
-        F.min(F.struct("node", "gid", "place")).alias("first"), F.min("doc_id").alias("least_id")
+        F.min(F.struct("node", "gid", "place")).alias("first"),
+        F.min("doc_id").alias("least_id"),
+        F.count("*").alias("copies"),
+    )
+    classes = as_table(classes.select("print", "first.*", "least_id", "copies"))
+    copies = F.least("copies", F.lit(hg.MOST)).cast("int").alias("copies")
+    chosen = classes.groupBy("gid").agg(
+        F.sort_array(F.collect_list(F.struct("place", copies))).alias("chosen")
     )
-    classes = as_table(classes.select("print", "first.*", "least_id"))
-    chosen = classes.groupBy("gid").agg(F.sort_array(F.collect_list("place")).alias("chosen"))
     answers, bits = hg.census(groups, shingles)
     asked = groups.select("gid", "ends", "body").join(answers, "gid").join(chosen, "gid")
     points = as_table(
