@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from presswork.llm import decontaminate, jaccard, language, mixing, secrets, suffixes, token_files, topk
+from presswork.llm import (
+    decontaminate,
+    html_text,
+    jaccard,
+    language,
+    mixing,
+    secrets,
+    suffixes,
+    token_files,
+    topk,
+)
 
 QUERIES = {
     "op1_top_k": topk.op1_top_k,
     "op2_remove_repeats": suffixes.op2_remove_repeats,
+    "op3_main_text": html_text.op3_main_text,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_scan_secrets": secrets.op6_scan_secrets,
