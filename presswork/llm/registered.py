@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from presswork.llm import (
     decontaminate,
     html_text,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_identify_language": language.op8_identify_language,
     "op9_token_files": token_files.op9_token_files,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_top_k": topk.SQL,
