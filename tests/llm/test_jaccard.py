@@ -1,0 +1,110 @@
+import numpy as np
+import pytest
+
+from presswork.llm import hash_groups, jaccard
+from presswork.llm.graph import components
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+
+
+def plain(rows):
+    sets = [shingle_set(t) for _, t in rows]
+    top = list(range(len(rows)))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 85 * len(sets[i] | sets[j]):
+                top[find(i)] = find(j)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        group = [rows[j][0] for j in range(len(rows)) if find(j) == find(i)]
+        named = [d for d in group if d is not None]
+        out.append((doc_id, len(sets[i]), min(named) if named else None))
+    return sorted(out, key=str)
+
+
+def check(spark, rows, partitions=3):
+    docs = spark.createDataFrame(
+        [(d, t, 1, "x") for d, t in rows], "doc_id long, text string, node int, region string"
+    )
+    got = jaccard.jaccard_components(docs.repartition(partitions))
+    assert sorted(map(tuple, got.collect()), key=str) == plain(rows)
+
+
+def changed(rng, words, n):
+    words = list(words)
+    for at in rng.choice(len(words), n, replace=False):
+        words[at] = f"new{rng.integers(1 << 30)}"
+    return " ".join(words)
+
+
+def test_awkward_rows(spark):
+    rng = np.random.default_rng(2)
+    base = [f"w{rng.integers(1000)}" for _ in range(200)]
+    rows = [(i, changed(rng, base, int(rng.integers(0, 9)))) for i in range(10, 40)]
+    rows += [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "One"), (6, "one two"), (7, "two one")]
+    rows += [(8, "a b c d"), (9, "A  B\nc d"), (50, "a b c"), (51, "a b c d e")]
+    rows += [(11, rows[1][1]), (None, " ".join(base)), (None, "lone text here now"), (60, " ".join(base * 50))]
+    rows += [(70 + i, " ".join(base) + f" tail{i}") for i in range(5)]
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("cell", [128, 4])
+def test_a_region_whose_documents_are_far_from_its_pivot(spark, monkeypatch, cell):
+    """A chain: neighbours link, the others do not, and all share rare shingles."""
+    monkeypatch.setattr(jaccard, "CELL_DOCS", cell)
+    monkeypatch.setattr(hash_groups, "BUCKET_HASHES", 200)
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(24):
+        rows.append((i, " ".join(words)))
+        at = int(rng.integers(len(words)))
+        words[at] = f"x{i}"
+    check(spark, rows, 2)
+
+
+def test_documents_around_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL_DOCS", 5)
+    rng = np.random.default_rng(4)
+    hub = [f"w{i}" for i in range(100)]
+    rows = [(100, " ".join(hub))] + [(i, changed(rng, hub, 3)) for i in range(30)]
+    check(spark, rows)
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.jaccard_components(docs).collect() == []
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (41, 50), (7, 7), (60, 60), (2, 1)]
+    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert got == {i: 1 for i in range(1, 31)} | {40: 40, 41: 40, 50: 40}
+
+
+def test_census_counts_documents(spark):
+    texts = [(i, f"same words in all {'and some more' if i % 2 else ''} {i}") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    groups = hash_groups.pack(docs, jaccard._describe)
+    answers, bits = hash_groups.census(groups, jaccard.shingles)
+    rows = groups.join(answers, "gid").collect()
+    total = {}
+    for row in rows:
+        raw, ends = hash_groups.unsqueeze(row["body"]), np.array(row["ends"])
+        keys, _ = hash_groups.distinct(jaccard.shingles(raw, ends), bits)
+        total.update(zip(keys.tolist(), hash_groups.read_answers(row["answers"]).tolist(), strict=True))
+    expected = {}
+    for _, text in texts:
+        for shingle in shingle_set(text):
+            expected[shingle] = expected.get(shingle, 0) + 1
+    assert sorted(total.values()) == sorted(expected.values())

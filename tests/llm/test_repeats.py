@@ -1,0 +1,93 @@
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from presswork.llm import hash_groups, suffixes
+
+
+@given(st.text("ab", min_size=1, max_size=300))
+@settings(max_examples=60, deadline=None)
+def test_suffix_array_and_prefixes(text):
+    raw = text.encode()
+    values = np.frombuffer(raw, "u1")
+    words = suffixes._words(values)
+    order = suffixes.suffix_array(values, words)
+    assert sorted(order.tolist()) == list(range(len(raw)))
+    cut = [raw[i : i + 50] for i in order]
+    assert cut == sorted(cut)
+    for a, b, n in zip(order, order[1:], suffixes.common_prefixes(order, words)[1:], strict=False):
+        x, y = raw[a : a + 50].ljust(50, b"\0"), raw[b : b + 50].ljust(50, b"\0")
+        assert n == next((i for i in range(50) if x[i] != y[i]), 50)
+
+
+def test_only_rising_suffixes_are_sorted_directly():
+    assert suffixes.rises(np.frombuffer(b"banana", "u1")).tolist() == [0, 1, 0, 1, 0, 0]
+    assert suffixes.rises(np.frombuffer(b"aab", "u1")).tolist() == [1, 1, 0]
+
+
+@given(st.lists(st.text("xyz", max_size=130), min_size=1, max_size=6))
+@settings(max_examples=40, deadline=None)
+def test_equal_strings_have_equal_anchors(texts):
+    raws = [t.encode() for t in texts]
+    raw, ends = b"".join(raws), np.cumsum([len(r) for r in raws])
+    begins, places, hashes = suffixes.anchors(raw, ends)
+    expected = [e - len(r) + i for r, e in zip(raws, ends, strict=True) for i in range(len(r) - 49)]
+    assert begins.tolist() == expected
+    seen = {}
+    for begin, place, hashed in zip(begins.tolist(), places.tolist(), hashes.tolist(), strict=True):
+        assert begin <= place <= begin + 25
+        assert seen.setdefault(raw[begin : begin + 50], (place - begin, hashed)) == (place - begin, hashed)
+
+
+def plain(rows):
+    out = []
+    for doc_id, text in rows:
+        raw = (text or "").encode()
+        gone = [False] * len(raw)
+        earlier = {
+            o.encode()[i : i + 50]
+            for d, o in rows
+            if o and d is not None and (doc_id is None or d < doc_id)
+            for i in range(len(o.encode()) - 49)
+        }
+        for i in range(len(raw) - 49):
+            if raw[i : i + 50] in earlier:
+                gone[i : i + 50] = [True] * 50
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        out.append((doc_id, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def awkward():
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdeé "), 7))
+    passage = "".join(word() for _ in range(12))
+    rows = [(i, "".join(word() for _ in range(20)) + passage + word() * 3) for i in range(12)]
+    rows += [(20, passage), (21, passage[:49]), (22, passage[1:51]), (23, None), (24, "")]
+    rows += [(30, "z" * 400), (31, "z" * 60), (32, "y" + "z" * 49)]
+    rows += [(40, rows[3][1]), (41, rows[3][1]), (41, rows[3][1]), (None, rows[5][1]), (None, passage)]
+    rows += [(50, "\0" * 70 + passage), (51, "ÿ" * 40), (52, "ÿ" * 40), (53, passage * 300)]
+    return rows
+
+
+@pytest.mark.parametrize("crowded", [1000, 2])
+def test_remove_repeats(spark, monkeypatch, crowded):
+    monkeypatch.setattr(suffixes, "CROWDED", crowded)
+    monkeypatch.setattr(suffixes, "BATCH_FRAGMENTS", 50)
+    monkeypatch.setattr(hash_groups, "BUCKET_HASHES", 300)
+    rows = awkward()
+    docs = spark.createDataFrame(
+        [(d, t, "clash", 1, 2) for d, t in rows],
+        "doc_id long, text string, node string, owner int, `print` int",
+    )
+    got = [tuple(r) for r in suffixes.remove_repeats(docs.repartition(3)).collect()]
+    assert sorted(got, key=str) == plain(rows)
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert suffixes.remove_repeats(docs).collect() == []
