@@ -30,6 +30,7 @@ CENTROIDS = 4
 # with the smallest hashes of doc_id. A language's clustering holds that many vectors.
 SAMPLE = 400
 ROUNDS = 8
+BROADCAST_LANGS = 10_000
 # A text is rejected if its cosine is below this share of the cosine that all but
 # REJECT_TAIL of the language's own documents in the sample reach.
 REJECT_SHARE = 0.25
@@ -152,7 +153,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labelled.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull()
     )
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = as_table(usable.groupBy("lang").agg(F.count("*").alias("_n")))
+    # Texts stay where they are unless there are more languages than a broadcast may hold.
+    if sizes.count() <= BROADCAST_LANGS:
+        sizes = F.broadcast(sizes)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     picked = usable.join(sizes, "lang").filter(place * F.col("_n") < sample)
     spec = "lang string, grams array<int>, counts array<int>"
