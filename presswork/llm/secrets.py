@@ -59,20 +59,30 @@ def _most(bits: float) -> float:
     return round(WINDOW * (math.log2(WINDOW) - bits), 6)
 
 
+def _bound(value: Column, use: Callable) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _in_blocks(items: Column, state: Column, step: Callable, out: str) -> Column:
     """``aggregate`` of ``step`` over ``items``, whose list ``out`` in the state is put
     together from blocks. ``state``: a struct with an empty ``out``."""
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _BLOCK).cast("int")),
-        lambda k: F.slice(items, k * _BLOCK + 1, _BLOCK),
+    blocks = _bound(
+        items,
+        lambda all_items: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_items) - 1) / _BLOCK).cast("int")),
+            lambda k: F.slice(all_items, k * _BLOCK + 1, _BLOCK),
+        ),
     )
     empty = F.array().cast(_SPAN)
 
     def block(held: Column, chunk: Column) -> Column:
-        done = F.aggregate(chunk, held["state"], step)
-        return F.struct(
-            done.withField(out, empty).alias("state"),
-            F.concat(held["lists"], F.array(done[out])).alias("lists"),
+        return _bound(
+            F.aggregate(chunk, held["state"], step),
+            lambda done: F.struct(
+                done.withField(out, empty).alias("state"),
+                F.concat(held["lists"], F.array(done[out])).alias("lists"),
+            ),
         )
 
     start = F.struct(state.alias("state"), F.array().cast(f"array<{_SPAN}>").alias("lists"))
@@ -149,13 +159,21 @@ def _entropic(allowed: Sequence[str]) -> Callable:
 
         def step(state: Column, item: Column) -> Column:
             enters, leaves = item["enters"], item["leaves"]
-            counts = state["counts"]
-            more = F.element_at(counts, enters + 1)
-            added = F.transform(counts, lambda c, j: F.when(j == enters, c + 1).otherwise(c))
-            fewer = F.element_at(added, leaves + 1)
+            more = F.element_at(state["counts"], enters + 1)
+            # The character that goes is counted after the one that comes is in.
+            fewer = F.element_at(state["counts"], leaves + 1) + (enters == leaves).cast("int")
             lost = F.when(leaves >= 0, weight(fewer) - weight(fewer - 1)).otherwise(0.0)
-            total = state["total"] + weight(more + 1) - weight(more) - lost
-            others = state["others"] + is_hex(enters) - is_hex(leaves)
+            counts = F.transform(
+                state["counts"],
+                lambda c, j: c + (j == enters).cast("int") - (j == leaves).cast("int"),
+            )
+            moved = F.struct(
+                (state["total"] + weight(more + 1) - weight(more) - lost).alias("total"),
+                (state["others"] + is_hex(enters) - is_hex(leaves)).alias("others"),
+            )
+            return _bound(moved, lambda now: judged(state, counts, now["total"], now["others"]))
+
+        def judged(state: Column, counts: Column, total: Column, others: Column) -> Column:
             limit = F.when(others == 0, _most(HEX_BITS)).otherwise(_most(MIXED_BITS))
             place = state["place"] + 1
             hot = (place >= WINDOW) & (total <= limit)
@@ -163,9 +181,7 @@ def _entropic(allowed: Sequence[str]) -> Callable:
             apart = hot & (begin > state["close"])
             flush = apart & (state["close"] > state["open"])
             return F.struct(
-                F.transform(added, lambda c, j: F.when(j == leaves, c - 1).otherwise(c)).alias(
-                    "counts"
-                ),
+                counts.alias("counts"),
                 total.alias("total"),
                 others.alias("others"),
                 place.alias("place"),
@@ -185,11 +201,13 @@ def _entropic(allowed: Sequence[str]) -> Callable:
             F.lit(-1).alias("close"),
             empty.alias("spans"),
         )
-        done = _in_blocks(steps, state, step, "spans")
-        spans = F.concat(
-            done["spans"],
-            F.when(done["close"] > done["open"], span(done["open"], done["close"])).otherwise(
-                empty
+        spans = _bound(
+            _in_blocks(steps, state, step, "spans"),
+            lambda done: F.concat(
+                done["spans"],
+                F.when(done["close"] > done["open"], span(done["open"], done["close"])).otherwise(
+                    empty
+                ),
             ),
         )
         passed = F.lit(False)
