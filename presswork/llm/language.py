@@ -35,8 +35,8 @@ BROADCAST_LANGS = 10_000
 # REJECT_TAIL of the language's own documents in the sample reach.
 REJECT_SHARE = 0.25
 REJECT_TAIL = 0.02
-# Texts with fewer different grams are given more room, in proportion.
-FULL_GRAMS = 200
+# Texts with fewer grams are given more room, in proportion.
+FULL_GRAMS = 400
 _BATCH = 256
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -103,7 +103,7 @@ class Model:
                 langs[i] = self.langs[j]
             top = cosines[np.arange(len(some)), best]
             scores[some] = np.clip(top, 0, 1)
-            room = np.minimum(1, np.count_nonzero(counts, axis=1) / FULL_GRAMS)
+            room = np.minimum(1, counts.sum(1) / FULL_GRAMS)
             rejected[some] = top < self.limits[best] * room
         return langs, scores, rejected
 
