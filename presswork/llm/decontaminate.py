@@ -261,6 +261,8 @@ def _covered() -> F.Column:
 
 def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
     def cut(text, hits):
+        if text is None or not len(hits):
+            return text
         words = [match.span() for match in _WORD.finditer(text)]
         kept, at = [], 0
         for hit in hits:

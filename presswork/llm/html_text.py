@@ -158,7 +158,7 @@ def parse(source: str) -> Page:
         if page.tags[stack[-1]] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and len(stack) > 1:
             stack.pop()
         ends, fence = _ENDS.get(tag, ((), ()))
-        for depth in range(len(stack) - 1, 0, -1):
+        for depth in range(len(stack) - 1 if ends else 0, 0, -1):
             open_tag = page.tags[stack[depth]]
             if open_tag in fence:
                 break
