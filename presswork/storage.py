@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +40,16 @@ def as_table(df: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or new_folder(df.sparkSession, "table")
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that no one holds any more. It does so
+    when the driver's JVM collects its garbage, which on a large heap can take long."""
+    gc.collect()
+    spark._jvm.System.gc()

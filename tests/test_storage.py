@@ -56,3 +56,12 @@ def test_a_table_is_computed_once(spark, tmp_path):
     assert (table.count(), table.agg(F.sum("n")).first()[0]) == (10, 45)
     assert traces.value == 10
     assert as_table(spark.range(3).selectExpr("int(id) n"), str(tmp_path / "t")).count() == 3
+
+
+def test_a_table_is_removed(spark, tmp_path):
+    folder = tmp_path / "t"
+    as_table(spark.range(3).toDF("n"), str(folder))
+    assert folder.exists()
+    storage.remove(spark, str(folder))
+    storage.release(spark)
+    assert not folder.exists()
