@@ -123,14 +123,29 @@ def _pack(describe: Callable):
     return run
 
 
-def pack(docs: DataFrame, describe: Callable) -> DataFrame:
+def pack(docs: DataFrame, describe: Callable, folder: str | None = None) -> DataFrame:
     """The whole texts of ``docs`` (``doc_id, text``) in groups, as a table. Null is empty.
 
-    ``describe(raw, ends)`` gives the number of hashes of a group and, if wanted, a size
-    and a fingerprint of each document.
+    ``describe(raw, ends)`` gives about the number of hashes of a group and, if wanted, a
+    size and a fingerprint of each document.
     """
     rows = docs.select(docs["doc_id"].cast("long"), F.encode(docs["text"], "UTF-8"))
-    return as_table(rows.mapInArrow(_pack(describe), GROUP_SCHEMA))
+    return as_table(rows.mapInArrow(_pack(describe), GROUP_SCHEMA), folder)
+
+
+def list_documents(groups: DataFrame) -> DataFrame:
+    """``node, gid, place, doc_id, size, print`` of each document; ``node`` is its own
+    whatever its ``doc_id``."""
+    documents = F.arrays_zip("doc_ids", "sizes", "prints")
+    listed = groups.select("gid", F.posexplode(documents).alias("place", "doc"))
+    return listed.select(
+        F.shiftleft("gid", 20).bitwiseOR(F.col("place")).alias("node"),
+        "gid",
+        "place",
+        F.col("doc.doc_ids").alias("doc_id"),
+        F.col("doc.sizes").cast("long").alias("size"),
+        F.col("doc.prints").alias("print"),
+    )
 
 
 def distinct(hashes: Hashes, bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from presswork.llm import hash_groups as hg
 from presswork.llm.graph import components
 from presswork.llm.tables import read_table
-from presswork.storage import as_table
+from presswork.storage import as_table, new_folder, remove
 
 SHINGLE_WORDS = 4
 # Two documents link when 100 * intersection >= PERCENT * union.
@@ -271,18 +271,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Other columns are ignored, and an empty table gives an empty one. Shingles are compared
     by 64-bit hashes.
     """
-    groups = hg.pack(docs, _describe)
-    listed = groups.select(
-        "gid", F.posexplode(F.arrays_zip("doc_ids", "sizes", "prints")).alias("place", "doc")
-    )
-    listed = listed.select(
-        F.shiftleft("gid", 20).bitwiseOR(F.col("place")).alias("node"),
-        "gid",
-        "place",
-        F.col("doc.doc_ids").alias("doc_id"),
-        F.col("doc.sizes").cast("long").alias("n_shingles"),
-        F.col("doc.prints").alias("print"),
-    )
+    spark, folder = docs.sparkSession, new_folder(docs.sparkSession, "groups")
+    groups = hg.pack(docs, _describe, folder)
+    listed = as_table(hg.list_documents(groups).withColumnRenamed("size", "n_shingles"))
     # Copies of a set are one point; the smallest node stands for it.
     classes = listed.filter("n_shingles > 0").groupBy("print").agg(
         F.min(F.struct("node", "gid", "place")).alias("first"),
@@ -301,6 +292,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             _windows(bits, percent), "node long, n int, hashes binary, pivots array<long>"
         )
     )
+    remove(spark, folder)
     members, measured = _regions(points, percent)
     near = measured.filter(_linked(F.col("common"), F.col("n"), F.col("m"), percent))
     near = near.select("a", "b")

@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from presswork.llm import hash_groups as hg
 from presswork.llm.tables import read_table
-from presswork.storage import as_table
+from presswork.storage import as_table, new_folder, release, remove
 
 LENGTH = 50
 ANCHOR = 25
+# Bytes of text for an anchor, about: half of the strings' starts around it.
+ANCHOR_EVERY = 13
 # Fragments that are sorted together, and those of one anchor from which on it is cut up.
 BATCH_FRAGMENTS = 4000
 CROWDED = 1000
@@ -164,7 +166,14 @@ def anchors(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def anchor_hashes(raw: bytes, ends: np.ndarray) -> hg.Hashes:
-    _, places, hashes = anchors(raw, ends)
+    """The distinct anchors of each document, by document."""
+    return _by_document(ends, *anchors(raw, ends)[1:])
+
+
+def _by_document(ends: np.ndarray, places: np.ndarray, hashes: np.ndarray) -> hg.Hashes:
+    first = np.ones(len(places), bool)
+    first[1:] = places[1:] != places[:-1]
+    places, hashes = places[first], hashes[first]
     docs = np.searchsorted(ends, places, "right")
     order = np.lexsort((hashes, docs))
     hashes, docs = hashes[order], docs[order]
@@ -181,7 +190,7 @@ def _describe(raw: bytes, ends: np.ndarray) -> tuple[int, list[int], list[bytes]
         hashlib.blake2b(raw[a:b], digest_size=16).digest()
         for a, b in zip(cuts, cuts[1:], strict=False)
     ]
-    return len(anchor_hashes(raw, ends)[0]), np.diff(cuts).tolist(), prints
+    return len(raw) // ANCHOR_EVERY, np.diff(cuts).tolist(), prints
 
 
 def _fragments(bits: int):
@@ -194,9 +203,13 @@ def _fragments(bits: int):
                 *[c.to_pylist() for c in batch.columns], strict=True
             ):
                 raw, ends = hg.unsqueeze(body), np.array(ends)
-                keys, _ = hg.distinct(anchor_hashes(raw, ends), bits)
                 begins, places, hashes = anchors(raw, ends)
+                keys, _ = hg.distinct(_by_document(ends, places, hashes), bits)
                 known = hg.read_answers(answers)
+                # The strings of an anchor lie side by side.
+                first = np.flatnonzero(np.diff(places, prepend=-1))
+                strings = np.diff(np.append(first, len(places)))
+                begins, hashes = begins[first], hashes[first]
                 shared = (
                     known[np.searchsorted(keys, hashes >> np.uint64(64 - bits))]
                     if len(known)
@@ -208,20 +221,16 @@ def _fragments(bits: int):
                     a, b = int(ends[place - 1]) if place else 0, int(ends[place])
                     some = slice(*np.searchsorted(begins, [a, b]))
                     found = (shared[some] > copies) | (shared[some] == hg.MOST)
-                    here, at = begins[some][found], places[some][found]
-                    first = np.flatnonzero(np.diff(at, prepend=-1))
-                    last = np.append(first, len(at))[1:] - 1
-                    lows, highs = here[first], here[last] + LENGTH
-                    text = raw[a:b]
+                    text, any_found = raw[a:b], bool(found.any())
                     out.append(
                         (
                             gid << 20 | place,
                             doc["owner"],
-                            None if len(first) else hashlib.sha256(text).hexdigest(),
-                            hg.squeeze(text) if len(first) else None,
-                            hashes[some][found][first].astype("i8"),
-                            (lows - a).astype("i8"),
-                            [raw[i:j] for i, j in zip(lows.tolist(), highs.tolist(), strict=True)],
+                            hashlib.sha256(text).hexdigest(),
+                            text if any_found else None,
+                            hashes[some][found].astype("i8"),
+                            (begins[some][found] - a).astype("i4"),
+                            strings[some][found].astype("i4"),
                         )
                     )
                 kinds = [
@@ -230,14 +239,14 @@ def _fragments(bits: int):
                     pa.string(),
                     pa.binary(),
                     pa.list_(pa.int64()),
-                    pa.list_(pa.int64()),
-                    pa.list_(pa.binary()),
+                    pa.list_(pa.int32()),
+                    pa.list_(pa.int32()),
                 ]
                 for i in range(0, len(out), 1000):
                     columns = zip(*out[i : i + 1000], strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                        ["node", "owner", "whole", "body", "keys", "lows", "fragments"],
+                        ["node", "owner", "whole", "body", "keys", "lows", "strings"],
                     )
 
     return run
@@ -267,41 +276,39 @@ def _print(fragment: Column) -> Column:
 
 
 def _sorted_fragments(places: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The places with crowded anchors' fragments cut up, and what the suffix arrays say of
-    each fragment: its least owner, and as bits its strings that an earlier one has."""
+    """The places without their bytes, crowded anchors' fragments cut up; and what the suffix
+    arrays say of each fragment: its least owner, and as bits its strings that an earlier
+    document has."""
+    seen = places.select("key", _print(F.col("fragment")).alias("print")).distinct()
+    seen = as_table(seen.groupBy("key").count())
+    total = seen.agg(F.sum("count")).first()[0] or 0
+    crowded = seen.filter(F.col("count") > CROWDED).select("key")
+    whole = places.join(crowded, "key", "left_anti")
+    pieces = places.join(crowded, "key", "left_semi").select(
+        "node", "owner", "low", F.posexplode(_strings(F.col("fragment"))).alias("at", "fragment")
+    )
+    pieces = pieces.withColumn("key", F.xxhash64("fragment")).withColumn(
+        "low", F.col("low") + F.col("at")
+    )
+    columns = ["node", "owner", "low", "key", "fragment"]
+    places = whole.select(columns).unionByName(pieces.select(columns))
     same = places.groupBy("key", "fragment").agg(F.min("owner").alias("owner"))
-    same = as_table(same)
-    crowded = same.groupBy("key").count().filter(F.col("count") > CROWDED).select("key")
-    crowded = as_table(crowded)
-    cut = F.explode(_strings(F.col("fragment"))).alias("fragment")
-    single = same.join(crowded, "key", "left_semi").select("owner", cut)
-    single = single.groupBy("fragment").agg(F.min("owner").alias("owner"))
-    single = single.select(F.xxhash64("fragment").alias("key"), "fragment", "owner")
-    all_fragments = same.join(crowded, "key", "left_anti").unionByName(single)
-    all_fragments = as_table(all_fragments)
-    batches = max(1, math.ceil(all_fragments.count() / BATCH_FRAGMENTS))
-    dealt = all_fragments.withColumn("print", _print(F.col("fragment"))).withColumn(
+    batches = max(1, math.ceil(total / BATCH_FRAGMENTS))
+    dealt = same.withColumn("print", _print(F.col("fragment"))).withColumn(
         "batch", F.pmod(F.xxhash64("key"), F.lit(batches))
     )
     known = dealt.groupBy("batch").applyInPandas(
         _sort, "key long, print long, owner long, early long"
     )
-    whole = places.join(crowded, "key", "left_anti").select(
-        "node", "owner", "low", "key", _print(F.col("fragment")).alias("print"),
-        (F.length("fragment") - (LENGTH - 1)).alias("strings"),
-    )
-    pieces = places.join(crowded, "key", "left_semi").select(
-        "node", "owner", "low", F.posexplode(_strings(F.col("fragment"))).alias("at", "fragment")
-    )
-    pieces = pieces.select(
+    slim = places.select(
         "node",
         "owner",
-        (F.col("low") + F.col("at")).alias("low"),
-        F.xxhash64("fragment").alias("key"),
+        "low",
+        "key",
         _print(F.col("fragment")).alias("print"),
-        F.lit(1).alias("strings"),
+        (F.length("fragment") - (LENGTH - 1)).alias("strings"),
     )
-    return whole.unionByName(pieces), known
+    return slim, known
 
 
 def _cut(length: int):
@@ -313,9 +320,9 @@ def _cut(length: int):
             for body, repeats in zip(
                 batch.column("body"), batch.column("repeats").to_pylist(), strict=True
             ):
-                text = np.frombuffer(hg.unsqueeze(body.as_py()), "u1")
+                text = np.frombuffer(body.as_py(), "u1")
                 steps = np.zeros(len(text) + 1, "i8")
-                for repeat in repeats or ():
+                for repeat in repeats:
                     bits = repeat["bits"]
                     while bits:
                         low = bits & -bits
@@ -345,67 +352,52 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``doc_id`` counts as the last of all. Other columns are ignored; an empty table gives an
     empty one.
     """
-    groups = hg.pack(docs, _describe)
-    listed = groups.select(
-        "gid", F.posexplode(F.arrays_zip("doc_ids", "sizes", "prints")).alias("place", "doc")
-    )
-    listed = listed.select(
-        F.shiftleft("gid", 20).bitwiseOR(F.col("place")).alias("node"),
-        "gid",
-        "place",
-        F.col("doc.doc_ids").alias("doc_id"),
-        F.coalesce("doc.doc_ids", F.lit(_LAST)).alias("owner"),
-        F.col("doc.sizes").cast("long").alias("n_bytes"),
-        F.col("doc.prints").alias("print"),
-    )
-    # Copies of a text are one; its smallest doc_id owns it.
-    classes = listed.groupBy("print").agg(
-        F.min(F.struct("owner", "node", "gid", "place")).alias("first"),
-        F.count("*").alias("copies"),
-    )
-    classes = as_table(classes.select("print", "first.*", "copies"))
-    copies = F.least("copies", F.lit(hg.MOST)).cast("int").alias("copies")
-    chosen = classes.groupBy("gid").agg(
-        F.sort_array(F.collect_list(F.struct("place", copies, "owner"))).alias("chosen")
-    )
-    answers, bits = hg.census(groups, anchor_hashes)
-    asked = groups.select("gid", "ends", "body").join(answers, "gid", "left").join(chosen, "gid")
-    texts = as_table(
-        asked.select("gid", "ends", "body", "answers", "chosen").mapInArrow(
-            _fragments(bits),
-            "node long, owner long, whole string, body binary, keys array<long>, "
-            "lows array<long>, fragments array<binary>",
-        )
+    spark, folder = docs.sparkSession, new_folder(docs.sparkSession, "groups")
+    groups = hg.pack(docs, _describe, folder)
+    listed = hg.list_documents(groups).withColumnRenamed("size", "n_bytes")
+    listed = as_table(listed.withColumn("owner", F.coalesce("doc_id", F.lit(_LAST))))
+    texts = as_table(_shared_places(groups, listed))
+    remove(spark, folder)
+    del groups
+    release(spark)
+    at = F.col("_at")
+    fragments = F.transform(
+        F.arrays_zip("keys", "lows", "strings"),
+        lambda x: F.struct(
+            x["keys"].alias("key"),
+            x["lows"].alias("low"),
+            F.substring(F.col("body"), x["lows"] + 1, x["strings"] + (LENGTH - 1)).alias(
+                "fragment"
+            ),
+        ),
     )
-    places = texts.select(
-        "node", "owner", F.explode(F.arrays_zip("keys", "lows", "fragments")).alias("_at")
-    )
-    places = places.select(
-        "node",
-        "owner",
-        F.col("_at.keys").alias("key"),
-        F.col("_at.lows").alias("low"),
-        F.col("_at.fragments").alias("fragment"),
+    places = texts.filter(F.col("body").isNotNull()).select(
+        "node", "owner", F.explode(fragments).alias("_at")
     )
+    places = places.select("node", "owner", at["key"], at["low"], at["fragment"])
+    places = places.toDF("node", "owner", "key", "low", "fragment")
     dealt, known = _sorted_fragments(places)
     every = F.expr("shiftleft(1L, strings) - 1")
     found = dealt.join(known.withColumnRenamed("owner", "first"), ["key", "print"])
-    found = found.select(
-        "node", "low", F.when(F.col("owner") > F.col("first"), every).otherwise(F.col("early")).alias("bits")
-    )
+    later = F.col("owner") > F.col("first")
+    found = found.select("node", "low", F.when(later, every).otherwise(F.col("early")).alias("bits"))
     repeats = found.filter("bits <> 0").groupBy("node").agg(
         F.collect_list(F.struct("low", "bits")).alias("repeats")
     )
-    marked = texts.filter(F.col("body").isNotNull()).select("node", "body")
-    cut = marked.join(repeats, "node", "left").mapInArrow(
-        _cut(LENGTH), "node long, n_removed long, n_spans long, kept string"
-    )
-    clean = texts.filter(F.col("body").isNull()).select(
-        "node", F.lit(0).cast("long"), F.lit(0).cast("long"), "whole"
+    cut = as_table(
+        texts.select("node", "body").join(repeats, "node").mapInArrow(
+            _cut(LENGTH), "node long, n_removed long, n_spans long, kept string"
+        )
     )
-    results = classes.select("print", "node", F.col("owner").alias("first")).join(
-        cut.union(clean), "node"
+    clean = F.lit(0).cast("long")
+    results = texts.select("node", "owner", "whole").join(cut, "node", "left").select(
+        "node",
+        F.col("owner").alias("first"),
+        F.coalesce("n_removed", clean).alias("n_removed"),
+        F.coalesce("n_spans", clean).alias("n_spans"),
+        F.coalesce("kept", "whole").alias("kept"),
     )
+    results = listed.select("node", "print").join(results, "node").drop("node")
     rows = listed.drop("node").join(results, "print")
     gone = (F.col("owner") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
     return rows.select(
@@ -417,5 +409,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
 
 
+def _shared_places(groups: DataFrame, listed: DataFrame) -> DataFrame:
+    """A row for each different text, of the smallest ``doc_id`` that has it."""
+    classes = listed.groupBy("print").agg(
+        F.min(F.struct("owner", "node", "gid", "place")).alias("first"),
+        F.count("*").alias("copies"),
+    )
+    copies = F.least("copies", F.lit(hg.MOST)).cast("int").alias("copies")
+    chosen = classes.select("first.*", copies).groupBy("gid").agg(
+        F.sort_array(F.collect_list(F.struct("place", "copies", "owner"))).alias("chosen")
+    )
+    answers, bits = hg.census(groups, anchor_hashes)
+    asked = groups.select("gid", "ends", "body").join(answers, "gid", "left").join(chosen, "gid")
+    return asked.select("gid", "ends", "body", "answers", "chosen").mapInArrow(
+        _fragments(bits),
+        "node long, owner long, whole string, body binary, keys array<long>, lows array<int>, "
+        "strings array<int>",
+    )
+
+
 def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
