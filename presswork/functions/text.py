@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: what a scoring service with short inputs takes.
 MAX_CHARS = 2000
 
 
@@ -27,16 +28,18 @@ def scoring_text(
     summary: Column | str = "summary",
     title: Column | str = "title",
     body: Column | str = "text_prepped",
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
-    """The text to score: first non-null of summary, title and body, collapsed,
-    trimmed and cut to ``max_chars`` characters (the cut may leave a final space).
+    """The text to score: first non-null of summary, title and body, collapsed and
+    trimmed. It is whole unless a scorer takes ``max_chars`` characters only; the cut
+    may leave a final space.
 
     ``body`` may as well be the raw article text: collapsing and then trimming it
     gives what normalising it first would give.
     """
     chosen = F.coalesce(_column(summary), _column(title), _column(body))
-    return F.substring(F.trim(collapse_whitespace(chosen)), 1, max_chars)
+    whole = F.trim(collapse_whitespace(chosen))
+    return whole if max_chars is None else F.substring(whole, 1, max_chars)
 
 
 def is_blank(text: Column | str) -> Column:

@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.functions.text import MAX_CHARS, normalize_text, scoring_text
+from presswork.functions.text import normalize_text, scoring_text
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, IDENTITY
 
 
 def select_base(
-    articles: DataFrame, max_chars: int = MAX_CHARS, keep: Sequence[str] = ()
+    articles: DataFrame, max_chars: int | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Parsed articles to the twelve base columns, ``keep`` in front of them."""
     with_text = articles.withColumn("text_for_inference", scoring_text(max_chars=max_chars))
@@ -24,6 +24,13 @@ def keep_scorable(base: DataFrame) -> DataFrame:
     return base.filter(F.col("url_hash").isNotNull() & F.col("text_for_inference").isNotNull())
 
 
+def filter_parsed(articles: DataFrame) -> DataFrame:
+    """The articles that ``keep_scorable`` lets through, told from their parsed fields. No
+    rows here means none after deduplication and scoring either."""
+    has_text = F.coalesce("summary", "title", "text").isNotNull()
+    return articles.filter(F.col("url_hash").isNotNull() & has_text)
+
+
 def dedup_articles(
     df: DataFrame, order_by: Sequence[str | Column] | None = None
 ) -> DataFrame:
@@ -43,7 +50,7 @@ def dedup_articles(
 
 def prepare_articles(
     articles: DataFrame,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
     order_by: Sequence[str | Column] | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -54,10 +61,7 @@ def prepare_articles(
     travelling through it next to the body. ``articles`` needs the ten article
     fields only; a ``text_prepped`` it brings along is derived anew.
     """
-    has_text = F.coalesce("summary", "title", "text").isNotNull()
-    scorable = articles.select(*keep, *ARTICLE_FIELDS).filter(
-        F.col("url_hash").isNotNull() & has_text
-    )
+    scorable = filter_parsed(articles.select(*keep, *ARTICLE_FIELDS))
     derived = {
         "text_prepped": normalize_text("text"),
         "text_for_inference": scoring_text(body="text", max_chars=max_chars),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,13 +9,17 @@ from pyspark.sql import functions as F
 
 from presswork.functions.text import is_blank
 from presswork.operators.scoring import EMPTY_TEXT, ScoreSpec
+from presswork.storage import as_table
 
-#: A key is hot when it holds at least this share of the rows. There can be no more
-#: than 1 / HOT_SHARE such keys, which is what bounds the broadcasts below.
-HOT_SHARE = 0.001
+#: Rows of one key that go to one task.
+TARGET_ROWS = 100_000
 
-#: ... and at least this many rows: fewer are no burden to one task.
-HOT_ROWS = 100_000
+#: A key with a smaller share of the rows is not split: there are at most 1 / LEAST_SHARE
+#: keys with a larger one, which bounds the broadcasts below.
+LEAST_SHARE = 1e-5
+
+# Rows without a key match nothing; they are dealt out evenly.
+_NULL_SALTS = 1000
 
 
 def last_replies(
@@ -35,8 +38,8 @@ def match_scores(
     replies: DataFrame,
     *specs: ScoreSpec,
     order_by: Sequence[str | Column],
-    hot_share: float = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
+    target_rows: int = TARGET_ROWS,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """``base`` with label, score and error from a table of replies, row for row.
 
@@ -46,7 +49,7 @@ def match_scores(
     the specs and those of ``order_by``.
     """
     latest = last_replies(replies, specs, order_by)
-    matched = join_unique(base, latest, "url_hash", hot_share, hot_rows)
+    matched = join_unique(base, latest, "url_hash", target_rows, least_share)
     blank = is_blank("text_for_inference")
     asked = F.when(~blank, F.col("reply"))
     columns: list[str | Column] = [*base.columns]
@@ -64,43 +67,49 @@ def join_unique(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    hot_share: float = HOT_SHARE,
-    hot_rows: int = HOT_ROWS,
+    target_rows: int = TARGET_ROWS,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """Left outer join to a ``right`` that has each ``key`` at most once.
 
-    Rows of hot keys are spread over salts, and the hot rows of ``right`` are repeated
-    once per salt; all other rows keep salt 0. ``left`` is shuffled once, no task gets
-    more than about ``hot_share`` of it from one key, and ``right`` grows by at most
-    (1 / hot_share)² rows. Both broadcasts hold at most 1 / hot_share keys. Finding them
-    evaluates ``left`` a second time, pruned to its key; where that costs more than a
-    copy, give ``storage.as_table(left)``.
+    A key with more than ``target_rows`` rows in ``left`` is spread over as many salts as it
+    takes to leave each about so many, and its row of ``right`` is repeated once per salt;
+    all other rows keep salt 0. ``left`` is shuffled once, and ``right`` grows by the rows of
+    ``left`` over ``target_rows``, and a row per hot key, at most. Rows without a key are
+    spread as well. Finding the hot keys evaluates ``left`` a second time, pruned to its key;
+    where that costs more than a copy, give ``storage.as_table(left)``. They are kept as a
+    table, ``1 / least_share`` rows at most, which both sides are given.
     """
-    salts = math.ceil(1 / hot_share)
-    no_salt = F.lit(0).cast("bigint")
-    hot = F.broadcast(hot_keys(left, key, hot_share, hot_rows).withColumn("_hot", F.lit(True)))
+    salts = as_table(hot_keys(left, key, target_rows, least_share))
+    hot = F.broadcast(salts)
+    none = F.lit(0).cast("bigint")
+    widest = salts.agg(F.coalesce(F.max("_salts"), F.lit(1)).alias("n")).first()["n"]
     # From the row and its input partition: exact copies are told apart, and a
     # recomputed task repeats its choice, which a random number might not.
     traits = [name for name in left.columns if name != key]
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *traits), F.lit(salts))
-    salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(no_salt)
-    )
-    last = F.when(F.col("_hot"), no_salt + (salts - 1)).otherwise(no_salt)
+    number = F.xxhash64(F.spark_partition_id(), *traits)
+    nulls = F.when(F.col(key).isNull(), F.lit(max(widest, _NULL_SALTS)))
+    spread = F.pmod(number, F.coalesce("_salts", nulls, F.lit(1)).cast("bigint"))
+    salted_left = left.join(hot, key, "left").withColumn("_salt", spread).drop("_salts")
+    last = F.coalesce(F.col("_salts") - 1, none)
     salted_right = (
         right.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(no_salt, last)))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(none, last)))
+        .drop("_salts")
     )
-    return salted_left.drop("_hot").join(salted_right, [key, "_salt"], "left").drop("_salt")
+    return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
 
 
 def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS
+    df: DataFrame,
+    key: str,
+    target_rows: int = TARGET_ROWS,
+    least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """The keys that hold at least ``share`` of the keyed rows and at least ``rows`` of
-    them: 1 / share keys at most. Reads the key column only."""
+    """The keys with more than ``target_rows`` rows and at least ``least_share`` of the keyed
+    ones, and ``_salts``, over how many tasks to spread each. Reads the key column only."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    enough = F.greatest(F.lit(share) * total, F.lit(rows))
-    return counts.filter(F.col("_rows") >= enough).select(key)
+    hot = (F.col("_rows") > target_rows) & (F.col("_rows") >= F.lit(least_share) * total)
+    salts = F.ceil(F.col("_rows") / F.lit(target_rows)).cast("bigint")
+    return counts.filter(hot).select(key, salts.alias("_salts"))

@@ -21,7 +21,7 @@ class Scorer(Protocol):
     def __call__(self, items: list[dict[str, str]]) -> list[dict[str, Any]]: ...
 
 
-#: Made once per partition, on the executor; must be picklable or importable there.
+#: Made once per partition and asking thread, on the executor; must be picklable or importable there.
 ScorerFactory = Callable[[], Scorer]
 
 
@@ -37,7 +37,7 @@ class HttpScorer:
     """Posts ``{"items": […]}`` and answers with the reply's ``results``.
 
     Use ``functools.partial(HttpScorer, endpoint, timeout_s)`` as the factory, so that
-    each partition keeps one session and its connections. ``session`` is anything
+    each asking thread of a partition keeps one session and its connections. ``session`` is anything
     with the ``post`` of ``requests.Session``.
     """
 

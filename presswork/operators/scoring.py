@@ -1,12 +1,13 @@
 """The scoring operator: rows in chunks through a scorer, one answer per row.
 
-Only the key and the scoring text (bounded by ``max_chars``) go to Python, as Arrow
-batches; the article itself stays in the JVM and is lined up with the answers by
+Only the key and the scoring text go to Python, as Arrow batches, which Spark bounds in
+bytes as well as in rows (``spark.sql.execution.arrow.maxBytesPerBatch``); the article itself stays in the JVM and is lined up with the answers by
 position. No shuffle and no join is needed to bring the answers back.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from presswork.operators.scorers import Scorer, ScorerFactory
-from presswork.schemas import answer_schema
+from presswork.schemas import IDENTITY, answer_schema
 
 # The error texts, answer keys and chunk size consumers rely on.
 EMPTY_TEXT = "empty_text_for_inference"
@@ -70,7 +71,8 @@ def score(
     """``df`` plus ``<prefix>_label, _score, _inferred_at, _error``, row for row.
 
     ``df`` needs ``url_hash`` and ``text_for_inference``. ``scorer`` is called once
-    per partition and returns the scorer for it (a connection or a loaded model).
+    per partition, or once for each thread that asks there, and returns the scorer for it
+    (a connection or a loaded model).
     Requests hold up to ``chunk_size`` consecutive rows of a partition, and at most
     ``max_in_flight`` of them are open at a time per task, so the load on a remote
     scorer is bounded by that times the running tasks.
@@ -99,8 +101,10 @@ def score_all(
 
 
 def score_table(df: DataFrame, spec: ScoreSpec, scorer: ScorerFactory, **options) -> DataFrame:
-    """The answers on their own: ``url_hash`` and the four answer columns."""
-    asked = df.select("url_hash", "text_for_inference")
+    """The answers on their own: the row's identity, as far as ``df`` has it, and the four
+    answer columns."""
+    identity = [name for name in IDENTITY if name in df.columns]
+    asked = df.select(*identity, "text_for_inference")
     return score(asked, spec, scorer, **options).drop("text_for_inference")
 
 
@@ -116,7 +120,8 @@ def _answer_udf(scorers, chunk_size, max_in_flight, clock):
         with ExitStack() as stack:
             asking = []
             for spec, factory in scorers.items():
-                ask = partial(answer_chunk, scorer=factory(), spec=spec, clock=clock)
+                scorer = _PerThread(factory) if threads else factory()
+                ask = partial(answer_chunk, scorer=scorer, spec=spec, clock=clock)
                 if threads:
                     pool = ThreadPoolExecutor(threads)
                     # Requests nobody waits for any more, as under a limit, are dropped.
@@ -133,6 +138,18 @@ def _answer_udf(scorers, chunk_size, max_in_flight, clock):
     return answer.asNondeterministic()
 
 
+class _PerThread:
+    """A scorer for each thread that asks, so none has to bear two callers at once."""
+
+    def __init__(self, factory: ScorerFactory) -> None:
+        self._own, self._factory = threading.local(), factory
+
+    def get(self) -> Scorer:
+        if not hasattr(self._own, "scorer"):
+            self._own.scorer = self._factory()
+        return self._own.scorer
+
+
 def _chunks(batches, size: int) -> Iterator[list[list[tuple[str, str]]]]:
     """Lists of full chunks, in row order. Chunks run on across Arrow batches: only the
     last chunk of a partition may be short."""
@@ -166,6 +183,7 @@ def answer_chunk(
 def _ask(asked, scorer, spec, clock) -> list[Answer]:
     at = clock()
     try:
+        scorer = scorer.get() if isinstance(scorer, _PerThread) else scorer
         replies = scorer([{"url_hash": key, "text": text} for key, text in asked])
         if getattr(scorer, "positional", False):
             found = list(replies)

@@ -24,7 +24,7 @@ class StreamOptions:
     health_endpoint: str = "http://localhost:9000/health"
     timeout_s: float = 30
     chunk_size: int = 25
-    max_chars: int = 2000
+    max_chars: int | None = None  # whole texts
 
     # Own additions; the defaults leave Spark's behaviour alone.
     max_in_flight: int = 1
@@ -33,6 +33,8 @@ class StreamOptions:
     min_partitions: int | None = None
     scoring_partitions: int | None = None
     on_error: str = "fail"
-    on_not_ready: str = "fail"
+    on_not_ready: str = "fail"  # or "skip", or "wait"
+    wait_limit_s: float = 300
+    wait_interval_s: float = 5
     reuse: str = "table"
     parquet_per_batch: bool = False

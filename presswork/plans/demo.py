@@ -20,18 +20,20 @@ _YEAR_MINUTES = 525600
 
 
 def document_articles(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and the ten article fields for each document. As in a feed, the title
-    is the first line, and the summary, where there is one, the opening of the text."""
+    """``doc_id`` and the ten article fields for each document. A few have a title or a
+    summary, made from ``source`` and ``doc_id``; all others are scored on their text. Most
+    texts have an address of their own, one in twenty stands at the same one."""
     doc, body = F.col("doc_id"), F.col("text")
     digest = F.md5(body)
-    url = F.concat(F.lit("https://news.example/"), F.substring(digest, 1, 3))
+    place = F.when(doc % 20 == 0, F.lit("front")).otherwise(F.substring(digest, 1, 8))
+    url = F.concat(F.lit("https://news.example/"), place)
     minutes = doc % _YEAR_MINUTES
     fields = {
-        "title": F.when(doc % 7 != 0, F.substring_index(body, "\n", 1)),
+        "title": F.when(doc % 25 == 3, F.concat(F.lit("Title of "), "source", F.lit(" "), doc)),
         "author": F.concat(F.lit("author"), doc % 50),
         "text": body,
         "summary": F.when(doc % 33 == 0, F.lit("")).when(
-            doc % 3 == 0, F.substring(body, 1, 200)
+            doc % 25 == 4, F.concat(F.lit("Summary  by\n"), "source", F.lit(" of "), doc)
         ),
         "url": url,
         "source": F.col("source"),
@@ -60,15 +62,21 @@ def read_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @dataclass(frozen=True)
 class LengthScorer:
     """Answers from the length of the text, so by position; it leaves every text out
-    whose length is a multiple of ``silent_every``. An instance is its own factory."""
+    whose length is a multiple of ``silent_every``, and fails if there is one whose length
+    is a multiple of ``refuse_every``. An instance is its own factory."""
 
     silent_every: int | None = None
+    refuse_every: int | None = None
     positional = True
 
     def __call__(self, items=None):
         if items is None:
             return self
-        return [self._answer(len(item["text"])) for item in items]
+        sizes = [len(item["text"]) for item in items]
+        refused = [n for n in sizes if self.refuse_every and n % self.refuse_every == 0]
+        if refused:
+            raise ValueError(f"refused a text of {refused[0]}")
+        return [self._answer(n) for n in sizes]
 
     def _answer(self, n: int):
         if self.silent_every and n % self.silent_every == 0:
@@ -88,4 +96,4 @@ class LengthTopic(LengthScorer):
 
 
 def fixed_clock() -> str:
-    return "2026-02-09T00:00:00Z"
+    return "2031-05-17T08:30:00Z"

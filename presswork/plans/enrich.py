@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from presswork.functions.text import MAX_CHARS
 from presswork.operators.articles import prepare_articles
 from presswork.operators.scorers import ScorerFactory
 from presswork.operators.scoring import CATEGORY, SENTIMENT, score_all
@@ -18,7 +17,7 @@ def enrich(
     sentiment: ScorerFactory,
     category: ScorerFactory,
     *,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
     order_by: Sequence[str | Column] | None = None,
     keep: Sequence[str] = (),
     partitions: int | None = None,

@@ -3,26 +3,30 @@
 from __future__ import annotations
 
 _COMMON = r"""
-with articles as (
+with placed as (
+  select *, 'https://news.example/' || case when doc_id % 20 = 0 then 'front'
+         else substring(md5(text), 1, 8) end as url
+  from documents
+), articles as (
   select doc_id,
-         case when doc_id % 7 <> 0 then split_part(text, chr(10), 1) end as title,
+         case when doc_id % 25 = 3 then 'Title of ' || source || ' ' || doc_id end as title,
          'author' || (doc_id % 50) as author,
          text,
          case when doc_id % 33 = 0 then ''
-              when doc_id % 3 = 0 then substring(text, 1, 200) end as summary,
-         'https://news.example/' || substring(md5(text), 1, 3) as url,
+              when doc_id % 25 = 4 then 'Summary  by' || chr(10) || source || ' of ' || doc_id
+         end as summary,
+         url,
          source,
          timestamp '2024-01-01 00:00:00' + to_minutes(doc_id % 525600) as published_at,
          timestamp '2024-01-01 00:05:00' + to_minutes(doc_id % 525600) as scraped_at,
-         case when doc_id % 97 <> 0
-              then md5('https://news.example/' || substring(md5(text), 1, 3)) end as url_hash,
+         case when doc_id % 97 <> 0 then md5(url) end as url_hash,
          md5(text) as fingerprint
-  from documents
+  from placed
 ), parsed as (
   select *, regexp_replace(trim(text, ' '), '\s+', ' ', 'g') as text_prepped from articles
 ), base as (
-  select *, substring(trim(regexp_replace(coalesce(summary, title, text_prepped),
-                                          '\s+', ' ', 'g'), ' '), 1, 2000) as text_for_inference
+  select *, trim(regexp_replace(coalesce(summary, title, text_prepped), '\s+', ' ', 'g'), ' ')
+         as text_for_inference
   from parsed
 ), scorable as (
   select * from base where url_hash is not null and text_for_inference is not null
@@ -38,7 +42,7 @@ with articles as (
          (n % 101) / 100.0::double as s_score,
          'topic' || (n % 5) as c_label,
          (n % 97) / 96.0::double as c_score,
-         '2026-02-09T00:00:00Z' as stamp,
+         '2031-05-17T08:30:00Z' as stamp,
          case when blank then 'empty_text_for_inference' end as empty_error,
          case when blank then 'empty_text_for_inference'
               when n % 11 = 0 then 'missing sentiment result' end as s_error,
@@ -84,13 +88,42 @@ def _match(prefix: str) -> str:
             when r.url_hash is null then '{missing}' end as {prefix}_error"""
 
 
+def _batches(which: str) -> str:
+    """Documents with even ``doc_id`` are batch 0, the others batch 1."""
+    return f"""{_COMMON}, firsts as (
+  select *, length(text_for_inference) as n, (doc_id % 2)::int as batch_id,
+         regexp_full_match(text_for_inference, '\\s*') as blank
+  from scorable
+  qualify row_number() over (partition by doc_id % 2, url_hash, fingerprint
+                             order by published_at, doc_id) = 1
+), told as (
+  select *,
+         case n % 3 when 0 then 'positive' when 1 then 'negative' else 'neutral' end as s_label,
+         (n % 101) / 100.0::double as s_score, 'topic' || (n % 5) as c_label,
+         (n % 97) / 96.0::double as c_score,
+         case when blank then 'empty_text_for_inference'
+              when n % 11 = 0 then 'missing sentiment result' end as s_error,
+         case when blank then 'empty_text_for_inference'
+              when n % 13 = 0 then 'missing classification result' end as c_error
+  from firsts
+)
+select batch_id, {_BASE.removeprefix("doc_id, ")},
+       case when s_error is null then s_label end as sentiment_label,
+       case when s_error is null then s_score end as sentiment_score,
+       s_error as sentiment_error,
+       case when c_error is null then c_label end as category_label,
+       case when c_error is null then c_score end as category_score,
+       c_error as category_error
+from told where {which}"""
+
+
 ORACLES = {
     "parse_wire_json": f"{_COMMON} select {_ARTICLE} from articles",
     "normalize_text": f"""{_COMMON}
 select doc_id, md5(text_prepped) as text_prepped_md5, length(text_prepped) as n from parsed""",
     "scoring_text": f"""{_COMMON}
-select doc_id, md5(text_for_inference) as text_for_inference_md5,
-       length(text_for_inference) as n
+select doc_id, md5(substring(text_for_inference, 1, 2000)) as text_for_inference_md5,
+       length(substring(text_for_inference, 1, 2000)) as n
 from base""",
     "prepare_articles": f"{_COMMON} select {_BASE} from base",
     "filter_scorable": f"{_COMMON} select doc_id, url_hash, fingerprint from scorable",
@@ -115,11 +148,11 @@ from answered where s_error is not null or c_error is not null group by all""",
 select doc_id, url_hash, fingerprint, {_sentiment('s_error')}, {_category('c_error')}
 from answered""",
     "join_sentiment": f"""{_COMMON}
-select b.url_hash, count(*)::double as rows, count(s.s_error)::double as sentiment_errors
+select b.url_hash, count(*)::decimal(38,0) as rows, count(s.s_error)::decimal(38,0) as sentiment_errors
 from answered b left join answered s on b.url_hash = s.url_hash group by b.url_hash""",
     "join_both": f"""{_COMMON}
-select b.url_hash, count(*)::double as rows, count(s.s_error)::double as sentiment_errors,
-       count(c.empty_error)::double as category_errors
+select b.url_hash, count(*)::decimal(38,0) as rows, count(s.s_error)::decimal(38,0) as sentiment_errors,
+       count(c.empty_error)::decimal(38,0) as category_errors
 from answered b left join answered s on b.url_hash = s.url_hash
                 left join answered c on b.url_hash = c.url_hash
 group by b.url_hash""",
@@ -153,4 +186,17 @@ from answered""",
     "enrich_articles": f"{_COMMON} select {_FULL} from answered",
     "stream_enrich": f"""{_COMMON}
 select {_BASE}, {_sentiment('s_error')}, {_category('c_error')} from answered""",
+    "failed_requests": f"""{_COMMON}, refused as (
+  select *, case when not blank and n % 7 = 0 then 'refused a text of ' || n else s_error end
+         as r_error
+  from answered
+)
+select doc_id, url_hash, {_sentiment('r_error')} from refused""",
+    "dedup_default": f"""{_COMMON}
+select distinct url_hash, fingerprint, md5(text) as text_md5, md5(text_prepped) as text_prepped_md5,
+       url
+from scorable""",
+    "stream_batches": _batches("true"),
+    "stream_sink_failure": _batches("true"),
+    "stream_skipped_batch": _batches("batch_id = 1"),
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.functions.text import is_blank, normalize_text, scoring_text
+from presswork.functions.text import MAX_CHARS, is_blank, normalize_text, scoring_text
 from presswork.functions.wire import parse_articles, parse_fields
 from presswork.operators import (
     CATEGORY,
@@ -23,12 +25,13 @@ from presswork.operators import (
     score_table,
     select_base,
 )
+from presswork.options import StreamOptions
 from presswork.plans import demo
 from presswork.plans.enrich import enrich
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, CONSOLE_FIELDS, IDENTITY
-from presswork.sinks import ParquetSink, kafka_payload, utc_date
-from presswork.storage import as_table, new_folder
-from presswork.streaming import batch_writer
+from presswork.sinks import ParquetSink, Sink, kafka_payload, utc_date
+from presswork.storage import as_table, new_folder, remove
+from presswork.streaming import batch_writer, start
 
 _FIRST = ["published_at", "doc_id"]
 _ANSWERS = [
@@ -40,6 +43,10 @@ _DIGESTED = ("text", "text_prepped", "text_for_inference")
 # Texts whose length is a multiple of these get no answer from the demo scorers.
 _GAP = 11
 _TOPIC_GAP = 13
+# Requests with a text whose length is a multiple of this fail.
+_REFUSED = 7
+# So small that the address many articles share is split on few documents too.
+_KEY_ROWS = 16
 
 
 def _readable(*names: str) -> list[str | Column]:
@@ -98,7 +105,7 @@ def normalize_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def choose_scoring_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = demo.read_articles(spark, sf_dir).select(
-        "doc_id", scoring_text(body=normalize_text("text")).alias("text_for_inference")
+        "doc_id", scoring_text(body=normalize_text("text"), max_chars=MAX_CHARS).alias("text_for_inference")
     )
     return texts.select("doc_id", *_readable("text_for_inference"), _size("text_for_inference"))
 
@@ -145,8 +152,9 @@ def match_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorers = {SENTIMENT: demo.LengthSentiment(_GAP), CATEGORY: demo.LengthTopic()}
     answered = score_all(base, scorers).filter(F.col("sentiment_error").isNull())
     topics = {"category_label": "topic_label", "category_score": "topic_score"}
+    replies = answered.withColumnsRenamed(topics)
     matched = match_scores(
-        base, answered.withColumnsRenamed(topics), SENTIMENT, CATEGORY, order_by=["doc_id"]
+        base, replies, SENTIMENT, CATEGORY, order_by=["doc_id"], target_rows=_KEY_ROWS
     )
     return matched.drop("fingerprint", "text_for_inference")
 
@@ -181,7 +189,7 @@ def join_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
             (CATEGORY, demo.LengthTopic(_TOPIC_GAP)),
         )
     ]
-    joined = join_results(base, *tables, on=IDENTITY)
+    joined = join_results(base, *tables)
     return joined.select("doc_id", *IDENTITY, *_ANSWERS)
 
 
@@ -212,9 +220,13 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sink brings the rows of a date together behind the scoring, so it is handed a
+    table: a stage that is lost there asks no scorer again."""
     folder = new_folder(spark, "roundtrip")
+    scored = new_folder(spark, "scored")
     sink = ParquetSink(folder, ingest_date=utc_date("published_at"))
-    sink.write(_enriched_documents(spark, sf_dir), 0)
+    sink.write(as_table(_enriched_documents(spark, sf_dir), scored), 0)
+    remove(spark, scored)
     written = spark.read.parquet(folder)
     return written.select(
         "doc_id",
@@ -235,6 +247,24 @@ def enrich_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched.select("doc_id", *_readable(*BASE_FIELDS), *_ANSWERS)
 
 
+def failed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text in a request of its own; some requests fail."""
+    refusing = demo.LengthSentiment(_GAP, _REFUSED)
+    asked = _base(spark, sf_dir)
+    scored = score(asked, SENTIMENT, refusing, chunk_size=1, clock=demo.fixed_clock)
+    return scored.select("doc_id", "url_hash", *_ANSWERS[:4])
+
+
+def dedup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows without an order; shown are the columns that follow from the key."""
+    copies = dedup_articles(keep_scorable(select_base(_parsed(spark, sf_dir))))
+    return copies.select(*IDENTITY, *_readable("text", "text_prepped"), "url")
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demo.read_articles(spark, sf_dir).withColumn("text_prepped", normalize_text("text"))
+
+
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through Structured Streaming: wire records in files, all of them as one
     micro-batch, the micro-batch function, and the Parquet sink, read back."""
@@ -246,7 +276,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
         [ParquetSink(f"{folder}/enriched", per_batch=True)],
         demo.LengthSentiment(_GAP),
         demo.LengthTopic(_TOPIC_GAP),
-        work_dir=f"{folder}/batch",
+        reuse="sink",
         order_by=_FIRST,
         keep=["doc_id"],
         clock=demo.fixed_clock,
@@ -254,10 +284,75 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = parse_articles(wire, keep=["doc_id"])
     stream = articles.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
     stream.trigger(availableNow=True).foreachBatch(write_batch).start().awaitTermination()
+    remove(spark, f"{folder}/wire")
     written = spark.read.parquet(f"{folder}/enriched")
     return written.select("doc_id", *_readable(*BASE_FIELDS), *_ANSWERS)
 
 
+class _Broken:
+    """A sink that takes nothing."""
+
+    def write(self, enriched: DataFrame, batch_id: int) -> None:
+        raise OSError("out of order")
+
+
+def _stream_in_two(
+    spark: SparkSession,
+    sf_dir: str,
+    before: Sequence[Sink] = (),
+    ready: Callable[[], bool] | None = None,
+    **options,
+) -> DataFrame:
+    """What a stream makes of the documents with even ``doc_id`` in its first micro-batch
+    and the others in its second. It is started three times on one checkpoint; the third
+    start finds nothing to do."""
+    folder = new_folder(spark, "stream")
+    stated = StreamOptions(
+        checkpoint_location=f"{folder}/checkpoint",
+        show_console=False,
+        survivor_order=("published_at", "source", "author", "title", "summary"),
+        **options,
+    )
+    sink = ParquetSink(f"{folder}/enriched", per_batch=True)
+    records = demo.document_wire(demo.read_documents(spark, sf_dir))
+    for rest in (0, 1, None):
+        if rest is not None:
+            part = records.filter(F.col("doc_id") % 2 == rest).select("value")
+            part.write.mode("append").parquet(f"{folder}/wire")
+        wire = spark.readStream.schema("value binary").parquet(f"{folder}/wire")
+        start(
+            spark,
+            stated,
+            sentiment=demo.LengthSentiment(_GAP),
+            category=demo.LengthTopic(_TOPIC_GAP),
+            ready=ready,
+            sinks=[*before, sink],
+            wire=wire,
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    remove(spark, f"{folder}/wire")
+    written = spark.read.parquet(f"{folder}/enriched")
+    timeless = [name for name in _ANSWERS if not name.endswith("_at")]
+    return written.select("batch_id", *_readable(*BASE_FIELDS), *timeless)
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies are dropped within a batch and kept in the next; nothing is replayed."""
+    return _stream_in_two(spark, sf_dir, reuse="sink")
+
+
+def stream_sink_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sink behind one that fails gets every batch."""
+    return _stream_in_two(spark, sf_dir, before=[_Broken()], on_error="skip")
+
+
+def stream_skipped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorer is not ready for the first batch, which is given up."""
+    asked = iter([False])
+    gate = lambda: next(asked, True)
+    return _stream_in_two(spark, sf_dir, ready=gate, on_not_ready="skip", reuse="sink")
+
+
 QUERIES = {
     "parse_wire_json": parse_wire_json,
     "normalize_text": normalize_body,
@@ -279,5 +374,10 @@ QUERIES = {
     "parquet_sink_roundtrip": parquet_sink_roundtrip,
     "console_projection": console_projection,
     "enrich_articles": enrich_articles,
+    "failed_requests": failed_requests,
+    "dedup_default": dedup_default,
     "stream_enrich": stream_enrich,
+    "stream_batches": stream_batches,
+    "stream_sink_failure": stream_sink_failure,
+    "stream_skipped_batch": stream_skipped_batch,
 }

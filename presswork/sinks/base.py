@@ -12,8 +12,10 @@ from presswork.sinks.parquet import ParquetSink
 
 class Sink(Protocol):
     """Anything that can write an enriched batch. A batch that failed half-way is
-    written again under the same ``batch_id``. A sink that reads all rows exactly once
-    may say so with ``single_pass = True`` (see ``reuse`` of ``batch_writer``)."""
+    written again under the same ``batch_id``; one without rows to score is not offered.
+    A sink that reads all rows in one action may say so with ``single_pass = True`` (see
+    ``reuse`` of ``batch_writer``). One that says so and runs no action on the rows would
+    keep the batch waiting for its counts for ever."""
 
     def write(self, enriched: DataFrame, batch_id: int) -> None: ...
 

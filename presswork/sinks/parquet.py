@@ -20,8 +20,11 @@ def utc_date(timestamp: Column | str) -> Column:
 class ParquetSink:
     """Appends to ``output_dir`` under ``ingest_date=…``.
 
-    With ``per_batch`` each batch has a folder ``batch_id=…`` above the dates, which a
-    replay overwrites instead of appending to; ``batch_id`` is then a column on reading.
+    With ``per_batch`` each batch has a folder ``stream_id=…/batch_id=…`` above the dates,
+    which a replay overwrites instead of appending to; both are then columns on reading.
+    The stream's id is the one Spark keeps in its checkpoint, so streams that share
+    ``output_dir``, or one that starts anew, do not overwrite each other's batches. Outside
+    a stream ``stream_id`` must be given.
 
     ``ingest_date`` sets another date than today's, for backfills. Where it differs from
     row to row, rows are first brought together by date, or each task would leave a file
@@ -33,6 +36,7 @@ class ParquetSink:
     per_batch: bool = False
     ingest_date: Column | None = None
     one_date: bool = False
+    stream_id: str | None = None
 
     single_pass = True
 
@@ -46,14 +50,18 @@ class ParquetSink:
         writer = dated.write.partitionBy("ingest_date")
         if self.per_batch:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
-            writer.parquet(self._folder(batch_id))
+            writer.parquet(self._folder(enriched, batch_id))
         else:
             writer.mode("append").parquet(self.output_dir)
 
     def written(self, enriched: DataFrame, batch_id: int) -> DataFrame:
         """The rows of a batch that ``write`` has put into its own folder."""
         read = enriched.sparkSession.read.schema(enriched.schema)
-        return read.parquet(self._folder(batch_id)).select(*enriched.columns)
+        return read.parquet(self._folder(enriched, batch_id)).select(*enriched.columns)
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.output_dir.rstrip('/')}/batch_id={batch_id}"
+    def _folder(self, enriched: DataFrame, batch_id: int) -> str:
+        context = enriched.sparkSession.sparkContext
+        stream = self.stream_id or context.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise ValueError("per_batch needs a stream_id outside a stream")
+        return f"{self.output_dir.rstrip('/')}/stream_id={stream}/batch_id={batch_id}"

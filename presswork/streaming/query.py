@@ -34,7 +34,8 @@ def start(
     """Start the stream and return its query; ``awaitTermination()`` blocks on it.
 
     Without further arguments it reads the topic, asks the two services over HTTP and
-    writes to the sinks the options choose. ``wire`` is another stream with a ``value``
+    writes to the sinks the options choose. The services' health page is asked before each
+    batch if one of them is used; ``ready`` is another test. ``wire`` is another stream with a ``value``
     column, ``sinks`` replaces the chosen ones (not the console), and ``trigger`` holds
     arguments of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``.
     """
@@ -58,17 +59,22 @@ def start(
             max_offsets_per_trigger=options.max_offsets_per_trigger,
             min_partitions=options.min_partitions,
         )
+    over_http = sentiment is None or category is None
     if sentiment is None:
         sentiment = partial(HttpScorer, options.sentiment_endpoint, options.timeout_s)
     if category is None:
         category = partial(HttpScorer, options.topic_endpoint, options.timeout_s)
+    if ready is None:
+        ready = HttpReady(options.health_endpoint) if over_http else lambda: True
     checkpoint = checkpoint_path(spark, options)
     write_batch = batch_writer(
         sinks,
         sentiment,
         category,
-        ready=ready or HttpReady(options.health_endpoint),
+        ready=ready,
         on_not_ready=options.on_not_ready,
+        wait_limit_s=options.wait_limit_s,
+        wait_interval_s=options.wait_interval_s,
         on_error=options.on_error,
         reuse=options.reuse,
         work_dir=_work_dir(spark, checkpoint) if options.reuse == "table" else None,

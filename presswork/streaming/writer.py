@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from presswork.operators.articles import filter_parsed
 from presswork.operators.scorers import ScorerFactory
 from presswork.operators.stats import batch_stats, stat_columns
 from presswork.plans.enrich import enrich
@@ -31,6 +33,8 @@ def batch_writer(
     *,
     ready: Callable[[], bool] = lambda: True,
     on_not_ready: str = "fail",
+    wait_limit_s: float = 300,
+    wait_interval_s: float = 5,
     on_error: str = "fail",
     reuse: str = "table",
     work_dir: str | None = None,
@@ -40,7 +44,10 @@ def batch_writer(
 
     ``on_error`` and ``on_not_ready``: ``"fail"`` raises, so that the batch's offsets
     are not committed and a restart repeats it; ``"skip"`` logs and goes on, giving the
-    batch (or the failed sink's share of it) up. Either way every sink is tried.
+    batch (or the failed sink's share of it) up. Either way every sink is tried. A
+    readiness test that raises says no. ``on_not_ready="wait"`` asks it again every
+    ``wait_interval_s`` seconds and raises after ``wait_limit_s``. A batch without an
+    article to score is neither scored nor offered to the sinks.
 
     ``reuse`` says how the scored rows are kept for the counts and the sinks, which
     must all see the same answers:
@@ -49,8 +56,8 @@ def batch_writer(
       cluster's shared folder) that the next batch overwrites. Nothing is scored again
       if an executor is lost.
     * ``"sink"`` does the same without the extra copy: the first sink, a ``ParquetSink``
-      with ``per_batch``, is written first and read by the others. If it fails, they are
-      not tried.
+      with ``per_batch``, is written first and read by the others. If it fails, the others
+      get a table after all, for which the batch is scored again.
     * ``"persist"`` caches them: less to write, but lost blocks are scored again.
     * ``"none"`` keeps nothing: for one sink alone that reads its rows once, such as
       those for Parquet and Kafka. The counts, which are logged only, are taken while it
@@ -58,7 +65,7 @@ def batch_writer(
 
     ``enriching`` goes to ``enrich``.
     """
-    _check("on_not_ready", on_not_ready, ("fail", "skip"))
+    _check("on_not_ready", on_not_ready, ("fail", "skip", "wait"))
     _check("on_error", on_error, ("fail", "skip"))
     _check("reuse", reuse, ("table", "sink", "persist", "none"))
     if reuse == "sink" and not (sinks and getattr(sinks[0], "per_batch", False)):
@@ -73,6 +80,9 @@ def batch_writer(
         return work_dir
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        if filter_parsed(batch).isEmpty():
+            _report(batch_id, 0, 0, 0)
+            return
         enriched = enrich(batch, sentiment, category, **enriching)
         if reuse == "persist":
             rows = enriched.persist()
@@ -85,25 +95,44 @@ def batch_writer(
             sinks[0].write(enriched.observe(counts, *stat_columns()), batch_id)
             _report(batch_id, **counts.get)
         elif reuse == "sink":
-            sinks[0].write(enriched, batch_id)
-            deliver(sinks[0].written(enriched, batch_id), batch_id, sinks[1:])
+            failed = _write_all(sinks[:1], enriched, batch_id)
+            if failed:
+                rows = as_table(enriched, table_folder(batch.sparkSession))
+            else:
+                rows = sinks[0].written(enriched, batch_id)
+            deliver(rows, batch_id, sinks[1:], failed)
         else:
             rows = as_table(enriched, table_folder(batch.sparkSession))
             deliver(rows, batch_id, sinks)
 
-    def deliver(rows: DataFrame, batch_id: int, receivers: Sequence[Sink]) -> None:
-        stats = batch_stats(rows).first()
-        _report(batch_id, **stats.asDict())
-        if stats.total == 0:
-            return
-        failures = _write_all(receivers, rows, batch_id)
+    def deliver(
+        rows: DataFrame,
+        batch_id: int,
+        receivers: Sequence[Sink],
+        failed: dict[str, Exception] | None = None,
+    ) -> None:
+        _report(batch_id, **batch_stats(rows).first().asDict())
+        first = len(sinks) - len(receivers)
+        failures = {**(failed or {}), **_write_all(receivers, rows, batch_id, first)}
         if failures and on_error == "fail":
             names = ", ".join(failures)
             raise SinkFailure(f"batch {batch_id}: {names}") from next(iter(failures.values()))
 
+    def is_ready(batch_id: int) -> bool:
+        until = time.monotonic() + (wait_limit_s if on_not_ready == "wait" else 0)
+        while True:
+            try:
+                if ready():
+                    return True
+            except Exception:
+                logger.warning("batch %s: readiness test failed", batch_id, exc_info=True)
+            if time.monotonic() + wait_interval_s > until:
+                return False
+            time.sleep(wait_interval_s)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if not ready():
-            if on_not_ready == "fail":
+        if not is_ready(batch_id):
+            if on_not_ready != "skip":
                 raise ScorerNotReady(f"batch {batch_id}: scorer not ready")
             logger.warning("batch %s: scorer not ready, batch skipped", batch_id)
             return
@@ -122,7 +151,7 @@ def _report(batch_id: int, total: int, sentiment_errors: int, category_errors: i
         logger.info("batch %s: nothing to score", batch_id)
         return
     logger.info(
-        "batch %s: processed=%s sentiment_errors=%s category_errors=%s",
+        "batch %s: %s articles scored, %s without sentiment, %s without category",
         batch_id,
         total,
         sentiment_errors,
@@ -136,10 +165,10 @@ def _check(name: str, value: str, allowed: tuple[str, ...]) -> None:
 
 
 def _write_all(
-    sinks: Sequence[Sink], rows: DataFrame, batch_id: int
+    sinks: Sequence[Sink], rows: DataFrame, batch_id: int, first: int = 0
 ) -> dict[str, Exception]:
     failures: dict[str, Exception] = {}
-    for position, sink in enumerate(sinks):
+    for position, sink in enumerate(sinks, first):
         name = f"sink {position} ({type(sink).__name__})"
         try:
             sink.write(rows, batch_id)

@@ -25,7 +25,7 @@ def base_of(spark, *rows):
 
 
 # Once without any hot key, once with every key hot and spread over four salts.
-@pytest.mark.parametrize("hot", [{}, {"hot_share": 0.25, "hot_rows": 1}])
+@pytest.mark.parametrize("hot", [{}, {"target_rows": 1, "least_share": 0.25}])
 def test_match_scores(spark, hot):
     base = base_of(
         spark,
@@ -70,11 +70,12 @@ def skewed(spark, rows=60_000):
 
 def test_hot_keys_are_few_by_definition(spark):
     frame = skewed(spark)
-    assert [r.key for r in hot_keys(frame, "key", 0.01, 1).collect()] == ["hot"]
-    assert hot_keys(frame, "key", 0.01, 60_000).count() == 0
+    assert hot_keys(frame, "key", 1, 0.01).collect() == [("hot", 20_000)]
+    assert hot_keys(frame, "key", 3_000, 0.01).collect() == [("hot", 7)]
+    assert hot_keys(frame, "key", 20_000, 0.01).count() == 0
     even = spark.range(100).select((F.col("id") % 10).cast("string").alias("key"))
-    assert hot_keys(even, "key", 0.1, 1).count() == 10
-    assert hot_keys(even, "key", 0.11, 1).count() == 0
+    assert hot_keys(even, "key", 1, 0.1).count() == 10
+    assert hot_keys(even, "key", 1, 0.11).count() == 0
 
 
 def test_join_unique_spreads_a_hot_key_over_tasks(spark):
@@ -89,7 +90,7 @@ def test_join_unique_spreads_a_hot_key_over_tasks(spark):
     for name, value in options.items():
         spark.conf.set(name, value)
     try:
-        joined = join_unique(frame, right, "key", hot_share=0.01, hot_rows=1000)
+        joined = join_unique(frame, right, "key", target_rows=200)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         values = dict(joined.groupBy("v").count().collect())
     finally:
@@ -100,19 +101,19 @@ def test_join_unique_spreads_a_hot_key_over_tasks(spark):
     assert max(r["count"] for r in sizes) < 12_000
 
 
-def test_default_join_pairs_all_rows_of_a_key_and_identity_does_not(spark):
+def test_the_key_pairs_all_of_its_rows_and_the_default_does_not(spark):
     base = base_of(
         spark, base_row("a", fingerprint="x"), base_row("a", fingerprint="y"), base_row("b")
     )
     sentiment = base.select("url_hash", "fingerprint", F.lit("e").alias("sentiment_error"))
     category = base.select("url_hash", "fingerprint", F.lit(None).alias("category_error"))
     tables = [sentiment.drop("fingerprint"), category.drop("fingerprint")]
-    once = join_results(base, tables[0])
-    both = join_results(base, *tables)
+    once = join_results(base, tables[0], on="url_hash")
+    both = join_results(base, *tables, on="url_hash")
     assert dict(once.groupBy("url_hash").count().collect()) == {"a": 4, "b": 1}
     assert dict(both.groupBy("url_hash").count().collect()) == {"a": 8, "b": 1}
     assert both.columns == [*base.columns, "sentiment_error", "category_error"]
-    single = join_results(base, sentiment, category, on=IDENTITY)
+    single = join_results(base, sentiment, category)
     assert dict(single.groupBy("url_hash").count().collect()) == {"a": 2, "b": 1}
     assert single.columns == both.columns
 
@@ -136,7 +137,7 @@ def test_counts_agree_with_the_join_itself(spark):
         [("a", None), ("a", "e"), ("c", "e")], "url_hash string, category_error string"
     )
     expected = (
-        join_results(base, sentiment, category)
+        join_results(base, sentiment, category, on="url_hash")
         .groupBy("url_hash")
         .agg(F.count("*"), F.count("sentiment_error"), F.count("category_error"))
     )
@@ -144,3 +145,12 @@ def test_counts_agree_with_the_join_itself(spark):
     assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, expected.collect()))
     one = count_joined(base, {"sentiment": sentiment})
     assert one.columns == ["url_hash", "rows", "sentiment_errors"]
+
+
+def test_counts_are_exact_beyond_what_a_double_holds(spark):
+    k = 300_001
+    base = spark.range(k).select(F.lit("a").alias("url_hash"))
+    failed = base.withColumn("sentiment_error", F.lit("e"))
+    other = base.withColumn("category_error", F.lit("e"))
+    row = count_joined(base, {"sentiment": failed, "category": other}).first()
+    assert tuple(row) == ("a", *[k**3] * 3) and k**3 == 27000270000900001

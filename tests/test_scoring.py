@@ -26,29 +26,72 @@ def scored(spark, rows, factory, spec=SENTIMENT, **options):
     return {r.url_hash: r for r in score(texts(spark, rows), spec, factory, **options).collect()}
 
 
-def test_unanswered_text_is_reported_missing(spark):
-    got = scored(spark, [("a", "good"), ("b", "bad")], replying(sentiment("a")))
-    assert got["a"][2:] == ("positive", 0.9, STAMP, None)
-    assert got["b"][2:] == (None, None, STAMP, "missing sentiment result")
+def test_each_chunk_misses_its_own(spark):
+    """Five rows in chunks of two; the scorer answers the even ones only."""
 
+    def evens(items):
+        return [sentiment(i["url_hash"], value=0.25) for i in items if int(i["url_hash"]) % 2 == 0]
 
-def test_blank_text_is_not_sent(spark, tmp_path):
-    rows = [("a", "  "), ("b", "valid"), ("c", ""), ("d", None), ("e", " "), ("f", "\x1c")]
+    rows = [(str(n), f"story {n}") for n in range(5)]
+    got = scored(spark, rows, lambda: evens, chunk_size=2)
+    for n in range(5):
+        answer = ("positive", 0.25, STAMP, None)
+        missing = (None, None, STAMP, "missing sentiment result")
+        assert got[str(n)][2:] == (missing if n % 2 else answer)
+
+
+def test_blanks_between_texts_are_not_sent(spark, tmp_path):
+    words = ["rain", "\t", "sun", None, "\x1c\u2003", "", "snow"]
+    rows = [(f"k{n}", word) for n, word in enumerate(words)]
     recorder = Recorder(tmp_path, SENTIMENT)
-    got = scored(spark, rows, recorder)
-    assert {k for k, r in got.items() if r.sentiment_error == EMPTY_TEXT} == set("acdef")
-    assert got["b"].sentiment_label == "label of valid"
-    assert recorder.requests == [[{"url_hash": "b", "text": "valid"}]]
+    got = scored(spark, rows, recorder, chunk_size=3)
+    blank = {key for key, row in got.items() if row.sentiment_error == EMPTY_TEXT}
+    assert blank == {"k1", "k3", "k4", "k5"}
+    sent = sorted(item["text"] for request in recorder.requests for item in request)
+    assert sent == ["rain", "snow", "sun"]
+
+
+def test_a_failed_request_spares_the_other_chunks(spark):
+    def moody(items):
+        if any("storm" in item["text"] for item in items):
+            raise OSError("line is down")
+        return [{"url_hash": i["url_hash"], "topic_label": "t", "topic_score": 1} for i in items]
+
+    rows = [("p", "calm"), ("q", "mild"), ("r", "storm"), ("s", ""), ("t", "fog"), ("u", "dew")]
+    got = scored(spark, rows, lambda: moody, CATEGORY, chunk_size=2)
+    errors = {key: row.category_error for key, row in got.items()}
+    down = "line is down"
+    assert errors == {"p": None, "q": None, "r": down, "s": EMPTY_TEXT, "t": None, "u": None}
+
+
+def test_whole_texts_reach_the_scorer(spark, tmp_path):
+    from presswork.operators import prepare_articles
+    from presswork.schemas import ARTICLE_FIELDS
+
+    body = "word " * 3000
+    values = {name: "x" for name in ARTICLE_FIELDS} | {"text": body, "title": None, "summary": None}
+    fields = ", ".join(f"{name} string" for name in ARTICLE_FIELDS)
+    articles = spark.createDataFrame([tuple(values[n] for n in ARTICLE_FIELDS)], fields)
+    recorder = Recorder(tmp_path, SENTIMENT)
+    score(prepare_articles(articles), SENTIMENT, recorder).collect()
+    assert [item["text"] for request in recorder.requests for item in request] == [body.strip()]
 
 
-def test_failed_request_is_reported_on_each_of_its_rows(spark):
-    def fail(items):
-        raise RuntimeError("boom")
+def test_each_thread_has_a_scorer_of_its_own(spark):
+    class Alone:
+        def __init__(self):
+            self.busy = False
 
-    got = scored(spark, [("a", "alpha"), ("b", " "), ("c", "beta")], lambda: fail, CATEGORY)
-    assert got["a"][2:] == (None, None, STAMP, "boom")
-    assert got["b"].category_error == EMPTY_TEXT
-    assert got["c"].category_error == "boom"
+        def __call__(self, items):
+            assert not self.busy
+            self.busy = True
+            time.sleep(0.02)
+            self.busy = False
+            return [sentiment(i["url_hash"]) for i in items]
+
+    rows = [(str(n), "x") for n in range(40)]
+    got = scored(spark, rows, Alone, chunk_size=1, max_in_flight=8)
+    assert all(row.sentiment_error is None for row in got.values())
 
 
 def test_topic_answers_become_category_columns(spark):

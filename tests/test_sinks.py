@@ -46,7 +46,7 @@ def test_kafka_payload(enriched):
     record = json.loads(payload.first().value)
     absent = {"sentiment_error", "category_error"}
     assert list(record) == [name for name in KAFKA_FIELDS if name not in absent]
-    assert record["published_at"] == "2026-01-20T10:00:00.000Z"
+    assert record["published_at"] == "2029-11-03T06:15:42.000Z"
     assert record["sentiment_inferred_at"] == STAMP
     assert record["sentiment_score"] == 0.04
 
@@ -104,11 +104,13 @@ def test_dates_that_vary_are_brought_together(spark, tmp_path):
 
 
 def test_a_replayed_batch_overwrites_itself_only(spark, enriched, tmp_path):
-    sink = ParquetSink(str(tmp_path / "out"), per_batch=True)
+    sink = ParquetSink(str(tmp_path / "out"), per_batch=True, stream_id="s")
     for batch in (0, 1, 1):
         sink.write(enriched, batch)
     written = spark.read.parquet(sink.output_dir)
     assert dict(written.groupBy("batch_id").count().collect()) == {0: 3, 1: 3}
+    with pytest.raises(ValueError, match="stream_id"):
+        ParquetSink(sink.output_dir, per_batch=True).write(enriched, 0)
     assert "ingest_date" in written.columns
 
 
@@ -134,4 +136,4 @@ def test_console(enriched, capsys):
     ],
 )
 def test_sinks_by_flags(parquet, kafka, servers, kinds):
-    assert [type(s) for s in build_sinks(parquet, kafka, "/tmp/out", servers)] == kinds
+    assert [type(s) for s in build_sinks(parquet, kafka, "some/where", servers)] == kinds

@@ -147,9 +147,9 @@ def test_one_sink_alone_needs_no_copy(spark, feed, tmp_path, caplog):
         assert sum(map(len, recorder.requests)) == 21
     lines = [r.message for r in caplog.records if r.name.startswith("presswork")]
     assert lines == [
-        "batch 0: processed=30 sentiment_errors=10 category_errors=10",
+        "batch 0: 30 articles scored, 10 without sentiment, 10 without category",
         "batch 1: nothing to score",
-        "batch 2: processed=1 sentiment_errors=0 category_errors=0",
+        "batch 2: 1 articles scored, 0 without sentiment, 0 without category",
     ]
 
 
@@ -170,7 +170,7 @@ def test_counts_are_logged(feed, caplog):
     feed.add(article(url_hash="a"), article(url_hash="b", summary=" "))
     with caplog.at_level(logging.INFO, logger="presswork"):
         feed.run(writer(Collected()))
-    assert "batch 0: processed=2 sentiment_errors=1 category_errors=1" in caplog.text
+    assert "batch 0: 2 articles scored, 1 without sentiment, 1 without category" in caplog.text
 
 
 def test_a_batch_that_comes_too_early_is_repeated_on_restart(feed):

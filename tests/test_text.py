@@ -51,8 +51,10 @@ def test_scoring_text_takes_the_first_that_is_not_null(spark, summary, title, bo
 
 def test_scoring_text_is_cut_after_trimming(spark):
     long = "x" * 1999 + " " + "y" * 1000
-    got = one(spark, scoring_text(), summary=long, title=None, text_prepped=None)
+    got = one(spark, scoring_text(max_chars=2000), summary=long, title=None, text_prepped=None)
     assert got == "x" * 1999 + " "
+    whole = one(spark, scoring_text(), summary=long, title=None, text_prepped=None)
+    assert whole == long
     short = one(spark, scoring_text(max_chars=5), summary="😀" * 9, title=None, text_prepped=None)
     assert short == "😀" * 5
 
