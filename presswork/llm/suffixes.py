@@ -199,9 +199,7 @@ def _fragments(bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gid, ends, body, answers, chosen in zip(
-                *[c.to_pylist() for c in batch.columns], strict=True
-            ):
+            for gid, ends, body, answers, chosen in hg.rows_of(batch):
                 raw, ends = hg.unsqueeze(body), np.array(ends)
                 begins, places, hashes = anchors(raw, ends)
                 keys, _ = hg.distinct(_by_document(ends, places, hashes), bits)
@@ -282,7 +280,7 @@ def _sorted_fragments(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = places.select("key", _print(F.col("fragment")).alias("print")).distinct()
     seen = as_table(seen.groupBy("key").count())
     total = seen.agg(F.sum("count")).first()[0] or 0
-    crowded = seen.filter(F.col("count") > CROWDED).select("key")
+    crowded = as_table(seen.filter(F.col("count") > CROWDED).select("key"))
     whole = places.join(crowded, "key", "left_anti")
     pieces = places.join(crowded, "key", "left_semi").select(
         "node", "owner", "low", F.posexplode(_strings(F.col("fragment"))).alias("at", "fragment")
