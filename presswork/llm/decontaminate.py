@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, unpack
+from presswork.llm.tables import read_table, ship, slices, unpack
 from presswork.storage import as_table
 
 WINDOW = 10
@@ -190,7 +190,7 @@ def _match(shared, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton: Automaton = unpack(shared)
         number = automaton.vocabulary.get
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             n_words, all_spans, all_items = [], [], []
             before = zip(batch.column("hits").to_pylist(), batch.column("items").to_pylist())
             for text, (spans, items) in zip(batch.column("_text").cast("binary"), before):

@@ -25,7 +25,7 @@ from presswork.llm.tables import worker_cache
 from presswork.storage import as_table
 
 # Text in a group, in bytes, unless one document is longer, and documents in it.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 GROUP_DOCS = 1 << 16
 # Hashes that a bucket is expected to be sent.
 BUCKET_HASHES = 500_000
@@ -87,6 +87,12 @@ def unsqueeze(body: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(body)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch, one after the other: each may be large."""
+    for i in range(batch.num_rows):
+        yield tuple(column[i].as_py() for column in batch.columns)
+
+
 def _pack(describe: Callable):
     def group(ids: list, texts: list[bytes], gid: int) -> pa.RecordBatch:
         raw, ends = b"".join(texts), np.cumsum([len(t) for t in texts], dtype="i8")
@@ -109,8 +115,8 @@ def _pack(describe: Callable):
         ids, texts, size = [], [], 0
         gid = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = text.as_py() or b""
+            for doc_id, text in rows_of(batch):
+                raw = text or b""
                 if ids and (size + len(raw) > GROUP_BYTES or len(ids) == GROUP_DOCS):
                     yield group(ids, texts, gid)
                     ids, texts, size, gid = [], [], 0, gid + 1
@@ -166,7 +172,7 @@ def _ask(hashes_of: Callable, bits: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gid, ends, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for gid, ends, body in rows_of(batch):
                 keys, counts = distinct(hashes_of(unsqueeze(body), np.array(ends)), bits)
                 cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
                 out = []

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, unpack
+from presswork.llm.tables import read_table, ship, slices, unpack
 
 # Pages the trees are fitted on, about, and pages made from them.
 SAMPLE = 200
@@ -513,14 +513,11 @@ def fit_pages(pages: DataFrame, sample: int = SAMPLE) -> Trees:
 def _extract(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: Trees = unpack(shared)
-        for batch in batches:
-            texts = []
-            sources = batch.column("_html").to_pylist()
-            for at in range(0, len(sources), 64):
-                pages = [parse(source or "") for source in sources[at : at + 64]]
-                odds = trees.odds(np.concatenate([features(page) for page in pages]))
-                cuts = np.cumsum([len(page.tags) for page in pages])[:-1]
-                texts += map(main_text, pages, np.split(odds, cuts))
+        for batch in (part for whole in batches for part in slices(whole, 64)):
+            pages = [parse(source or "") for source in batch.column("_html").to_pylist()]
+            odds = trees.odds(np.concatenate([features(page) for page in pages]))
+            cuts = np.cumsum([len(page.tags) for page in pages])[:-1]
+            texts = list(map(main_text, pages, np.split(odds, cuts)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(texts, pa.string())], ["_row", "text"]
             )

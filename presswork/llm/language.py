@@ -16,11 +16,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, unpack
+from presswork.llm.tables import read_table, ship, slices, unpack
 from presswork.storage import as_table
 
 UNKNOWN = "und"
@@ -109,7 +110,7 @@ class Model:
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         counts = [count_grams(text or "") for text in batch.column(1).to_pylist()]
         found = [np.flatnonzero(c) for c in counts]
         yield pa.RecordBatch.from_arrays(
@@ -182,10 +183,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = unpack(shared)
-        for batch in batches:
-            langs, scores, rejected = model.predict(batch.column("_text").to_pylist())
+        for part in (part for batch in batches for part in slices(batch, _BATCH)):
+            texts = pc.struct_field(part.column(0), "text").to_pylist()
+            langs, scores, rejected = model.predict(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs), pa.array(scores), pa.array(rejected)],
+                [part.column(0), pa.array(langs), pa.array(scores), pa.array(rejected)],
                 ["_row", "lang_pred", "score", "rejected"],
             )
 
@@ -199,9 +201,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     letter; those have score 0 and are rejected. So is every text if the model has no
     language. ``score`` is the cosine to the nearest centroid, from 0 to 1. Rows may repeat.
     """
-    rows = docs.select(
-        F.struct(*[docs[name] for name in docs.columns]).alias("_row"), docs["text"].alias("_text")
-    )
+    rows = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("_row"))
     schema = T.StructType(
         [
             T.StructField("_row", rows.schema["_row"].dataType),

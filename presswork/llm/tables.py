@@ -5,7 +5,9 @@ from __future__ import annotations
 import pickle
 import sys
 import types
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import Broadcast, SparkContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,13 @@ def worker_cache(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in parts that share its memory. What is made of a part can go before the
+    next one is looked at."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def ship(context: SparkContext, value: object) -> Broadcast:
     """A broadcast of ``value`` together with its class, which executors need not have.
     Only for what has a stated bound."""

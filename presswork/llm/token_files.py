@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presswork.llm.tables import read_table, worker_cache
+from presswork.llm.tables import read_table, slices, worker_cache
 from presswork.storage import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -114,7 +114,7 @@ def _encode(path: str, end_id: int):
         encoder, start = _Encoder(path), 0
         part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in _chunks(texts, BATCH_CHARS):
                 coded = [x + end for x in encoder(texts[a:b])]
