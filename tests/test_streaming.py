@@ -350,3 +350,83 @@ def test_scoring_works_on_a_stream_itself(spark, feed, tmp_path):
     stream = stream.option("checkpointLocation", str(tmp_path / "checkpoint"))
     stream.trigger(**NOW).start().awaitTermination()
     assert spark.table("scored_stream").filter("sentiment_error is null").count() == 2
+
+
+def test_two_streams_may_share_a_folder_and_a_replay_overwrites_its_own(spark, tmp_path):
+    sink = ParquetSink(str(tmp_path / "shared"), per_batch=True)
+    for name, keys in (("one", "abc"), ("two", "de")):
+        (tmp_path / name).mkdir()
+        feed = Feed(spark, tmp_path / name)
+        feed.add(*[article(url_hash=key) for key in keys])
+        # The sink behind fails at first: batch 0 of each stream is written twice.
+        with pytest.raises(StreamingQueryException, match="sink down"):
+            feed.run(writer(sink, Collected(fail_on=[0])))
+        feed.run(writer(sink, Collected()))
+    written = spark.read.parquet(sink.output_dir)
+    assert sorted(r.url_hash for r in written.collect()) == list("abcde")
+    assert written.select("stream_id").distinct().count() == 2
+
+
+@pytest.mark.parametrize("reuse", ["sink", "none"])
+def test_no_sink_is_offered_a_batch_without_articles(feed, tmp_path, reuse):
+    class Counting(ParquetSink):
+        def write(self, enriched, batch_id):
+            (tmp_path / f"asked-{batch_id}").touch()
+            super().write(enriched, batch_id)
+
+    feed.add("not json")
+    feed.add(article(url_hash="a"))
+    feed.run(writer(Counting(str(tmp_path / "out"), per_batch=True), reuse=reuse))
+    assert [p.name for p in tmp_path.glob("asked-*")] == ["asked-1"]
+
+
+def test_the_others_are_served_when_the_first_sinks_table_fails(feed, tmp_path):
+    class Down(ParquetSink):
+        def write(self, enriched, batch_id):
+            raise OSError("no room")
+
+    feed.add(article(url_hash="a"), article(url_hash="b"))
+    first, other = Down(str(tmp_path / "out"), per_batch=True), Collected()
+    with pytest.raises(StreamingQueryException, match="sink 0"):
+        feed.run(writer(first, other, reuse="sink"))
+    assert other.batches == {0: ["a", "b"]}
+
+
+def test_a_readiness_test_that_raises_says_no(feed):
+    def broken():
+        raise OSError("no route")
+
+    feed.add(article(url_hash="a"))
+    sink = Collected()
+    feed.run(writer(sink, ready=broken, on_not_ready="skip", on_error="skip"))
+    assert sink.batches == {}
+    feed.add(article(url_hash="b"))
+    with pytest.raises(StreamingQueryException, match="not ready"):
+        feed.run(writer(sink, ready=broken))
+
+
+def test_a_batch_can_wait_for_its_scorer(feed):
+    feed.add(article(url_hash="a"))
+    answers, sink = iter([False, False, True]), Collected()
+    options = {"on_not_ready": "wait", "wait_interval_s": 0.01}
+    feed.run(writer(sink, ready=lambda: next(answers), wait_limit_s=30, **options))
+    assert sink.batches == {0: ["a"]} and list(answers) == []
+    feed.add(article(url_hash="b"))
+    with pytest.raises(StreamingQueryException, match="not ready"):
+        feed.run(writer(sink, ready=lambda: False, wait_limit_s=0.1, **options))
+
+
+def test_own_scorers_need_no_health_page(spark, feed, tmp_path):
+    feed.add(article(url_hash="a"))
+    sink = Collected()
+    options = StreamOptions(checkpoint_location=str(tmp_path / "c"), show_console=False)
+    start(
+        spark,
+        options,
+        sentiment=LengthSentiment(),
+        category=LengthTopic(),
+        sinks=[sink],
+        wire=read_articles_files(spark, str(feed.incoming)),
+        trigger=NOW,
+    ).awaitTermination()
+    assert sink.batches == {0: ["a"]}
