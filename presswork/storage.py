@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Whether an execution's shuffle files go when it ends.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _stated: list[str] = []
 
 
@@ -31,14 +35,27 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/presswork-{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_REMOVE_SHUFFLES, "false")
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def as_table(df: DataFrame, folder: str | None = None) -> DataFrame:
     """``df`` written to ``folder`` (by default a new shared one) and read back.
 
     For rows that several plans need: they are computed here and now, once, and no
-    executor lost later brings the computation back.
+    executor lost later brings the computation back. So the shuffle files it took go as
+    soon as the table is there, where Spark would keep them until the driver's JVM finds
+    them to be garbage.
     """
     folder = folder or new_folder(df.sparkSession, "table")
-    df.write.mode("overwrite").parquet(folder)
+    with _shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -46,10 +63,3 @@ def remove(spark: SparkSession, folder: str) -> None:
     """Deletes a table that nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that no one holds any more. It does so
-    when the driver's JVM collects its garbage, which on a large heap can take long."""
-    gc.collect()
-    spark._jvm.System.gc()

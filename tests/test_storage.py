@@ -1,3 +1,4 @@
+import time
 from unittest.mock import Mock
 
 import pytest
@@ -63,5 +64,19 @@ def test_a_table_is_removed(spark, tmp_path):
     as_table(spark.range(3).toDF("n"), str(folder))
     assert folder.exists()
     storage.remove(spark, str(folder))
-    storage.release(spark)
     assert not folder.exists()
+
+
+def test_a_table_leaves_no_shuffle_files(spark, tmp_path):
+    def kept():
+        manager = spark.sparkContext._jsc.sc().env().blockManager()
+        return manager.diskBlockManager().getAllFiles().length()
+
+    rows = spark.range(10_000).repartition(7, "id")
+    before = kept()
+    assert as_table(rows, str(tmp_path / "t")).count() == 10_000
+    until = time.monotonic() + 20
+    while kept() > before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert kept() <= before
+    assert spark.conf.get(storage._REMOVE_SHUFFLES) == "false"
