@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, slices, unpack
+from presswork.llm.tables import read_table, ship, slices, tidy, unpack
 from presswork.storage import as_table
 
 WINDOW = 10
@@ -218,7 +218,7 @@ def _match(shared, schema: pa.Schema):
                 batch.schema.names,
             )
 
-    return run
+    return tidy(run)
 
 
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -285,7 +285,8 @@ def decontaminate(
     the text."""
     rows = find_items(docs, items, window)
     kept = rows.filter(_covered() <= F.col("n_words") * max_coverage)
-    text = F.when(F.size("hits") > 0, F.pandas_udf(_without, "string")("_text", "hits")).otherwise(F.col("_text"))
+    without = F.pandas_udf(_without, "string")
+    text = F.when(F.size("hits") > 0, without("_text", "hits")).otherwise(F.col("_text"))
     kept = kept.withColumn("_text", text)
     out = {name: F.col("_row")[name] for name in docs.columns if name != "text"}
     out["text"] = F.col("_text")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.tables import worker_cache
+from presswork.llm.tables import tidy, worker_cache
 from presswork.storage import as_table
 
 # Text in a group, in bytes, unless one document is longer, and documents in it.
@@ -126,7 +126,7 @@ def _pack(describe: Callable):
         if ids:
             yield group(ids, texts, gid)
 
-    return run
+    return tidy(run)
 
 
 def pack(docs: DataFrame, describe: Callable, folder: str | None = None) -> DataFrame:
@@ -193,7 +193,7 @@ def _ask(hashes_of: Callable, bits: int, buckets: int):
                         ["bucket", "gid", "first", "width", "steps", "held"],
                     )
 
-    return run
+    return tidy(run)
 
 
 def _answer(group: pd.DataFrame) -> pd.DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, slices, unpack
+from presswork.llm.tables import read_table, ship, slices, tidy, unpack
 
 # Pages the trees are fitted on, about, and pages made from them.
 SAMPLE = 200
@@ -522,7 +522,7 @@ def _extract(shared):
                 [batch.column("_row"), pa.array(texts, pa.string())], ["_row", "text"]
             )
 
-    return run
+    return tidy(run)
 
 
 def extract(pages: DataFrame, trees: Trees) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm import hash_groups as hg
 from presswork.llm.graph import components
-from presswork.llm.tables import read_table
+from presswork.llm.tables import read_table, tidy
 from presswork.storage import as_table, new_folder, remove
 
 SHINGLE_WORDS = 4
@@ -136,7 +136,7 @@ def _windows(bits: int, percent: int):
                         ["node", "n", "hashes", "pivots"],
                     )
 
-    return run
+    return tidy(run)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, slices, unpack
+from presswork.llm.tables import read_table, ship, slices, tidy, unpack
 from presswork.storage import as_table
 
 UNKNOWN = "und"
@@ -191,7 +191,7 @@ def _predict(shared):
                 ["_row", "lang_pred", "score", "rejected"],
             )
 
-    return run
+    return tidy(run)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

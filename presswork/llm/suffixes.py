@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.llm import hash_groups as hg
-from presswork.llm.tables import read_table
+from presswork.llm.tables import read_table, tidy
 from presswork.storage import as_table, new_folder, remove
 
 LENGTH = 50
@@ -247,7 +247,7 @@ def _fragments(bits: int):
                         ["node", "owner", "whole", "body", "keys", "lows", "strings"],
                     )
 
-    return run
+    return tidy(run)
 
 
 def _sort(batch: pd.DataFrame) -> pd.DataFrame:
@@ -337,7 +337,7 @@ def _cut(length: int):
                 ["node", "n_removed", "n_spans", "kept"],
             )
 
-    return run
+    return tidy(run)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark import Broadcast, SparkContext, cloudpickle
@@ -31,6 +33,23 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def tidy(run: Callable) -> Callable:
+    """The function over batches, which gives memory it no longer uses back to the system
+    at its end. Workers wait for their next task beside the executor, in the same limit."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def ship(context: SparkContext, value: object) -> Broadcast:
     """A broadcast of ``value`` together with its class, which executors need not have.
     Only for what has a stated bound."""

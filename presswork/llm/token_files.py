@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presswork.llm.tables import read_table, slices, worker_cache
+from presswork.llm.tables import read_table, slices, tidy, worker_cache
 from presswork.storage import new_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -136,7 +136,7 @@ def _encode(path: str, end_id: int):
                 )
                 start += int(ends[-1])
 
-    return run
+    return tidy(run)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> None:
