@@ -25,7 +25,7 @@ from presswork.llm.tables import tidy, worker_cache
 from presswork.storage import as_table
 
 # Text in a group, in bytes, unless one document is longer, and documents in it.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 GROUP_DOCS = 1 << 16
 # Hashes that a bucket is expected to be sent.
 BUCKET_HASHES = 500_000
