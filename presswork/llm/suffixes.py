@@ -295,8 +295,10 @@ def _sorted_fragments(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = same.withColumn("print", _print(F.col("fragment"))).withColumn(
         "batch", F.pmod(F.xxhash64("key"), F.lit(batches))
     )
-    known = dealt.groupBy("batch").applyInPandas(
-        _sort, "key long, print long, owner long, early long"
+    known = as_table(
+        dealt.groupBy("batch").applyInPandas(
+            _sort, "key long, print long, owner long, early long"
+        )
     )
     slim = places.select(
         "node",
@@ -380,6 +382,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeats = found.filter("bits <> 0").groupBy("node").agg(
         F.collect_list(F.struct("low", "bits")).alias("repeats")
     )
+    repeats = as_table(repeats)
     cut = as_table(
         texts.select("node", "body").join(repeats, "node").mapInArrow(
             _cut(LENGTH), "node long, n_removed long, n_spans long, kept string"
