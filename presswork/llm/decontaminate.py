@@ -12,9 +12,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,7 +172,8 @@ def _automata(items: DataFrame, window: int) -> Iterator[Automaton]:
     yield Automaton(held, window)
 
 
-_SPANS = "array<struct<begin:int,end:int>>"
+# In words, and in characters of the text.
+_SPANS = "array<struct<begin:int,end:int,from:int,to:int>>"
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -204,7 +204,11 @@ def _match(shared, schema: pa.Schema):
                 if new:
                     spans = _merged([*((x["begin"], x["end"]) for x in spans), *new])
                     items = sorted(set(items).union(*map(automaton.items.get, states)))
-                    spans = [{"begin": a, "end": b} for a, b in spans]
+                    places = [m.span() for m in _WORD.finditer(text.as_py().decode())]
+                    spans = [
+                        {"begin": a, "end": b, "from": places[a][0], "to": places[b - 1][1]}
+                        for a, b in spans
+                    ]
                 n_words.append(len(words))
                 all_spans.append(spans)
                 all_items.append(items)
@@ -244,33 +248,27 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
         if i:
             rows = as_table(rows)
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-        plain = pa.schema(
-            [
-                ("hits", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))),
-                ("items", pa.list_(pa.string())),
-            ]
-        )
+        span = pa.struct([(name, pa.int32()) for name in ("begin", "end", "from", "to")])
+        plain = pa.schema([("hits", pa.list_(span)), ("items", pa.list_(pa.string()))])
         rows = rows.mapInArrow(_match(ship(context, automaton), plain), schema)
     return rows
 
 
-def _covered() -> F.Column:
+def _covered() -> Column:
     spans = F.transform("hits", lambda span: (span["end"] - span["begin"]).cast("long"))
     return F.aggregate(spans, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
-def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    def cut(text, hits):
-        if text is None or not len(hits):
-            return text
-        words = [match.span() for match in _WORD.finditer(text)]
-        kept, at = [], 0
-        for hit in hits:
-            kept.append(text[at : words[hit["begin"]][0]])
-            at = words[hit["end"] - 1][1]
-        return "".join([*kept, text[at:]])
+def _without(text: Column, hits: Column) -> Column:
+    """What stands before, between and behind the hits."""
 
-    return pd.Series([cut(t, h) for t, h in zip(texts, spans, strict=True)], dtype=object)
+    def piece(i: Column) -> Column:
+        begin = F.coalesce(F.get(hits, i - 1)["to"], F.lit(0))
+        end = F.coalesce(F.get(hits, i)["from"], F.length(text))
+        return F.substring(text, begin + 1, end - begin)
+
+    pieces = F.transform(F.sequence(F.lit(0), F.size(hits)), piece)
+    return F.when(F.size(hits) > 0, F.array_join(pieces, "")).otherwise(text)
 
 
 def decontaminate(
@@ -285,9 +283,7 @@ def decontaminate(
     the text."""
     rows = find_items(docs, items, window)
     kept = rows.filter(_covered() <= F.col("n_words") * max_coverage)
-    without = F.pandas_udf(_without, "string")
-    text = F.when(F.size("hits") > 0, without("_text", "hits")).otherwise(F.col("_text"))
-    kept = kept.withColumn("_text", text)
+    kept = kept.withColumn("_text", _without(F.col("_text"), F.col("hits")))
     out = {name: F.col("_row")[name] for name in docs.columns if name != "text"}
     out["text"] = F.col("_text")
     if "n_chars" in out:
