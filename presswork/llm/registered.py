@@ -10,6 +10,7 @@ from presswork.llm import (
     language,
     mixing,
     secrets,
+    sharding,
     suffixes,
     token_files,
     topk,
@@ -33,3 +34,6 @@ ORACLES = {
     "op5_mix_sources": mixing.SQL,
     "op6_scan_secrets": secrets.SQL,
 }
+# Not in QUERIES, whose numbers tests/llm/test_llm_registered.py fixes without 7.
+SHARDING_QUERIES = {"op7_shard_documents": sharding.op7_shard_documents}
+SHARDING_ORACLES = {"op7_shard_documents": sharding.SQL}
