@@ -4,12 +4,14 @@ A text becomes a TF-IDF vector over hashed byte 2-grams and 3-grams of its lower
 letters, scaled to length one. The labelled vectors of each language are clustered by
 spherical k-means, so that prose, lists and shouting may have centroids of their own. A text
 takes the language of the centroid with the largest cosine; if that is farther away than
-the language's own documents are, the text is rejected.
+the language's own texts are, the text is rejected. How far those are, and how far texts of
+other languages, is measured on the sample, on whole texts and on pieces of all lengths.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,12 +34,13 @@ CENTROIDS = 4
 SAMPLE = 400
 ROUNDS = 8
 BROADCAST_LANGS = 10_000
-# A text is rejected if its cosine is below this share of the cosine that all but
-# REJECT_TAIL of the language's own documents in the sample reach.
-REJECT_SHARE = 0.25
+# A text is rejected if its cosine is below the middle between two cosines: the one that all
+# but REJECT_TAIL of the language's own texts reach, and the median of texts of the languages
+# beside it. Both are taken among texts with as many different grams, by powers of two.
 REJECT_TAIL = 0.02
-# Texts with fewer grams are given more room, in proportion.
-FULL_GRAMS = 400
+OCTAVES = 14
+# So many pieces of 1, 2, 4, 8 … words are cut out of each text of the sample.
+PIECES = 3
 _BATCH = 256
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -87,7 +90,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # a row per centroid
     langs: list[str]  # of each centroid, in order
-    limits: np.ndarray  # least cosine, of each centroid
+    limits: np.ndarray  # least cosine, a row per centroid and a column per octave
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, cosines and rejections."""
@@ -104,25 +107,52 @@ class Model:
                 langs[i] = self.langs[j]
             top = cosines[np.arange(len(some)), best]
             scores[some] = np.clip(top, 0, 1)
-            room = np.minimum(1, counts.sum(1) / FULL_GRAMS)
-            rejected[some] = top < self.limits[best] * room
+            rejected[some] = top < self._least(best, octaves(counts))
         return langs, scores, rejected
 
+    def _least(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The limits of these centroids, straight between octaves."""
+        low = np.minimum(place.astype("i4"), OCTAVES - 2)
+        below, above = self.limits[best, low], self.limits[best, low + 1]
+        return below + (above - below) * (place - low)
+
+
+def octaves(counts: np.ndarray) -> np.ndarray:
+    """Binary logarithms of the numbers of different grams."""
+    return np.log2(np.maximum(1, (counts > 0).sum(1)))
+
+
+def pieces(text: str) -> Iterator[str]:
+    """Runs of 1, 2, 4, 8 … words at places that follow from the text."""
+    words, raw = text.split(), text.encode("utf-8", "replace")
+    size = 1
+    while size < len(words):
+        for turn in range(PIECES):
+            at = zlib.crc32(raw, turn) % (len(words) - size + 1)
+            piece = " ".join(words[at : at + size])
+            if has_letter(piece):
+                yield piece
+        size *= 2
+
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (part for whole in batches for part in slices(whole)):
-        counts = [count_grams(text or "") for text in batch.column(1).to_pylist()]
-        found = [np.flatnonzero(c) for c in counts]
+    """The grams of whole texts and of their pieces."""
+    for part in (part for whole in batches for part in slices(whole, 16)):
+        rows = []
+        for lang, text in zip(*(column.to_pylist() for column in part.columns), strict=True):
+            for turn, piece in enumerate([text, *pieces(text)]):
+                counts = count_grams(piece)
+                found = np.flatnonzero(counts)
+                rows.append((lang, turn == 0, found.astype("i4"), counts[found].astype("i4")))
+        langs, whole, found, counts = zip(*rows, strict=True)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                pa.array([x.astype("i4") for x in found], pa.list_(pa.int32())),
-                pa.array(
-                    [c[x].astype("i4") for c, x in zip(counts, found, strict=True)],
-                    pa.list_(pa.int32()),
-                ),
+                pa.array(langs),
+                pa.array(whole),
+                pa.array(found, pa.list_(pa.int32())),
+                pa.array(counts, pa.list_(pa.int32())),
             ],
-            ["lang", "grams", "counts"],
+            ["lang", "whole", "grams", "counts"],
         )
 
 
@@ -135,18 +165,71 @@ def _centroids(idf: np.ndarray):
             counts[row, list(grams)] = values
         rows = weigh(counts, idf)
         centroids = cluster(rows)
-        least = np.quantile((rows @ centroids.T).max(1), REJECT_TAIL) * REJECT_SHARE
         return pd.DataFrame(
             {
                 "lang": [group["lang"].iloc[0]] * len(centroids),
                 "centroid": [c.tobytes() for c in centroids],
-                "least": [float(least)] * len(centroids),
             }
         )
 
     return run
 
 
+def _cosines(shared):
+    """For each text the cosine to its own language, and to the nearest one beside it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = unpack(shared)
+        owners = np.array(model.langs, object)
+        for part in (part for batch in batches for part in slices(batch, _BATCH)):
+            langs, grams, values = (column.to_pylist() for column in part.columns)
+            counts = np.zeros((len(langs), DIMENSIONS), "f4")
+            for row, (found, n) in enumerate(zip(grams, values, strict=True)):
+                counts[row, found] = n
+            cosines = weigh(counts, model.idf) @ model.centroids.T
+            is_own = owners[None, :] == np.array(langs, object)[:, None]
+            others = np.where(is_own, -1, cosines)
+            nearest = others.argmax(1)
+            there = others.max(1) >= 0
+            octave = np.rint(octaves(counts)).astype("i4")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*langs, *owners[nearest][there]], pa.string()),
+                    pa.array(np.concatenate([octave, octave[there]])),
+                    pa.array(np.arange(len(langs) + there.sum()) < len(langs)),
+                    pa.array(
+                        np.concatenate(
+                            [np.where(is_own, cosines, -1).max(1), others.max(1)[there]]
+                        ).astype("f8")
+                    ),
+                ],
+                ["lang", "octave", "own", "cosine"],
+            )
+
+    return tidy(run)
+
+
+def _limits(grams: DataFrame, model: Model) -> np.ndarray:
+    """The limit of each language in each octave; octaves without texts of its own lie
+    straight between their neighbours, from 0 at a single gram on."""
+    shared = ship(grams.sparkSession.sparkContext, model)
+    spec = "lang string, octave int, own boolean, cosine double"
+    cosines = grams.select("lang", "grams", "counts").mapInArrow(_cosines(shared), spec)
+    measured = cosines.groupBy("lang", "octave").agg(
+        F.percentile(F.when(F.col("own"), F.col("cosine")), F.lit(REJECT_TAIL)).alias("low"),
+        F.percentile(F.when(~F.col("own"), F.col("cosine")), F.lit(0.5)).alias("other"),
+    )
+    known: dict[str, dict[int, float]] = {}
+    for row in measured.filter("low is not null").collect():  # OCTAVES rows a language at most
+        low = max(0.0, row["low"])
+        # Where the two are close, as in single words, a quarter of the own cosine is room.
+        other = min(max(0.0, row["other"] or 0.0), low / 2)
+        known.setdefault(row["lang"], {0: 0.0})[row["octave"]] = (low + other) / 2
+    table = [sorted(known[lang].items()) for lang in model.langs]
+    lines = [np.interp(range(OCTAVES), *zip(*line, strict=True)) for line in table]
+    return np.array(lines).reshape(len(lines), OCTAVES)
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """From the columns ``doc_id, text, lang``. Rows with null or letterless text or null
     ``lang`` teach nothing; of each language about ``sample`` documents are used, all if it
@@ -160,24 +243,27 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
         sizes = F.broadcast(sizes)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     picked = usable.join(sizes, "lang").filter(place * F.col("_n") < sample)
-    spec = "lang string, grams array<int>, counts array<int>"
-    grams = as_table(picked.select("lang", "text").mapInArrow(_grams, spec))
+    spec = "lang string, whole boolean, grams array<int>, counts array<int>"
+    cut = as_table(picked.select("lang", "text").mapInArrow(_grams, spec))
+    grams = cut.filter("whole")
     total = grams.count()
     present = grams.select(F.explode("grams").alias("gram")).groupBy("gram").count()
     idf = np.zeros(DIMENSIONS, "f4")
     for gram, n in present.collect():  # a row per dimension at most
         idf[gram] = np.log((1 + total) / (1 + n)) + 0.1
     found = grams.groupBy("lang").applyInPandas(
-        _centroids(idf), "lang string, centroid binary, least double"
+        _centroids(idf), "lang string, centroid binary"
     )
     rows = sorted(found.collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
     centroids = [np.frombuffer(r["centroid"], "f4") for r in rows]
-    return Model(
+    model = Model(
         idf,
         np.array(centroids, "f4").reshape(len(rows), DIMENSIONS),
         [r["lang"] for r in rows],
-        np.array([r["least"] for r in rows]),
+        np.zeros((len(rows), OCTAVES)),
     )
+    model.limits = _limits(cut, model)
+    return model
 
 
 def _predict(shared):
