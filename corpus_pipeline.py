@@ -29,11 +29,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.select(*[F.col("_row")[name].alias(name) for name in docs.columns])
 
 
+# Near-duplicates of this stage: shingles of so many words, and a similarity of so many
+# percent or more. op10's contract has its own.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
+
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest ``doc_id``. ``doc_id`` is
     a key; of rows that repeat with the same text one stays, and rows without ``doc_id``
     stay unless they repeat."""
-    grouped = jaccard.jaccard_components(docs.select("doc_id", "text"))
+    grouped = jaccard.jaccard_components(
+        docs.select("doc_id", "text"), NEAR_PERCENT, NEAR_WORDS
+    )
     stays = (F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull()
     keep = grouped.filter(stays).select("doc_id").distinct()
     kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")

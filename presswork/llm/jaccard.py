@@ -6,8 +6,8 @@ First level: the pivots are the sets of a single shingle. A document is closer t
 its own shingles than to any other, equally close to all of these, and ties are broken by an
 order of all shingles, the rare ones first; its Voronoi region is that of its first shingle.
 A document within the distance of a link shares so many of its shingles that the first one
-they have in common lies among its first ``n - ceil(0.85 n) + 1``: the window of regions to
-which the document is replicated. Shingles that stand in one document only open no region.
+they have in common lies among its first ``n - ceil(0.85 n) + 1``, for links from 85% on: the
+window of regions to which the document is replicated. Shingles that stand in one document only open no region.
 
 Inside the regions: the pivot is a document, the region's smallest. Sizes (the distance to
 the empty set's side of the space) leave a window of documents to measure against it. The
@@ -20,7 +20,8 @@ no more than a link's distance. Copies of a set are one point from the start.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -89,8 +90,10 @@ def _sets(hashes: hg.Hashes, n: int) -> np.ndarray:
     return np.searchsorted(hashes[1], np.arange(n + 1))
 
 
-def _describe(raw: bytes, ends: np.ndarray) -> tuple[int, list[int], list[bytes]]:
-    found = shingles(raw, ends)
+def _describe(
+    raw: bytes, ends: np.ndarray, words: int = SHINGLE_WORDS
+) -> tuple[int, list[int], list[bytes]]:
+    found = shingles(raw, ends, words)
     cuts = _sets(found, len(ends)).tolist()
     prints = [
         hashlib.blake2b(found[0][a:b].tobytes(), digest_size=16).digest()
@@ -99,14 +102,14 @@ def _describe(raw: bytes, ends: np.ndarray) -> tuple[int, list[int], list[bytes]
     return len(found[0]), np.diff(cuts).tolist(), prints
 
 
-def _windows(bits: int, percent: int):
+def _windows(bits: int, percent: int, hashes_of: Callable):
     """For the representatives of a group: set, and the shingles whose regions they are
     replicated to. Documents that are alone in all of theirs are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for gid, ends, body, answers, chosen in hg.rows_of(batch):
-                found = shingles(hg.unsqueeze(body), np.array(ends))
+                found = hashes_of(hg.unsqueeze(body), np.array(ends))
                 keys, _ = hg.distinct(found, bits)
                 cut = found[0] >> np.uint64(64 - bits)
                 shared = hg.read_answers(answers)[np.searchsorted(keys, cut)]
@@ -257,11 +260,13 @@ def _rest(members: DataFrame, measured: DataFrame, known: DataFrame, points: Dat
     return cells.groupBy("region", "_i", "_j").applyInPandas(_compare(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE_WORDS
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``).
 
     Words are runs of anything but ASCII white space, A-Z in lower case; a document's set
-    is its distinct shingles of four words, or the whole sequence if it has fewer. Documents
+    is its distinct shingles of ``words`` words, or the whole sequence if it has fewer. Documents
     link when their sets' Jaccard similarity reaches ``percent``; ``component_id`` is the
     smallest ``doc_id`` that links lead to, the document's own included. Null texts and
     texts without words have no shingle and no link. Rows may repeat and share ``doc_id``;
@@ -270,7 +275,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     by 64-bit hashes.
     """
     spark, folder = docs.sparkSession, new_folder(docs.sparkSession, "groups")
-    groups = hg.pack(docs, _describe, folder)
+    groups = hg.pack(docs, partial(_describe, words=words), folder)
+    hashes_of = partial(shingles, words=words)
     listed = as_table(hg.list_documents(groups).withColumnRenamed("size", "n_shingles"))
     # Copies of a set are one point; the smallest node stands for it.
     classes = listed.filter("n_shingles > 0").groupBy("print").agg(
@@ -283,11 +289,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     chosen = classes.groupBy("gid").agg(
         F.sort_array(F.collect_list(F.struct("place", copies))).alias("chosen")
     )
-    answers, bits = hg.census(groups, shingles)
+    answers, bits = hg.census(groups, hashes_of)
     asked = groups.select("gid", "ends", "body").join(answers, "gid").join(chosen, "gid")
     points = as_table(
         asked.mapInArrow(
-            _windows(bits, percent), "node long, n int, hashes binary, pivots array<long>"
+            _windows(bits, percent, hashes_of),
+            "node long, n int, hashes binary, pivots array<long>",
         )
     )
     remove(spark, folder)
