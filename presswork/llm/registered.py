@@ -9,6 +9,7 @@ from presswork.llm import (
     jaccard,
     language,
     mixing,
+    runs,
     secrets,
     sharding,
     suffixes,
@@ -23,9 +24,11 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_scan_secrets": secrets.op6_scan_secrets,
+    "op7_shard_documents": sharding.op7_shard_documents,
     "op8_identify_language": language.op8_identify_language,
     "op9_token_files": token_files.op9_token_files,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "op11_periodic_runs": runs.op11_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -33,7 +36,5 @@ ORACLES = {
     "op4_decontaminate": decontaminate.SQL,
     "op5_mix_sources": mixing.SQL,
     "op6_scan_secrets": secrets.SQL,
+    "op7_shard_documents": sharding.SQL,
 }
-# Not in QUERIES, whose numbers tests/llm/test_llm_registered.py fixes without 7.
-SHARDING_QUERIES = {"op7_shard_documents": sharding.op7_shard_documents}
-SHARDING_ORACLES = {"op7_shard_documents": sharding.SQL}
