@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,3 +64,14 @@ def remove(spark: SparkSession, folder: str) -> None:
     """Deletes a table that nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``as_table`` for tables that only what happens inside the scope reads: they go at its
+    end. What is to outlast it is written by ``as_table`` itself, before."""
+    folder, numbers = new_folder(spark, "scratch"), count()
+    try:
+        yield lambda df: as_table(df, f"{folder}/{next(numbers)}")
+    finally:
+        remove(spark, folder)
