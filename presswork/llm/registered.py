@@ -9,6 +9,7 @@ from presswork.llm import (
     jaccard,
     language,
     mixing,
+    near_vectors,
     runs,
     secrets,
     sharding,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_token_files": token_files.op9_token_files,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
     "op11_periodic_runs": runs.op11_periodic_runs,
+    "op12_near_vectors": near_vectors.op12_near_vectors,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -37,4 +39,5 @@ ORACLES = {
     "op5_mix_sources": mixing.SQL,
     "op6_scan_secrets": secrets.SQL,
     "op7_shard_documents": sharding.SQL,
+    "op12_near_vectors": near_vectors.SQL,
 }
