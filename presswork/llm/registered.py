@@ -10,6 +10,7 @@ from presswork.llm import (
     language,
     mixing,
     near_vectors,
+    prefix_trie,
     runs,
     secrets,
     sharding,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_jaccard_join": jaccard.op10_jaccard_join,
     "op11_periodic_runs": runs.op11_periodic_runs,
     "op12_near_vectors": near_vectors.op12_near_vectors,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -40,4 +42,5 @@ ORACLES = {
     "op6_scan_secrets": secrets.SQL,
     "op7_shard_documents": sharding.SQL,
     "op12_near_vectors": near_vectors.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
