@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -14,19 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 _REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _stated: list[str] = []
+_stated_for_one_machine: list[str] = []
 
 
-def use_shared_dir(folder: str) -> None:
+def use_shared_dir(folder: str, one_machine: bool = False) -> None:
     """The folder to use in sessions that do not name one in ``spark.checkpoint.dir``.
-    Every executor must see it under this path."""
-    _stated[:] = [folder]
+    Every executor must see it under this path. With ``one_machine`` it counts only where
+    the executor is the driver itself."""
+    (_stated_for_one_machine if one_machine else _stated)[:] = [folder]
+
+
+def on_one_machine(spark: SparkSession) -> bool:
+    """Is the executor the driver itself, so that any folder is shared?"""
+    return re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")) is not None
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: what ``spark.checkpoint.dir`` names, else what
     ``use_shared_dir`` stated. There is no default, on one machine neither."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    for folder in (configured, *_stated):
+    local = _stated_for_one_machine if on_one_machine(spark) else []
+    for folder in (configured, *_stated, *local):
         if folder:
             return folder.rstrip("/")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -62,8 +71,18 @@ def as_table(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 def remove(spark: SparkSession, folder: str) -> None:
     """Deletes a table that nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _locate(spark, folder)
+    files.delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, path = _locate(spark, path)
+    return files.exists(path)
+
+
+def _locate(spark: SparkSession, path: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 @contextmanager

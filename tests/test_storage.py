@@ -1,4 +1,5 @@
 import time
+from pathlib import Path
 from unittest.mock import Mock
 
 import pytest
@@ -29,6 +30,7 @@ def test_the_named_folder_is_used():
 
 def test_a_cluster_never_gets_a_local_folder(monkeypatch):
     monkeypatch.setattr(storage, "_stated", [])
+    monkeypatch.setattr(storage, "_stated_for_one_machine", [])
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session(**CLUSTER))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
@@ -37,6 +39,7 @@ def test_a_cluster_never_gets_a_local_folder(monkeypatch):
 
 def test_no_session_gets_a_folder_nobody_named(monkeypatch):
     monkeypatch.setattr(storage, "_stated", [])
+    monkeypatch.setattr(storage, "_stated_for_one_machine", [])
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(session(**LOCAL))
     storage.use_shared_dir("/stated/")
@@ -45,6 +48,16 @@ def test_no_session_gets_a_folder_nobody_named(monkeypatch):
     assert checkpoint_path(session(**LOCAL), StreamOptions()) == "/tmp/raw_news_checkpoints"
 
 
+def test_a_local_folder_is_for_one_machine(monkeypatch):
+    monkeypatch.setattr(storage, "_stated", [])
+    monkeypatch.setattr(storage, "_stated_for_one_machine", [])
+    storage.use_shared_dir("/tmp/own", one_machine=True)
+    assert shared_dir(session(**LOCAL)) == "/tmp/own"
+    for master in ("yarn", "local-cluster[3,2,3000]", "spark://host:7077", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(**{"spark.master": master}))
+
+
 def test_a_table_is_computed_once(spark, tmp_path):
     traces = spark.sparkContext.accumulator(0)
 
@@ -74,9 +87,24 @@ def test_a_table_leaves_no_shuffle_files(spark, tmp_path):
 
     rows = spark.range(10_000).repartition(7, "id")
     before = kept()
-    assert as_table(rows, str(tmp_path / "t")).count() == 10_000
+    table = as_table(rows, str(tmp_path / "t"))
     until = time.monotonic() + 20
     while kept() > before and time.monotonic() < until:
         time.sleep(0.1)
+    # Before anything else runs: a count has shuffle files of its own.
     assert kept() <= before
+    assert table.count() == 10_000
     assert spark.conf.get(storage._REMOVE_SHUFFLES) == "false"
+
+
+def test_tables_of_a_scope_go_at_its_end(spark, tmp_path):
+    shared = Path(shared_dir(spark))
+    before = set(shared.iterdir())
+    with storage.scratch(spark) as table:
+        twice = table(table(spark.range(5).toDF("n")).union(table(spark.range(3).toDF("n"))))
+        assert twice.count() == 8 and set(shared.iterdir()) > before
+    assert set(shared.iterdir()) == before
+    with pytest.raises(RuntimeError), storage.scratch(spark) as table:
+        table(spark.range(5).toDF("n"))
+        raise RuntimeError
+    assert set(shared.iterdir()) == before
