@@ -13,6 +13,7 @@ from presswork.operators.scoring import (
     EMPTY_TEXT,
     SENTIMENT,
     ScoreSpec,
+    Tally,
     score,
     score_all,
     score_table,
@@ -29,6 +30,7 @@ __all__ = [
     "ScoreSpec",
     "Scorer",
     "ScorerFactory",
+    "Tally",
     "batch_stats",
     "count_joined",
     "dedup_articles",

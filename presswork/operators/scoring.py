@@ -18,7 +18,7 @@ from itertools import chain, compress
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,8 +65,10 @@ def score(
     scorer: ScorerFactory,
     *,
     chunk_size: int = CHUNK_SIZE,
+    chunk_bytes: int | None = None,
     max_in_flight: int = 1,
     clock: Callable[[], str] = utc_now,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """``df`` plus ``<prefix>_label, _score, _inferred_at, _error``, row for row.
 
@@ -75,27 +77,46 @@ def score(
     (a connection or a loaded model).
     Requests hold up to ``chunk_size`` consecutive rows of a partition, and at most
     ``max_in_flight`` of them are open at a time per task, so the load on a remote
-    scorer is bounded by that times the running tasks.
+    scorer is bounded by that times the running tasks. ``chunk_bytes`` bounds the UTF-8
+    bytes of a request's texts too: a request ends before the text that would exceed it, and a text
+    that is larger alone is a request of its own. ``tally`` counts scorers and requests.
     """
     return score_all(
-        df, {spec: scorer}, chunk_size=chunk_size, max_in_flight=max_in_flight, clock=clock
+        df,
+        {spec: scorer},
+        chunk_size=chunk_size,
+        chunk_bytes=chunk_bytes,
+        max_in_flight=max_in_flight,
+        clock=clock,
+        tally=tally,
     )
 
 
+class Tally:
+    """Scorers made and requests sent, over all tasks; known when an action has ended. A
+    task that is repeated counts again: it does make and send again."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.scorers = spark.sparkContext.accumulator(0)
+        self.requests = spark.sparkContext.accumulator(0)
+
+
 def score_all(
     df: DataFrame,
     scorers: Mapping[ScoreSpec, ScorerFactory],
     *,
     chunk_size: int = CHUNK_SIZE,
+    chunk_bytes: int | None = None,
     max_in_flight: int = 1,
     clock: Callable[[], str] = utc_now,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """``score`` for several scorers: the text goes to Python once, and a task waits for
     the scorers at the same time instead of one after the other. ``max_in_flight``
     counts for each of them."""
-    if chunk_size < 1 or max_in_flight < 1:
-        raise ValueError("chunk_size and max_in_flight must be at least 1")
-    answer = _answer_udf(dict(scorers), chunk_size, max_in_flight, clock)
+    if chunk_size < 1 or max_in_flight < 1 or (chunk_bytes is not None and chunk_bytes < 1):
+        raise ValueError("chunk_size, chunk_bytes and max_in_flight must be at least 1")
+    answer = _answer_udf(dict(scorers), chunk_size, chunk_bytes, max_in_flight, clock, tally)
     scored = df.withColumn("_answer", answer("url_hash", "text_for_inference"))
     return scored.select(*df.columns, "_answer.*")
 
@@ -108,7 +129,7 @@ def score_table(df: DataFrame, spec: ScoreSpec, scorer: ScorerFactory, **options
     return score(asked, spec, scorer, **options).drop("text_for_inference")
 
 
-def _answer_udf(scorers, chunk_size, max_in_flight, clock):
+def _answer_udf(scorers, chunk_size, chunk_bytes, max_in_flight, clock, tally):
     schema = StructType([field for spec in scorers for field in answer_schema(spec.prefix)])
     names = schema.fieldNames()
     threads = max_in_flight if max_in_flight > 1 or len(scorers) > 1 else 0
@@ -120,6 +141,7 @@ def _answer_udf(scorers, chunk_size, max_in_flight, clock):
         with ExitStack() as stack:
             asking = []
             for spec, factory in scorers.items():
+                factory = factory if tally is None else _counted(factory, tally)
                 scorer = _PerThread(factory) if threads else factory()
                 ask = partial(answer_chunk, scorer=scorer, spec=spec, clock=clock)
                 if threads:
@@ -127,7 +149,7 @@ def _answer_udf(scorers, chunk_size, max_in_flight, clock):
                     # Requests nobody waits for any more, as under a limit, are dropped.
                     stack.callback(pool.shutdown, wait=False, cancel_futures=True)
                 asking.append(partial(pool.map if threads else map, ask))
-            for chunks in _chunks(batches, chunk_size):
+            for chunks in _chunks(batches, chunk_size, chunk_bytes):
                 # Every pool has its requests before the first answer is waited for.
                 pending = [ask_all(chunks) for ask_all in asking]
                 columns = [column for answers in pending for column in _to_arrow(answers)]
@@ -150,20 +172,55 @@ class _PerThread:
         return self._own.scorer
 
 
-def _chunks(batches, size: int) -> Iterator[list[list[tuple[str, str]]]]:
+def _counted(factory: ScorerFactory, tally: Tally) -> ScorerFactory:
+    scorers, requests = tally.scorers, tally.requests
+
+    def make() -> Scorer:
+        scorer = factory()
+        scorers.add(1)
+
+        def ask(items):
+            requests.add(1)
+            return scorer(items)
+
+        ask.positional = getattr(scorer, "positional", False)
+        return ask
+
+    return make
+
+
+def _chunks(batches, size: int, size_bytes: int | None) -> Iterator[list[list[tuple[str, str]]]]:
     """Lists of full chunks, in row order. Chunks run on across Arrow batches: only the
     last chunk of a partition may be short."""
     rows: list[tuple[str, str]] = []
+    held = 0
     for ids, texts in batches:
-        rows.extend(zip(ids.to_pylist(), texts.to_pylist()))
-        full = len(rows) - len(rows) % size
+        full = []
+        for row in zip(ids.to_pylist(), texts.to_pylist()):
+            extra = _sent_bytes(row[1]) if size_bytes is not None else 0
+            if len(rows) == size or (held and extra and held + extra > size_bytes):
+                full.append(rows)
+                rows, held = [], 0
+            rows.append(row)
+            held += extra
+        if len(rows) == size:
+            full.append(rows)
+            rows, held = [], 0
         if full:
-            yield [rows[at : at + size] for at in range(0, full, size)]
-            rows = rows[full:]
+            yield full
     if rows:
         yield [rows]
 
 
+def _is_sent(text: str | None) -> bool:
+    return bool(text and text.strip())
+
+
+def _sent_bytes(text: str | None) -> int:
+    """Blank texts stay in their chunk, without a byte."""
+    return len(text.encode()) if _is_sent(text) else 0
+
+
 def answer_chunk(
     rows: list[tuple[str, str]], scorer: Scorer, spec: ScoreSpec, clock: Callable[[], str]
 ) -> list[Answer]:
@@ -171,7 +228,7 @@ def answer_chunk(
 
     Blank texts are not sent. If the request fails, every row sent gets the message.
     """
-    sent = [bool(text and text.strip()) for _, text in rows]
+    sent = [_is_sent(text) for _, text in rows]
     asked = list(compress(rows, sent))
     answers = iter(_ask(asked, scorer, spec, clock) if asked else [])
     return [
@@ -181,9 +238,10 @@ def answer_chunk(
 
 
 def _ask(asked, scorer, spec, clock) -> list[Answer]:
+    # A scorer that cannot be made fails the task, whichever thread it is for.
+    scorer = scorer.get() if isinstance(scorer, _PerThread) else scorer
     at = clock()
     try:
-        scorer = scorer.get() if isinstance(scorer, _PerThread) else scorer
         replies = scorer([{"url_hash": key, "text": text} for key, text in asked])
         if getattr(scorer, "positional", False):
             found = list(replies)

@@ -341,3 +341,65 @@ def test_rows_keep_their_columns_and_number(spark, texts_given, partitions, chun
             assert row.sentiment_error == "missing sentiment result"
         else:
             assert (row.sentiment_label, row.sentiment_error) == (text, None)
+
+
+def test_requests_keep_to_rows_and_bytes(spark, tmp_path):
+    """Against packing one text after the other."""
+    import random
+
+    random.seed(5)
+    words = [random.choice(["", " ", None, "ä" * random.randint(1, 30), "x" * 100]) for _ in range(200)]
+    rows = [(f"k{n}", word) for n, word in enumerate(words)]
+    recorder = Recorder(tmp_path, SENTIMENT)
+    got = scored(spark, rows, recorder, chunk_size=7, chunk_bytes=64)
+    expected, chunk, held = [], [], 0
+    for key, word in rows:
+        size = len(word.encode()) if word and word.strip() else 0
+        if len(chunk) == 7 or (held and size and held + size > 64):
+            expected.append(chunk)
+            chunk, held = [], 0
+        chunk.append((key, size))
+        held += size
+    expected.append(chunk)
+    sent = [[key for key, size in chunk if size] for chunk in expected]
+    asked = [[item["url_hash"] for item in request] for request in recorder.requests]
+    assert sorted(asked) == sorted(keys for keys in sent if keys)
+    assert len(got) == 200 and any(len(c) < 7 for c in expected[:-1])
+    assert any(size > 64 for chunk in expected for _, size in chunk)
+
+
+def test_a_request_has_25_rows_unless_told_otherwise(spark, tmp_path):
+    recorder = Recorder(tmp_path, SENTIMENT)
+    scored(spark, [(f"k{n}", "x" * 10_000) for n in range(60)], recorder)
+    assert sorted(map(len, recorder.requests)) == [10, 25, 25]
+
+
+def test_scorers_and_requests_are_counted(spark):
+    from presswork.operators import Tally
+
+    tally = Tally(spark)
+    rows = [(str(n), "" if n % 10 == 9 else "x") for n in range(40)]
+    frame = texts(spark, rows).repartition(1)
+    factory = replying(sentiment("1"))
+    options = {"chunk_size": 5, "clock": clock, "tally": tally}
+    answered = score_all(frame, {SENTIMENT: factory, CATEGORY: factory}, **options).collect()
+    assert len(answered) == 40
+    # One thread for each of the two scorers.
+    assert (tally.scorers.value, tally.requests.value) == (2, 16)
+
+
+def test_a_scorer_that_cannot_be_made_fails_the_task(spark):
+    from pyspark.errors import PythonException
+
+    def factory():
+        raise OSError("no model")
+
+    for options in ({}, {"max_in_flight": 2}):
+        with pytest.raises(PythonException, match="no model"):
+            scored(spark, [("a", "x")], factory, **options)
+
+
+def test_budgets_are_checked(spark):
+    for wrong in ({"chunk_bytes": 0}, {"chunk_size": 0}, {"max_in_flight": 0}):
+        with pytest.raises(ValueError):
+            score(texts(spark, [("a", "x")]), SENTIMENT, replying(), **wrong)
