@@ -24,6 +24,7 @@ class StreamOptions:
     health_endpoint: str = "http://localhost:9000/health"
     timeout_s: float = 30
     chunk_size: int = 25
+    chunk_bytes: int | None = None  # of texts in a request; no limit
     max_chars: int | None = None  # whole texts
 
     # Own additions; the defaults leave Spark's behaviour alone.
@@ -32,6 +33,7 @@ class StreamOptions:
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     scoring_partitions: int | None = None
+    deliver_once: bool = True
     on_error: str = "fail"
     on_not_ready: str = "fail"  # or "skip", or "wait"
     wait_limit_s: float = 300

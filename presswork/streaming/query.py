@@ -14,7 +14,9 @@ from presswork.operators.scorers import HttpReady, HttpScorer, ScorerFactory
 from presswork.options import StreamOptions
 from presswork.sinks import ConsoleSink, Sink, build_sinks
 from presswork.sources import read_articles_kafka
-from presswork.storage import shared_dir
+from presswork.storage import on_one_machine, remove, shared_dir
+from presswork.streaming.ledger import Ledger
+from presswork.streaming.release import AtEnd
 from presswork.streaming.writer import batch_writer
 
 _LOCAL_CHECKPOINT = "/tmp/raw_news_checkpoints"  # fixed value: default on one machine
@@ -38,6 +40,10 @@ def start(
     batch if one of them is used; ``ready`` is another test. ``wire`` is another stream with a ``value``
     column, ``sinks`` replaces the chosen ones (not the console), and ``trigger`` holds
     arguments of ``DataStreamWriter.trigger``, such as ``{"availableNow": True}``.
+
+    Which sinks have a batch is kept inside the checkpoint (``deliver_once``), so that a
+    restart after a failed sink repeats none of the others. Scored rows that wait for such a
+    restart are all that the stream leaves in the shared folder.
     """
     if sinks is None:
         sinks = build_sinks(
@@ -67,6 +73,8 @@ def start(
     if ready is None:
         ready = HttpReady(options.health_endpoint) if over_http else lambda: True
     checkpoint = checkpoint_path(spark, options)
+    work_dir = _work_dir(spark, checkpoint) if options.reuse == "table" else None
+    ledger = Ledger(spark, f"{checkpoint}/deliveries") if options.deliver_once else None
     write_batch = batch_writer(
         sinks,
         sentiment,
@@ -77,11 +85,13 @@ def start(
         wait_interval_s=options.wait_interval_s,
         on_error=options.on_error,
         reuse=options.reuse,
-        work_dir=_work_dir(spark, checkpoint) if options.reuse == "table" else None,
+        work_dir=work_dir,
+        ledger=ledger,
         max_chars=options.max_chars,
         order_by=options.survivor_order,
         partitions=options.scoring_partitions,
         chunk_size=options.chunk_size,
+        chunk_bytes=options.chunk_bytes,
         max_in_flight=options.max_in_flight,
     )
     writer = (
@@ -92,7 +102,12 @@ def start(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    if work_dir is None:
+        return writer.start()
+    at_end = AtEnd(spark, lambda: remove(spark, work_dir))
+    query = writer.start()
+    at_end.watch(query)
+    return query
 
 
 def checkpoint_path(spark: SparkSession, options: StreamOptions) -> str:
@@ -103,12 +118,13 @@ def checkpoint_path(spark: SparkSession, options: StreamOptions) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return f"{configured.rstrip('/')}/{options.topic}_checkpoints"
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if on_one_machine(spark):
         return _LOCAL_CHECKPOINT
     raise ValueError("state checkpoint_location, or set spark.checkpoint.dir")
 
 
 def _work_dir(spark: SparkSession, checkpoint: str) -> str:
-    """One folder per stream that stays the same over restarts."""
+    """One folder per stream that stays the same over restarts, with a table for the batch
+    in hand."""
     name = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
     return f"{shared_dir(spark)}/presswork-batch-{name}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -13,7 +14,8 @@ from presswork.operators.scorers import ScorerFactory
 from presswork.operators.stats import batch_stats, stat_columns
 from presswork.plans.enrich import enrich
 from presswork.sinks import Sink
-from presswork.storage import as_table, new_folder
+from presswork.storage import as_table, exists, new_folder, remove
+from presswork.streaming.ledger import KEPT_BATCHES, Ledger, sink_keys
 
 logger = logging.getLogger(__name__)
 
@@ -26,6 +28,14 @@ class SinkFailure(RuntimeError):
     """One or more sinks failed on a batch that all of them were offered."""
 
 
+class Receiver(NamedTuple):
+    """A sink, what messages call it, and what the ledger does."""
+
+    sink: Sink
+    name: str
+    key: str
+
+
 def batch_writer(
     sinks: Sequence[Sink],
     sentiment: ScorerFactory,
@@ -38,6 +48,7 @@ def batch_writer(
     on_error: str = "fail",
     reuse: str = "table",
     work_dir: str | None = None,
+    ledger: Ledger | None = None,
     **enriching,
 ) -> Callable[[DataFrame, int], None]:
     """The function to give to ``foreachBatch`` over parsed articles.
@@ -52,9 +63,9 @@ def batch_writer(
     ``reuse`` says how the scored rows are kept for the counts and the sinks, which
     must all see the same answers:
 
-    * ``"table"`` writes them once, to a table in ``work_dir`` (by default in the
-      cluster's shared folder) that the next batch overwrites. Nothing is scored again
-      if an executor is lost.
+    * ``"table"`` writes them once, to a table under ``work_dir`` (by default in the
+      cluster's shared folder), counting on the way, and removes it when the batch is done.
+      Nothing is scored again if an executor is lost.
     * ``"sink"`` does the same without the extra copy: the first sink, a ``ParquetSink``
       with ``per_batch``, is written first and read by the others. If it fails, the others
       get a table after all, for which the batch is scored again.
@@ -63,6 +74,10 @@ def batch_writer(
       those for Parquet and Kafka. The counts, which are logged only, are taken while it
       writes; where the sink shuffles (dates that vary), a repeated stage counts twice.
 
+    With a ``ledger`` a replay offers a batch only to the sinks that have not taken it yet, and
+    where the table or the first sink's batch is there from before, these get the same
+    answers from it. Without one a replay offers it to all sinks again.
+
     ``enriching`` goes to ``enrich``.
     """
     _check("on_not_ready", on_not_ready, ("fail", "skip", "wait"))
@@ -73,47 +88,89 @@ def batch_writer(
     if reuse == "none" and [getattr(s, "single_pass", False) for s in sinks] != [True]:
         raise ValueError("reuse='none' needs exactly one sink, and one with single_pass")
 
-    def table_folder(spark: SparkSession) -> str:
+    receivers = [
+        Receiver(sink, f"sink {position} ({type(sink).__name__})", key)
+        for position, (sink, key) in enumerate(zip(sinks, sink_keys(sinks), strict=True))
+    ]
+
+    def table_folder(spark: SparkSession, batch_id: int) -> str:
         nonlocal work_dir
         if work_dir is None:
             work_dir = new_folder(spark, "batch")
-        return work_dir
+        return f"{work_dir.rstrip('/')}/{batch_id}"
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if filter_parsed(batch).isEmpty():
             _report(batch_id, 0, 0, 0)
             return
+        log = _BatchLog(ledger, batch, batch_id)
+        waiting = [r for r in receivers if r.key not in log.entered]
+        if receivers and not waiting:
+            logger.info("batch %s: every sink has it already", batch_id)
+            return
         enriched = enrich(batch, sentiment, category, **enriching)
         if reuse == "persist":
             rows = enriched.persist()
             try:
-                deliver(rows, batch_id, sinks)
+                deliver(rows, batch_id, waiting, log)
             finally:
                 rows.unpersist()
         elif reuse == "none":
             counts = Observation()
             sinks[0].write(enriched.observe(counts, *stat_columns()), batch_id)
+            log.enter(receivers[0].key)
             _report(batch_id, **counts.get)
         elif reuse == "sink":
-            failed = _write_all(sinks[:1], enriched, batch_id)
+            first, *others = receivers
+            failed = _write_all([first], enriched, batch_id, log) if first in waiting else {}
+            others = [r for r in others if r in waiting]
             if failed:
-                rows = as_table(enriched, table_folder(batch.sparkSession))
+                by_table(enriched, batch_id, others, log, failed)
             else:
-                rows = sinks[0].written(enriched, batch_id)
-            deliver(rows, batch_id, sinks[1:], failed)
+                deliver(sinks[0].written(enriched, batch_id), batch_id, others, log)
         else:
-            rows = as_table(enriched, table_folder(batch.sparkSession))
-            deliver(rows, batch_id, sinks)
+            by_table(enriched, batch_id, waiting, log)
+
+    def by_table(
+        enriched: DataFrame,
+        batch_id: int,
+        waiting: Sequence[Receiver],
+        log: _BatchLog,
+        failed: dict[str, Exception] | None = None,
+    ) -> None:
+        spark = enriched.sparkSession
+        folder = table_folder(spark, batch_id)
+        kept = False
+        try:
+            if _SCORED in log.entered and exists(spark, f"{folder}/_SUCCESS"):
+                rows = spark.read.schema(enriched.schema).parquet(folder)
+                counted = None
+            else:
+                # The answers are made in the stage that writes, which no stage repeats once
+                # a task of it is done: so they are counted there.
+                counts = Observation()
+                rows = as_table(enriched.observe(counts, *stat_columns()), folder)
+                log.enter(_SCORED)
+                counted = counts.get
+            try:
+                deliver(rows, batch_id, waiting, log, failed, counted)
+            except Exception:
+                kept = ledger is not None
+                raise
+        finally:
+            if not kept:
+                remove(spark, folder)
 
     def deliver(
         rows: DataFrame,
         batch_id: int,
-        receivers: Sequence[Sink],
+        waiting: Sequence[Receiver],
+        log: _BatchLog,
         failed: dict[str, Exception] | None = None,
+        counted: dict[str, int] | None = None,
     ) -> None:
-        _report(batch_id, **batch_stats(rows).first().asDict())
-        first = len(sinks) - len(receivers)
-        failures = {**(failed or {}), **_write_all(receivers, rows, batch_id, first)}
+        _report(batch_id, **(counted or batch_stats(rows).first().asDict()))
+        failures = {**(failed or {}), **_write_all(waiting, rows, batch_id, log)}
         if failures and on_error == "fail":
             names = ", ".join(failures)
             raise SinkFailure(f"batch {batch_id}: {names}") from next(iter(failures.values()))
@@ -164,15 +221,39 @@ def _check(name: str, value: str, allowed: tuple[str, ...]) -> None:
         raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
 
 
+# The ledger's entry for a batch whose scored rows are in their table.
+_SCORED = "scored"
+
+
+class _BatchLog:
+    """The ledger's page of one batch; without a ledger there is nothing on it."""
+
+    def __init__(self, ledger: Ledger | None, batch: DataFrame, batch_id: int) -> None:
+        self._ledger, self._batch_id = ledger, batch_id
+        self.entered: set[str] = set()
+        if ledger is not None:
+            context = batch.sparkSession.sparkContext
+            self._stream = context.getLocalProperty("sql.streaming.queryId")
+            if not self._stream:
+                raise ValueError("a ledger is for batches of a stream")
+            self.entered = ledger.entered(self._stream, batch_id)
+            ledger.forget(self._stream, batch_id - KEPT_BATCHES)
+
+    def enter(self, key: str) -> None:
+        if self._ledger is not None:
+            self._ledger.enter(self._stream, self._batch_id, key)
+
+
 def _write_all(
-    sinks: Sequence[Sink], rows: DataFrame, batch_id: int, first: int = 0
+    receivers: Sequence[Receiver], rows: DataFrame, batch_id: int, log: _BatchLog
 ) -> dict[str, Exception]:
     failures: dict[str, Exception] = {}
-    for position, sink in enumerate(sinks, first):
-        name = f"sink {position} ({type(sink).__name__})"
+    for sink, name, key in receivers:
         try:
             sink.write(rows, batch_id)
         except Exception as failure:
             logger.exception("batch %s: %s failed", batch_id, name)
             failures[name] = failure
+        else:
+            log.enter(key)
     return failures
