@@ -97,3 +97,37 @@ class LengthTopic(LengthScorer):
 
 def fixed_clock() -> str:
     return "2031-05-17T08:30:00Z"
+
+
+class RequestLog:
+    """Answers each text with the number of its request in the partition, and with the
+    texts and bytes that came along. Made anew for each partition, as its own factory."""
+
+    positional = True
+
+    def __init__(self) -> None:
+        self.requests = 0
+
+    def __call__(self, items):
+        self.requests += 1
+        size = sum(len(item["text"].encode()) for item in items)
+        label = f"request {self.requests}: {len(items)} texts"
+        return [{"sentiment_label": label, "sentiment_score": size}] * len(items)
+
+
+class CountingClock:
+    """Tells how often it was asked. Each task has a copy of its own, which starts at 0."""
+
+    def __init__(self) -> None:
+        self.asked = 0
+
+    def __call__(self) -> str:
+        self.asked += 1
+        return str(self.asked)
+
+
+class Unavailable:
+    """A factory that makes no scorer."""
+
+    def __call__(self):
+        raise ConnectionError("no scorer to be had")

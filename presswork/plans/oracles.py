@@ -88,13 +88,13 @@ def _match(prefix: str) -> str:
             when r.url_hash is null then '{missing}' end as {prefix}_error"""
 
 
-def _batches(which: str) -> str:
-    """Documents with even ``doc_id`` are batch 0, the others batch 1."""
+def _told(batches: int) -> str:
+    """Documents whose ``doc_id`` leaves the same remainder are a batch."""
     return f"""{_COMMON}, firsts as (
-  select *, length(text_for_inference) as n, (doc_id % 2)::int as batch_id,
+  select *, length(text_for_inference) as n, (doc_id % {batches})::int as batch_id,
          regexp_full_match(text_for_inference, '\\s*') as blank
   from scorable
-  qualify row_number() over (partition by doc_id % 2, url_hash, fingerprint
+  qualify row_number() over (partition by doc_id % {batches}, url_hash, fingerprint
                              order by published_at, doc_id) = 1
 ), told as (
   select *,
@@ -106,15 +106,53 @@ def _batches(which: str) -> str:
          case when blank then 'empty_text_for_inference'
               when n % 13 = 0 then 'missing classification result' end as c_error
   from firsts
-)
-select batch_id, {_BASE.removeprefix("doc_id, ")},
+)"""
+
+
+_TIMELESS = f"""{_BASE.removeprefix("doc_id, ")},
        case when s_error is null then s_label end as sentiment_label,
        case when s_error is null then s_score end as sentiment_score,
        s_error as sentiment_error,
        case when c_error is null then c_label end as category_label,
        case when c_error is null then c_score end as category_score,
-       c_error as category_error
-from told where {which}"""
+       c_error as category_error"""
+
+
+def _batches(which: str, batches: int = 2) -> str:
+    return f"{_told(batches)} select batch_id, {_TIMELESS} from told where {which}"
+
+
+# Partitions by doc_id % 8; a request takes up to 10 rows and 16384 bytes of texts, blank
+# rows counting as rows, and a larger text goes alone.
+_REQUESTS = f"""{_COMMON.replace("with placed", "with recursive placed")}, dealt as (
+  select doc_id, blank, doc_id % 8 as part,
+         row_number() over (partition by doc_id % 8 order by doc_id) as i,
+         case when blank then 0 else octet_length(encode(text_for_inference)) end as size
+  from survivors
+), packed as (
+  select *, 1 as chunk, 1 as rows, size as bytes from dealt where i = 1
+  union all
+  select doc_id, blank, part, i, size, chunk + full_::int,
+         case when full_ then 1 else rows + 1 end, case when full_ then size else bytes + size end
+  from (
+    select d.*, p.chunk, p.rows, p.bytes,
+           p.rows = 10 or (p.bytes > 0 and d.size > 0 and p.bytes + d.size > 16384) as full_
+    from packed p join dealt d on d.part = p.part and d.i = p.i + 1
+  )
+), chunks as (
+  select part, chunk, count(*) filter (where not blank) as texts, sum(size) as bytes,
+         count(*) filter (where blank) as blanks
+  from packed group by all
+), numbered as (
+  select *, sum((texts > 0)::int) over upto as request,
+         sum(blanks + (texts > 0)::int) over upto - blanks - (texts > 0)::int as asked
+  from chunks
+  window upto as (partition by part order by chunk)
+), requests as (
+  select p.doc_id, p.blank, n.*,
+         row_number() over (partition by p.part, p.chunk, p.blank order by p.i) as turn
+  from packed p join numbered n on n.part = p.part and n.chunk = p.chunk
+)"""
 
 
 ORACLES = {
@@ -199,4 +237,26 @@ from scorable""",
     "stream_batches": _batches("true"),
     "stream_sink_failure": _batches("true"),
     "stream_skipped_batch": _batches("batch_id = 1"),
+    "stream_bounded": _batches("true", 4),
+    "stream_delivered_once": f"""{_told(2)}
+select sink, {_TIMELESS} from told, (values (0), (1)) sinks(sink)""",
+    "stream_empty_batch": f"""{_told(3)}
+select batch_id, count(*) as rows, count(s_error) as sentiment_errors
+from told where batch_id <> 1 group by batch_id
+union all select 1, 0, 0""",
+    "stream_replayed_batch": f"{_told(2)} select {_TIMELESS} from told",
+    "score_requests": f"""{_REQUESTS}
+select doc_id,
+       case when not blank then 'request ' || request || ': ' || texts || ' texts' end
+         as sentiment_label,
+       case when not blank then bytes end::double as sentiment_score,
+       (asked + case when blank then (texts > 0)::int + turn else 1 end)::varchar
+         as sentiment_inferred_at,
+       case when blank then 'empty_text_for_inference' end as sentiment_error
+from requests""",
+    "score_tally": f"""{_REQUESTS}
+select count(distinct part) as scorers,
+       count(distinct (part, chunk)) filter (where texts > 0) as requests,
+       count(*) filter (where not blank) as answers
+from requests""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from presswork.functions.wire import parse_articles, parse_fields
 from presswork.operators import (
     CATEGORY,
     SENTIMENT,
+    ScorerFactory,
+    Tally,
     batch_stats,
     count_joined,
     dedup_articles,
@@ -30,6 +33,7 @@ from presswork.plans import demo
 from presswork.plans.enrich import enrich
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, CONSOLE_FIELDS, IDENTITY
 from presswork.sinks import ParquetSink, Sink, kafka_payload, utc_date
+from presswork.sources import read_wire_files
 from presswork.storage import as_table, new_folder, remove
 from presswork.streaming import batch_writer, start
 
@@ -47,6 +51,13 @@ _TOPIC_GAP = 13
 _REFUSED = 7
 # So small that the address many articles share is split on few documents too.
 _KEY_ROWS = 16
+# Partitions of the queries on requests, and the two budgets of a request.
+_PARTS = 8
+_REQUEST_ROWS = 10
+_REQUEST_BYTES = 16_384
+# Micro-batches of the bounded stream, and the files of each.
+_BOUNDED = 4
+_BATCH_FILES = 2
 
 
 def _readable(*names: str) -> list[str | Column]:
@@ -353,6 +364,179 @@ def stream_skipped_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_in_two(spark, sf_dir, ready=gate, on_not_ready="skip", reuse="sink")
 
 
+def _in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base in partitions, and an order in them, that the rows state themselves."""
+    base = _base(spark, sf_dir).select("doc_id", "url_hash", "text_for_inference")
+    part = F.pmod("doc_id", F.lit(_PARTS)).cast("int")
+    return base.repartitionById(_PARTS, part).sortWithinPartitions("doc_id")
+
+
+def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests bounded by rows and bytes, with one stamp each."""
+    scored = score(
+        _in_parts(spark, sf_dir),
+        SENTIMENT,
+        demo.RequestLog,
+        chunk_size=_REQUEST_ROWS,
+        chunk_bytes=_REQUEST_BYTES,
+        clock=demo.CountingClock(),
+    )
+    return scored.select("doc_id", *_ANSWERS[:4])
+
+
+def score_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scorers made and requests sent by a run, and the rows it answered."""
+    tally = Tally(spark)
+    answered = score(
+        _in_parts(spark, sf_dir),
+        SENTIMENT,
+        demo.RequestLog,
+        chunk_size=_REQUEST_ROWS,
+        chunk_bytes=_REQUEST_BYTES,
+        tally=tally,
+    )
+    rows = as_table(answered.select("doc_id", "sentiment_label"))
+    return rows.agg(
+        F.lit(tally.scorers.value).cast("bigint").alias("scorers"),
+        F.lit(tally.requests.value).cast("bigint").alias("requests"),
+        F.count("sentiment_label").alias("answers"),
+    )
+
+
+class _Stream:
+    """Wire records of the documents in a folder, and starts of one stream on them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, parts: int) -> None:
+        self.spark, self.parts, self.folder = spark, parts, new_folder(spark, "stream")
+        self.records = demo.document_wire(demo.read_documents(spark, sf_dir))
+        self.options = {
+            "checkpoint_location": f"{self.folder}/checkpoint",
+            "show_console": False,
+            "survivor_order": ("published_at", "source", "author", "title", "summary"),
+        }
+
+    def add(self, rest: int, value: Column | None = None, files: int | None = None) -> None:
+        """The documents with this remainder arrive, with another ``value`` if one is given."""
+        part = self.records.filter(F.col("doc_id") % self.parts == rest)
+        part = part.select("value" if value is None else value.alias("value"))
+        part = part.repartition(files) if files else part
+        part.write.mode("append").parquet(f"{self.folder}/wire")
+
+    def run(
+        self,
+        sinks: Sequence[Sink],
+        sentiment: ScorerFactory | None = None,
+        max_files: int | None = None,
+        **options,
+    ) -> bool:
+        """Until all that is there is done, or something fails. Says whether nothing did."""
+        reader = self.spark.readStream.format("parquet").schema("value binary")
+        query = start(
+            self.spark,
+            StreamOptions(**self.options, **options),
+            sentiment=sentiment or demo.LengthSentiment(_GAP),
+            category=demo.LengthTopic(_TOPIC_GAP),
+            sinks=sinks,
+            wire=read_wire_files(reader, f"{self.folder}/wire", max_files),
+            ready=lambda: True,
+            trigger={"availableNow": True},
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            return False
+        return True
+
+    def done(self) -> None:
+        """Only what was delivered stays."""
+        for used in ("wire", "checkpoint"):
+            remove(self.spark, f"{self.folder}/{used}")
+
+
+def _shown(written: DataFrame, *more: str | Column) -> DataFrame:
+    timeless = [name for name in _ANSWERS if not name.endswith("_at")]
+    return written.select(*more, *_readable(*BASE_FIELDS), *timeless)
+
+
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records are there from the start; admission deals them into micro-batches of
+    so many files, the oldest first."""
+    stream = _Stream(spark, sf_dir, _BOUNDED)
+    for rest in range(_BOUNDED):
+        stream.add(rest, files=_BATCH_FILES)
+    sink = ParquetSink(f"{stream.folder}/enriched", per_batch=True)
+    stream.run([sink], max_files=_BATCH_FILES)
+    stream.done()
+    return _shown(spark.read.parquet(sink.output_dir), "batch_id")
+
+
+class _Late:
+    """Its first write of each batch fails; then it hands the rows on."""
+
+    name = "late"
+
+    def __init__(self, sink: Sink) -> None:
+        self._sink, self._asked = sink, set()
+
+    def write(self, enriched: DataFrame, batch_id: int) -> None:
+        if batch_id not in self._asked:
+            self._asked.add(batch_id)
+            raise OSError("not yet")
+        self._sink.write(enriched, batch_id)
+
+
+def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks that append. The second fails once in each batch, and the stream is started
+    again: the first has each row once all the same."""
+    stream = _Stream(spark, sf_dir, 2)
+    steady, other = (ParquetSink(f"{stream.folder}/sink{n}") for n in range(2))
+    sinks = [steady, _Late(other)]
+    for rest in range(2):
+        stream.add(rest)
+        while not stream.run(sinks):
+            pass
+    stream.done()
+    taken = [
+        _shown(spark.read.parquet(sink.output_dir), F.lit(n).alias("sink"))
+        for n, sink in enumerate((steady, other))
+    ]
+    return taken[0].union(taken[1])
+
+
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the second of three batches cannot be parsed. It is committed, and no
+    sink has it."""
+    stream = _Stream(spark, sf_dir, 3)
+    sink = ParquetSink(f"{stream.folder}/enriched", per_batch=True)
+    for rest in range(3):
+        stream.add(rest, F.lit(b"no record") if rest == 1 else None)
+        stream.run([sink])
+    commits = spark.read.text(f"{stream.folder}/checkpoint/commits")
+    batch = F.regexp_extract(F.input_file_name(), r"(\d+)$", 1).cast("int").alias("batch_id")
+    committed = as_table(commits.select(batch).distinct())
+    stream.done()
+    written = spark.read.parquet(sink.output_dir).groupBy("batch_id").agg(
+        F.count("*").alias("rows"), F.count("sentiment_error").alias("sentiment_errors")
+    )
+    return committed.join(written, "batch_id", "left").select(
+        "batch_id", *(F.coalesce(n, F.lit(0)).alias(n) for n in ("rows", "sentiment_errors"))
+    )
+
+
+def stream_replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch fails while it is scored; the next start replays it."""
+    stream = _Stream(spark, sf_dir, 2)
+    sink = ParquetSink(f"{stream.folder}/enriched")
+    stream.add(0)
+    stream.run([sink])
+    stream.add(1)
+    if stream.run([sink], demo.Unavailable()):
+        raise RuntimeError("scored without a scorer")
+    stream.run([sink])
+    stream.done()
+    return _shown(spark.read.parquet(sink.output_dir))
+
+
 QUERIES = {
     "parse_wire_json": parse_wire_json,
     "normalize_text": normalize_body,
@@ -380,4 +564,10 @@ QUERIES = {
     "stream_batches": stream_batches,
     "stream_sink_failure": stream_sink_failure,
     "stream_skipped_batch": stream_skipped_batch,
+    "stream_bounded": stream_bounded,
+    "stream_delivered_once": stream_delivered_once,
+    "stream_empty_batch": stream_empty_batch,
+    "stream_replayed_batch": stream_replayed_batch,
+    "score_requests": score_requests,
+    "score_tally": score_tally,
 }
