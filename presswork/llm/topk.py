@@ -7,7 +7,9 @@ bound the score of all rows not met; once the k-th best score is above that boun
 row of the block can enter. The blocks' results are then ranked together.
 
 Queries are a stated share of the rows and come in blocks too. A cell is a block of rows
-with a block of queries; its size does not grow with the table.
+with a block of queries; its size does not grow with the table. The queries of a cell walk
+in step, twice as deep each time, so that a step is a few products of matrices; one that has
+stopped takes no further part.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.llm.tables import read_table
-from presswork.storage import as_table
+from presswork.storage import as_table, scratch
 
 K = 10
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
-# Rows read from every list between two looks at the bound.
+# Rows read from every list before the first look at the bound.
 STEP = 16
+# Whole numbers up to this are exact as doubles, which multiply faster.
+_EXACT = 1 << 53
 
 
 class SortedLists:
@@ -37,29 +41,50 @@ class SortedLists:
         self.ids, self.rows = ids, rows
         self.up = np.argsort(rows, axis=0, kind="stable")
         self.values = np.take_along_axis(rows, self.up, 0)
+        self.place = np.argsort(self.up, axis=0, kind="stable")
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and scores of the k best rows but the query's own, best first, ties to
-        the smaller id."""
-        n = len(self.ids)
-        down = query > 0
-        met = self.ids == query_id
-        ids, scores = np.empty(0, "i8"), np.empty(0, "i8")
-        for depth in range(0, n, STEP):
-            last = min(depth + STEP, n)
-            read = np.where(down, self.up[n - last : n - depth], self.up[depth:last])
-            new = np.unique(read)
-            new = new[~met[new]]
+        """The ids and scores of the k best rows with another id than the query's, best
+        first, ties to the smaller id."""
+        return self.search_all(np.array([query_id]), query[None, :], k)[0]
+
+    def search_all(
+        self, query_ids: np.ndarray, queries: np.ndarray, k: int
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for several queries."""
+        n, favours_high = len(self.ids), queries > 0
+        found = [(np.empty(0, "i8"), np.empty(0, "i8"))] * len(queries)
+        active, met = np.arange(len(queries)), np.zeros(n, bool)
+        largest = max(1, int(np.abs(self.values).max(initial=0)))
+        top = largest * max(1, int(np.abs(queries).max(initial=0))) * max(1, queries.shape[1])
+        kind = "f8" if top < _EXACT else "i8"
+        depth = STEP
+        while len(active) and n:
+            last, high = min(depth, n), favours_high[active]
+            up, down = high.any(0), (~high).any(0)
+            read = (self.place[:, up] >= n - last).any(1) | (self.place[:, down] < last).any(1)
+            new = np.flatnonzero(read & ~met)
             met[new] = True
-            ids = np.concatenate([ids, self.ids[new]])
-            scores = np.concatenate([scores, self.rows[new] @ query])
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-            bound = np.where(down, self.values[n - last], self.values[last - 1]) @ query
-            # At equal scores a row not met could still have the smaller id.
-            if len(ids) == k and scores[-1] > bound:
-                break
-        return ids, scores
+            asked = queries[active]
+            scores = (asked.astype(kind) @ self.rows[new].astype(kind).T).astype("i8")
+            bounds = np.where(high, self.values[n - last], self.values[last - 1])
+            bounds = (bounds * asked).sum(1)
+            going = []
+            for i, q in enumerate(active.tolist()):
+                others = self.ids[new] != query_ids[q]
+                ids = np.concatenate([found[q][0], self.ids[new][others]])
+                values = np.concatenate([found[q][1], scores[i][others]])
+                if len(values) > k:
+                    enough = np.flatnonzero(values >= np.partition(values, -k)[-k])
+                    ids, values = ids[enough], values[enough]
+                best = np.lexsort((ids, -values))[:k]
+                found[q] = ids[best], values[best]
+                # At equal scores a row not met could still have the smaller id.
+                if last < n and not (len(best) == k and values[best[-1]] > bounds[i]):
+                    going.append(q)
+            active = np.array(going, "i8")
+            depth *= 2
+        return found
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -76,11 +101,12 @@ def _cell(k: int) -> Callable:
         if len(points) and len(queries):
             both = _matrix(pd.concat([points["_vector"], queries["_vector"]]))
             lists = SortedLists(points["_id"].to_numpy(), both[: len(points)])
-            for query_id, query in zip(queries["_id"], both[len(points) :], strict=True):
-                ids, scores = lists.search(query_id, query, k)
-                found.append(
-                    pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores})
-                )
+            query_ids = queries["_id"].to_numpy()
+            best = lists.search_all(query_ids, both[len(points) :], k)
+            found = [
+                pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": scores})
+                for query_id, (ids, scores) in zip(query_ids.tolist(), best, strict=True)
+            ]
         if not found:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="i8")
         return pd.concat(found)
@@ -100,23 +126,36 @@ def top_k(
 
     Each query gets its ``k`` highest scores among all rows with another ``vec_id``, ties to
     the smaller one; all of them if there are fewer. Rows without ``vec_id`` or vector take
-    no part. ``vec_id`` is a key: of rows that share one, the least vector counts. Of
-    vectors with different lengths the shorter ones are filled up with zeros. An empty table,
-    or one without queries, gives no rows. Other columns are ignored.
+    no part. Rows may repeat and share ``vec_id``; each is a candidate, and queries that share
+    one are ranked together, as one. Of vectors with different lengths the shorter ones are
+    filled up with zeros. An empty table, or one without queries, gives no rows. Other
+    columns are ignored.
     """
+    with scratch(vectors.sparkSession) as table:
+        return as_table(_ranked(vectors, is_query, k, block_rows, query_rows, table))
+
+
+def _ranked(
+    vectors: DataFrame, is_query: Column, k: int, block_rows: int, query_rows: int, table: Callable
+) -> DataFrame:
     rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
-    rows = rows.withColumn("_asks", is_query).groupBy(F.col("vec_id").alias("_id")).agg(
-        F.min("vector").alias("_vector"), F.max("_asks").alias("_asks")
+    # A row's number, kept as it is written, deals it out whatever the ids are.
+    rows = table(
+        rows.select(
+            F.col("vec_id").cast("long").alias("_id"),
+            F.col("vector").alias("_vector"),
+            F.coalesce(is_query, F.lit(False)).alias("_asks"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     )
-    rows = as_table(rows)
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("_asks").alias("q")).first()
     blocks = max(1, math.ceil(sizes["n"] / block_rows))
     query_blocks = max(1, math.ceil(sizes["q"] / query_rows))
-    deal = lambda n: F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("_row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     points = rows.select("_id", "_vector", deal(blocks).alias("_b"), every(query_blocks).alias("_q"))
     # Another hash than the points', or few of the query blocks would be filled.
-    mixed = F.pmod(F.xxhash64("_id", F.lit("query")), F.lit(query_blocks)).cast("int")
+    mixed = F.pmod(F.xxhash64("_row", F.lit("query")), F.lit(query_blocks)).cast("int")
     queries = rows.filter("_asks").select("_id", "_vector", mixed.alias("_q"), every(blocks).alias("_b"))
     found = points.groupBy("_b", "_q").cogroup(queries.groupBy("_b", "_q")).applyInPandas(
         _cell(k), "query_id long, vec_id long, score long"

@@ -13,13 +13,14 @@ from presswork.storage import new_folder
 
 
 def best(vectors, k=3):
+    """``vectors``: pairs of an id, which may repeat, and a vector."""
     out = []
-    for query, q in vectors.items():
-        if query % 10:
-            continue
+    for query in sorted({i for i, _ in vectors if i % 10 == 0}):
         scores = sorted(
             (-sum(a * b for a, b in zip(q, v, strict=False)), other)
-            for other, v in vectors.items()
+            for i, q in vectors
+            if i == query
+            for other, v in vectors
             if other != query
         )
         out += [(query, i + 1, other, -s) for i, (s, other) in enumerate(scores[:k])]
@@ -31,10 +32,27 @@ def test_top_k(spark, block):
     rng = np.random.default_rng(0)
     vectors = {i: [int(x) for x in rng.integers(-3, 4, 4)] for i in range(60)}
     vectors |= {i: [1, 1, 1, 1] for i in range(60, 90)} | {100: [0, 0, 0, 0], 110: [5], 121: []}
-    rows = [(i, v, 1) for i, v in vectors.items()] + [(7, vectors[7], 2), (None, [1, 2], 1), (200, None, 1)]
+    # Ids that repeat: a row again, another vector with the highest score of all, two queries.
+    pairs = [*vectors.items(), (7, vectors[7]), (8, [9, 9, 9, 9]), (20, [0, -3, 1, 2])]
+    rows = [(i, v, 1) for i, v in pairs] + [(None, [1, 2], 1), (200, None, 1)]
     table = spark.createDataFrame(rows, "vec_id long, vector array<long>, rank int")
     got = topk.top_k(table, F.col("vec_id") % 10 == 0, 3, block, block)
-    assert sorted(map(tuple, got.collect())) == best(vectors)
+    assert sorted(map(tuple, got.collect())) == best(pairs)
+
+
+def test_top_k_with_one_id_on_a_third_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    pairs = [(i if i % 3 else 10, [int(x) for x in rng.integers(-9, 10, 6)]) for i in range(300)]
+    table = spark.createDataFrame(pairs, "vec_id long, vector array<long>")
+    got = topk.top_k(table, F.col("vec_id") % 10 == 0, 3, 16, 8)
+    assert sorted(map(tuple, got.collect())) == best(pairs)
+
+
+def test_top_k_of_numbers_too_large_for_doubles(spark):
+    pairs = [(0, [1 << 30, 1]), (1, [1 << 30, 3]), (2, [1 << 30, 2]), (3, [1, 0])]
+    table = spark.createDataFrame(pairs, "vec_id long, vector array<long>")
+    got = topk.top_k(table, F.col("vec_id") == 0, 2).collect()
+    assert [tuple(r)[2:] for r in sorted(got)] == [(1, (1 << 60) + 3), (2, (1 << 60) + 2)]
 
 
 def test_top_k_stops_early():
