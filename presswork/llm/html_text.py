@@ -16,7 +16,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -56,11 +56,8 @@ _TAGS = (
 _TAG_PLACE = {tag: i for i, tag in enumerate(_TAGS)}
 _WORD_BITS = 128
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
-    re.S,
-)
+_NAME = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+_BORDER = re.compile("[>\"']")
 _NAMES = re.compile(
     r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I
 )
@@ -98,76 +95,142 @@ class Page:
         return len(self.tags) - 1
 
 
+def tags_of(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``start, end, tag, closing, attributes`` of each tag, comment and declaration (the last
+    two without a tag), in one pass over the page. What a script or the like holds is part of its
+    tag.
+
+    A tag ends at the first ``>`` outside quotes, or, if there is none, at the first one. A
+    ``<`` that begins none of these is text. Quotes from which no ``>`` can be reached are
+    remembered, so that no part of a page is searched again and again."""
+    last = {quote: source.rfind(quote) for quote in "\"'"}
+    last_end = source.rfind(">")
+    hopeless: set[int] = set()
+
+    def end_of(at: int) -> int:
+        passed = []
+        while border := _BORDER.search(source, at):
+            at = border.start()
+            if source[at] == ">":
+                return at
+            if at in hopeless or last[source[at]] <= at:
+                break
+            passed.append(at)
+            at = source.find(source[at], at + 1) + 1
+        hopeless.update(passed)
+        return -1
+
+    at = source.find("<")
+    while at >= 0:
+        end = 0
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = len(source) if end < 0 else end + 3
+            yield at, end, "", False, ""
+        elif at < last_end:
+            name = _NAME.match(source, at + 1)
+            if name:
+                end = end_of(name.end())
+                if end < 0:
+                    end = source.find(">", name.end())
+                tag, attributes = name[2].lower(), source[name.end() : end]
+                end += 1
+                if tag in _RAW and not name[1] and not attributes.endswith("/"):
+                    close = re.compile("</" + tag, re.I).search(source, end)
+                    end = close.start() if close else len(source)
+                yield at, end, tag, bool(name[1]), attributes
+            elif source[at + 1] in "!?/":
+                end = source.find(">", at + 1) + 1
+                yield at, end, "", False, ""
+        at = source.find("<", max(end, at + 1))
+
+
+class _Open:
+    """The nodes that are open, and how deep each tag's are."""
+
+    def __init__(self, root: int):
+        self._nodes, self._tags = [root], [""]
+        self._depths: dict[str, list[int]] = {}
+
+    def __len__(self) -> int:
+        return len(self._nodes)
+
+    @property
+    def top(self) -> int:
+        return self._nodes[-1]
+
+    def push(self, node: int, tag: str) -> None:
+        self._depths.setdefault(tag, []).append(len(self._nodes))
+        self._nodes.append(node)
+        self._tags.append(tag)
+
+    def deepest(self, tags: Iterable[str]) -> int:
+        """The depth of the last one of these tags, 0 if none is open."""
+        return max((self._depths[tag][-1] for tag in tags if self._depths.get(tag)), default=0)
+
+    def close_from(self, depth: int) -> None:
+        while len(self._nodes) > depth:
+            self._nodes.pop()
+            self._depths[self._tags.pop()].pop()
+
+
 def parse(source: str) -> Page:
     """Forgiving: end tags may be missing, stray ones are passed over. Comments, scripts,
-    styles and the like are left out. Break and image are white space."""
-    page, stack, held, linked = Page(), [0], [], 0
-    lower, at = source.lower(), 0
+    styles and the like are left out. Break and image are white space. The time it takes
+    follows the length of the page, whatever is on it."""
+    page, stack, held, linked = Page(), _Open(0), [], 0
+    at = 0
 
     def flush() -> None:
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            page.texts.append((stack[-1], text))
+            page.texts.append((stack.top, text))
 
     def take(text: str) -> None:
         if text:
             text = html.unescape(text)
             held.append(text)
             if linked > 0:
-                page.links[stack[-1]] += len(text)
-
-    while True:
-        found = _TOKEN.search(source, at)
-        take(source[at : found.start()] if found else source[at:])
-        if not found:
-            break
-        at = found.end()
-        tag = (found[2] or found[5] or "").lower()
-        closing, attributes = found[1] or found[4], found[3] or found[6] or ""
+                page.links[stack.top] += len(text)
+
+    for start, end, tag, closing, attributes in tags_of(source):
+        take(source[at:start])
+        at = end
         if not tag:
             continue
         if tag in _RAW:
             if not closing:
-                page.inputs[stack[-1]] += tag in ("textarea", "select")
-                if not attributes.endswith("/"):
-                    end = lower.find("</" + tag, at)
-                    at = len(source) if end < 0 else end
+                page.inputs[stack.top] += tag in ("textarea", "select")
             continue
         if tag in _INLINE or tag in _VOID:
             if tag == "a":
                 linked = 0 if closing else 1
-            page.inline[stack[-1]] += not closing
+            page.inline[stack.top] += not closing
             if tag in ("br", "img"):
                 held.append(" ")
             elif tag == "input":
-                page.inputs[stack[-1]] += 1
+                page.inputs[stack.top] += 1
             elif tag == "hr":
                 flush()
             continue
         flush()
         linked = 0
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tags[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
+            if depth := stack.deepest([tag]):
+                stack.close_from(depth)
             continue
         if tag in ("html", "body", "head"):
             continue
-        if page.tags[stack[-1]] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and len(stack) > 1:
-            stack.pop()
+        if page.tags[stack.top] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and len(stack) > 1:
+            stack.close_from(len(stack) - 1)
         ends, fence = _ENDS.get(tag, ((), ()))
-        for depth in range(len(stack) - 1 if ends else 0, 0, -1):
-            open_tag = page.tags[stack[depth]]
-            if open_tag in fence:
-                break
-            if open_tag in ends:
-                del stack[depth:]
-                break
-        node = page.open(tag, stack[-1], attributes)
+        if (depth := stack.deepest(ends)) > stack.deepest(fence):
+            stack.close_from(depth)
+        node = page.open(tag, stack.top, attributes)
         if not attributes.endswith("/"):
-            stack.append(node)
+            stack.push(node, tag)
+    take(source[at:])
     flush()
     return page
 
