@@ -37,10 +37,12 @@ QUERIES = {
 }
 ORACLES = {
     "op1_top_k": topk.SQL,
+    "op2_remove_repeats": suffixes.SQL,
     "op4_decontaminate": decontaminate.SQL,
     "op5_mix_sources": mixing.SQL,
     "op6_scan_secrets": secrets.SQL,
     "op7_shard_documents": sharding.SQL,
+    "op10_jaccard_join": jaccard.SQL,
     "op12_near_vectors": near_vectors.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
 }

@@ -429,3 +429,39 @@ def _shared_places(groups: DataFrame, listed: DataFrame) -> DataFrame:
 
 def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# Bytes as two hexadecimal digits each.
+SQL = """
+with texts as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), strings as (
+  select doc_id, i, substring(h, 2 * i + 1, 100) as s
+  from (select *, unnest(range(0, length(h) // 2 - 49)) as i from texts where length(h) >= 100)
+), firsts as (
+  select s, min(doc_id) as first from strings group by s
+), hits as (
+  select doc_id, i from strings join firsts using (s) where doc_id > first
+), islands as (
+  select *, sum(fresh) over (partition by doc_id order by i) as island
+  from (select *, case when i > lag(i) over (partition by doc_id order by i) + 50 then 1 else 0 end
+          as fresh from hits)
+), runs as (
+  select doc_id, min(i) as low, max(i) + 50 as high from islands group by doc_id, island
+), gaps as (
+  select doc_id, lag(high, 1, 0) over (partition by doc_id order by low) as low, low as high
+  from runs
+  union all
+  select doc_id, max(r.high), max(length(h) // 2) from texts join runs r using (doc_id)
+  group by doc_id
+), kept as (
+  select doc_id, string_agg(substring(h, 2 * low + 1, 2 * (high - low)), '' order by low) as h
+  from gaps join texts using (doc_id) group by doc_id
+), removed as (
+  select doc_id, sum(high - low) as n_removed, count(*) as n_spans from runs group by doc_id
+)
+select t.doc_id, (length(t.h) // 2)::bigint as n_bytes,
+  coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(k.h, t.h))) as kept_sha256
+from texts t left join removed using (doc_id) left join kept k using (doc_id)
+"""
