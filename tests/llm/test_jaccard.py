@@ -108,3 +108,76 @@ def test_census_counts_documents(spark):
         for shingle in shingle_set(text):
             expected[shingle] = expected.get(shingle, 0) + 1
     assert sorted(total.values()) == sorted(expected.values())
+
+
+def _joined(cell, n):
+    top = list(range(n))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i, j in cell:
+        top[find(i)] = find(j)
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("percent,edits", [(85, 3), (80, 9), (95, 1)])
+def test_a_cell_is_divided_by_pivots_and_loses_no_link(percent, edits):
+    """Many groups of near copies, far from each other, and chains."""
+    rng = np.random.default_rng(percent)
+    sets = []
+    for size in [200, 60, 30, *[5] * 20, *[1] * 60]:
+        base = rng.choice(1 << 40, 100, replace=False)
+        for _ in range(size):
+            new = base.copy()
+            new[rng.choice(100, edits, replace=False)] = rng.choice(1 << 40, edits)
+            sets.append(np.unique(new).astype("u8"))
+            if size == 30:
+                base = new
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+    labels, away = np.arange(len(sets)), np.full(len(sets), np.nan)
+    divided = []
+    cell = jaccard._Cell([s.tobytes() for s in sets], labels, away, percent)
+    plain_divide = cell._divide
+    cell._divide = lambda *a: (divided.append(plain_divide(*a)), divided[-1])[1]
+    got = _joined(cell.join(), len(sets))
+    pairs = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if 100 * (c := len(np.intersect1d(sets[i], sets[j])))
+        >= percent * (len(sets[i]) + len(sets[j]) - c)
+    ]
+    expected = _joined(pairs, len(sets))
+    same = lambda tops: {frozenset(np.flatnonzero(np.array(tops) == t)) for t in tops}
+    assert same(got) == same(expected)
+    assert any(divided) and pairs
+
+
+def test_a_large_group_of_near_copies_makes_few_rows(spark, monkeypatch):
+    """Rows follow the group's size, not its square, when cells are many."""
+    monkeypatch.setattr(jaccard, "CELL_DOCS", 8)
+    rng = np.random.default_rng(6)
+    hub = [f"w{i}" for i in range(150)]
+    rows = [(i, changed(rng, hub, int(rng.integers(1, 5)))) for i in range(160)]
+    dealt = []
+    plain_compare = jaccard._compare
+
+    def counted(percent):
+        run, counter = plain_compare(percent), spark.sparkContext.accumulator(0)
+        dealt.append(counter)
+
+        def counting(cell):
+            counter.add(len(cell))
+            return run(cell)
+
+        return counting
+
+    monkeypatch.setattr(jaccard, "_compare", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.jaccard_components(docs, 85)
+    assert sorted(map(tuple, got.collect()), key=str) == plain(rows)
+    assert dealt[0].value < 160 * 8
