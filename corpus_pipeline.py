@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all that its predecessor kept, and is
 written as Parquet and read again for the next one. All stages but the last return the
-columns of ``documents``; further columns of the input are carried along.
+columns of ``documents``; further columns of the input are carried along, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -26,7 +27,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     learns from it, on the documents that are not held out."""
     model = language.fit(docs.filter(~language.held_out("doc_id")))
     found = language.identify(docs, model).filter(~F.col("rejected"))
-    return found.select(*[F.col("_row")[name].alias(name) for name in docs.columns])
+    return _columns(found.withColumnRenamed("_row", "row"), docs)
+
+
+def _as_row(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """All columns in one, ``row``, where no name can clash, and ``columns`` beside it."""
+    return docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"), *columns)
+
+
+def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of ``row``."""
+    return rows.select(*[F.col("row")[name].alias(name) for name in docs.columns])
 
 
 # Near-duplicates of this stage: shingles of so many words, and a similarity of so many
@@ -45,9 +56,9 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     stays = (F.col("component_id") == F.col("doc_id")) | F.col("doc_id").isNull()
     keep = grouped.filter(stays).select("doc_id").distinct()
     kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    same = Window.partitionBy("doc_id", "text").orderBy("source")
-    turn = kept.withColumn("_turn", F.row_number().over(same))
-    return turn.filter("_turn = 1").select(*docs.columns)
+    same = Window.partitionBy("row.doc_id", "row.text").orderBy("row.source")
+    turns = _as_row(kept).select("row", F.row_number().over(same).alias("turn"))
+    return _columns(turns.filter("turn = 1"), docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +69,8 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them, in training order. One that it does
     not take goes."""
-    counted = as_table(docs.withColumn("_words", mixing.count_words("text")))
-    mixed = mixing.mix(counted, size=counted["_words"])
-    return mixing.arrange(mixed).select(*docs.columns)
+    counted = as_table(_as_row(docs, "doc_id", "source", mixing.count_words("text").alias("size")))
+    return _columns(mixing.arrange(mixing.mix(counted, size=counted["size"])), docs)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
