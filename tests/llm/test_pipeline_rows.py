@@ -1,6 +1,7 @@
 """The pipeline's stages and rows against plain Python, and its rows of every kind."""
 
 import os
+import re
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -49,7 +50,8 @@ def plain_clean(rows, items, window=10, coverage=0.8):
             shown.setdefault(size, set()).add(tuple(own[i : i + size]))
     out = []
     for doc_id, text, *rest in rows:
-        places = [m.span() for m in WORD.finditer(text or "")]
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        places = [m.span() for m in WORD.finditer(lower)]
         words, hit = words_of(text), set()
         for size, windows in shown.items():
             for i in range(len(words) - size + 1):
