@@ -4,7 +4,8 @@ A candidate is a long run of characters that keys and tokens are written in. A w
 over it; the counts of its characters, and with them the sum of ``c * log2(c)`` from which
 its entropy follows, change by one character in and one out per step. The limit depends on
 the window's character class: sixteen digits cannot carry as much as sixty-four. Candidates
-on the allow list are passed over.
+on the allow list are passed over, and windows that touch a piece of one, between ``/`` and
+``=``, that has a word of the list.
 
 Only DataFrame functions: higher-order functions over the few matches of a text, nothing is
 shuffled and nothing leaves the JVM.
@@ -13,7 +14,7 @@ shuffled and nothing leaves the JVM.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,21 +37,27 @@ HEX = r"[0-9a-f]{24,}"
 
 WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
-# Bits per character from which a window counts, by the class of its characters.
-HEX_BITS = 3.0
-MIXED_BITS = 3.9
-# Candidates that are known not to be secrets: without a digit or without a letter, with
-# the words of a place holder, or with the alphabet or the digits in order.
-ALLOWED = (
-    r"^[^0-9]*$",
-    r"^[^A-Za-z]*$",
+# Bits per character from which a window counts, by the class of its characters: digits
+# only; hexadecimal; digits and letters of one case; anything else.
+LIMITS = {"digits": 3.0, "hex": 3.0, "case": 3.9, "mixed": 3.9}
+# The same so that of random keys of 32 characters, written in 10, 16, 32 or 64 characters,
+# one in twenty at most has no window that counts.
+CLASS_LIMITS = {"digits": 2.84, "hex": 3.0, "case": 3.68, "mixed": 3.9}
+# Candidates that are known not to be secrets: without a digit or without a letter.
+ALLOWED_RUNS = (r"^[^0-9]*$", r"^[^A-Za-z]*$")
+# Words of a place holder, and the alphabet or the digits in order.
+ALLOWED_WORDS = (
     r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp]laceholder|[Cc]hangeme|[Xx]{6}",
     r"[Aa][Bb][Cc][Dd][Ee][Ff][Gg][Hh]|01234567",
 )
+ALLOWED = (*ALLOWED_RUNS, *ALLOWED_WORDS)
 # Lists grow by copying; in blocks of so many, a long list stays cheap to build.
 _BLOCK = 256
 _FIRST, _LAST = ord("+"), ord("z")
 
+# Characters of a window that are counted by class; the others are not hexadecimal.
+_CLASSES = ("digits", "lower", "upper", "symbols", "others")
+
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -131,7 +138,24 @@ def _one(kind: int, least: int = 0) -> Callable:
     return found
 
 
-def _entropic(allowed: Sequence[str]) -> Callable:
+def _any(text: Column, patterns: Sequence[str]) -> Column:
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | text.rlike(pattern)
+    return found
+
+
+def _barred(part: Column, words: Sequence[str]) -> Column:
+    """For each character of a candidate, whether it is in a piece with one of the words."""
+    pieces = F.transform(
+        F.split(part, "(?<=[/=])"), lambda p: F.array_repeat(_any(p, words), F.length(p))
+    )
+    return F.when(_any(part, words), F.flatten(pieces)).otherwise(
+        F.array_repeat(F.lit(False), F.length(part))
+    )
+
+
+def _entropic(allowed: Sequence[str], limits: Mapping[str, float], words: Sequence[str]) -> Callable:
     """The maximal stretches of a candidate under windows with enough entropy."""
     weights = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     zeros = F.array_repeat(F.lit(0), _LAST - _FIRST + 1)
@@ -146,13 +170,32 @@ def _entropic(allowed: Sequence[str]) -> Callable:
         codes = F.transform(F.split(part, ""), lambda c: F.ascii(c) - _FIRST)
         # Each step's character in and character out; none goes out of the first window.
         none = F.array_repeat(F.lit(-1), WINDOW)
-        steps = F.arrays_zip(codes.alias("enters"), F.concat(none, codes).alias("leaves"))
+        steps = F.arrays_zip(
+            codes.alias("enters"),
+            F.concat(none, codes).alias("leaves"),
+            _barred(part, words).alias("barred"),
+        )
         steps = F.slice(steps, 1, F.length(part))
 
-        def is_hex(code: Column) -> Column:
+        def classes(code: Column) -> dict[str, Column]:
+            """Of a character: is it one of these? None goes out as none of them."""
             c = code + _FIRST
-            hexed = c.between(48, 57) | c.between(97, 102) | c.between(65, 70)
-            return F.when(hexed | (code < 0), 0).otherwise(1)
+            lower, upper, digit = c.between(97, 122), c.between(65, 90), c.between(48, 57)
+            hexed = digit | c.between(97, 102) | c.between(65, 70)
+            return {
+                "digits": digit,
+                "lower": lower,
+                "upper": upper,
+                "symbols": (code >= 0) & ~(lower | upper | digit),
+                "others": (code >= 0) & ~hexed,
+            }
+
+        def counted(state: Column, enters: Column, leaves: Column) -> list[Column]:
+            come, go = classes(enters), classes(leaves)
+            return [
+                (state[name] + come[name].cast("int") - go[name].cast("int")).alias(name)
+                for name in come
+            ]
 
         def weight(count: Column) -> Column:
             return F.element_at(weights, count + 1)
@@ -169,21 +212,27 @@ def _entropic(allowed: Sequence[str]) -> Callable:
             )
             moved = F.struct(
                 (state["total"] + weight(more + 1) - weight(more) - lost).alias("total"),
-                (state["others"] + is_hex(enters) - is_hex(leaves)).alias("others"),
+                *counted(state, enters, leaves),
+                F.when(item["barred"], state["place"] + 1).otherwise(state["bar"]).alias("bar"),
+            )
+            return _bound(moved, lambda now: judged(state, counts, now))
+
+        def judged(state: Column, counts: Column, now: Column) -> Column:
+            one_case = (now["lower"] == 0) | (now["upper"] == 0)
+            limit = (
+                F.when(now["digits"] == WINDOW, _most(limits["digits"]))
+                .when(now["others"] == 0, _most(limits["hex"]))
+                .when((now["symbols"] == 0) & (now["digits"] > 0) & one_case, _most(limits["case"]))
+                .otherwise(_most(limits["mixed"]))
             )
-            return _bound(moved, lambda now: judged(state, counts, now["total"], now["others"]))
-
-        def judged(state: Column, counts: Column, total: Column, others: Column) -> Column:
-            limit = F.when(others == 0, _most(HEX_BITS)).otherwise(_most(MIXED_BITS))
             place = state["place"] + 1
-            hot = (place >= WINDOW) & (total <= limit)
+            hot = (place >= WINDOW) & (now["total"] <= limit) & (place - now["bar"] >= WINDOW)
             begin, close = start + place - WINDOW, start + place
             apart = hot & (begin > state["close"])
             flush = apart & (state["close"] > state["open"])
             return F.struct(
                 counts.alias("counts"),
-                total.alias("total"),
-                others.alias("others"),
+                *[now[name].alias(name) for name in ("total", *_CLASSES, "bar")],
                 place.alias("place"),
                 F.when(apart, begin).otherwise(state["open"]).alias("open"),
                 F.when(hot, close).otherwise(state["close"]).alias("close"),
@@ -195,7 +244,8 @@ def _entropic(allowed: Sequence[str]) -> Callable:
         state = F.struct(
             zeros.alias("counts"),
             F.lit(0.0).alias("total"),
-            F.lit(0).alias("others"),
+            *[F.lit(0).alias(name) for name in _CLASSES],
+            F.lit(-WINDOW).alias("bar"),
             F.lit(0).alias("place"),
             F.lit(-1).alias("open"),
             F.lit(-1).alias("close"),
@@ -210,15 +260,17 @@ def _entropic(allowed: Sequence[str]) -> Callable:
                 ),
             ),
         )
-        passed = F.lit(False)
-        for pattern in allowed:
-            passed = passed | part.rlike(pattern)
-        return F.when(~passed, spans)
+        return F.when(~_any(part, allowed), spans)
 
     return found
 
 
-def scan_secrets(docs: DataFrame, allowed: Sequence[str] = ALLOWED) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame,
+    allowed: Sequence[str] = ALLOWED,
+    limits: Mapping[str, float] = LIMITS,
+    words: Sequence[str] = (),
+) -> DataFrame:
     """All rows and columns of ``docs``, with ``spans``: an array of ``start, kind, end``,
     by start and kind (places in ``KINDS``). Offsets are code points of ``text``, ends
     exclusive. A column ``spans`` is replaced.
@@ -226,15 +278,16 @@ def scan_secrets(docs: DataFrame, allowed: Sequence[str] = ALLOWED) -> DataFrame
     The patterns' matches are leftmost and do not overlap within a kind; an assignment
     counts if its value has 6 characters or more, and its span is the whole match. Entropy
     spans are the union of the windows that reach their limit, and may overlap with the
-    others. ``allowed`` suppresses entropy spans only. Null and empty texts have no spans;
-    rows may repeat.
+    others. ``allowed`` suppresses the entropy spans of a whole candidate, ``words`` those
+    windows that touch a piece with one of them. Null and empty texts have no spans; rows
+    may repeat.
     """
     text = F.coalesce(docs["text"], F.lit(""))
     spans = F.concat(
         _located(text, _MAY_ASSIGN, ASSIGN, 2, _one(0, ASSIGN_LEAST)),
         _located(text, ACCESS, ACCESS, 0, _one(1)),
         _located(text, HEX, HEX, 0, _one(2)),
-        _located(text, CANDIDATE, CANDIDATE, 0, _entropic(allowed)),
+        _located(text, CANDIDATE, CANDIDATE, 0, _entropic(allowed, limits, words)),
     )
     return docs.withColumn("spans", F.array_sort(spans))
 
@@ -251,7 +304,8 @@ def spans_text(spans: Column) -> Column:
 
 def op6_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    scanned = scan_secrets(documents).select("doc_id", "spans")
+    scanned = scan_secrets(documents, ALLOWED_RUNS, CLASS_LIMITS, ALLOWED_WORDS)
+    scanned = scanned.select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["kind"] < KINDS.index("entropy"))
     number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return scanned.select(
@@ -294,19 +348,35 @@ with texts as (
 ), candidates as (
   select doc_id, part, stop - size as start, row_number() over () as candidate
   from located where kind = 3 and not ({" or ".join(
-      f"regexp_matches(part, {_quoted(p)})" for p in ALLOWED)})
+      f"regexp_matches(part, {_quoted(p)})" for p in ALLOWED_RUNS)})
+), pieces as (
+  select doc_id, candidate, start, text,
+         sum(length(text) + 1) over (partition by candidate order by turn) - length(text) - 1
+           as low
+  from (select doc_id, candidate, start, unnest(string_split_regex(part, '[/=]')) as text,
+               generate_subscripts(string_split_regex(part, '[/=]'), 1) as turn
+        from candidates)
+), barred as (
+  select candidate, start + low as low, start + low + length(text) + 1 as high
+  from pieces where {" or ".join(f"regexp_matches(text, {_quoted(p)})" for p in ALLOWED_WORDS)}
 ), windows as (
   select doc_id, candidate, start + i as begin,
          substring(part, i + 1, {WINDOW}) as piece
-  from (select *, unnest(range(0, length(part) - {WINDOW} + 1))::int as i from candidates)
+  from (select *, unnest(range(0, length(part) - {WINDOW} + 1))::int as i from candidates) c
+  where not exists (select 1 from barred b where b.candidate = c.candidate
+                    and c.start + c.i < b.high and c.start + c.i + {WINDOW} > b.low)
 ), counted as (
   select doc_id, candidate, begin, piece, letter, count(*) as c
   from (select *, unnest(string_split(piece, '')) as letter from windows) group by all
 ), hot as (
   select doc_id, candidate, begin from counted
   group by doc_id, candidate, begin, piece
-  having sum(c * log2(c)) <= case when regexp_full_match(piece, '[0-9A-Fa-f]*')
-    then {_most(HEX_BITS)} else {_most(MIXED_BITS)} end
+  having sum(c * log2(c)) <= case
+    when regexp_full_match(piece, '[0-9]*') then {_most(CLASS_LIMITS["digits"])}
+    when regexp_full_match(piece, '[0-9A-Fa-f]*') then {_most(CLASS_LIMITS["hex"])}
+    when regexp_full_match(piece, '[0-9a-z]*|[0-9A-Z]*') and regexp_matches(piece, '[0-9]')
+      then {_most(CLASS_LIMITS["case"])}
+    else {_most(CLASS_LIMITS["mixed"])} end
 ), islands as (
   select *, sum(fresh) over (partition by candidate order by begin) as island
   from (select *, case when begin > lag(begin) over (partition by candidate order by begin)
