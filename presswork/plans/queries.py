@@ -277,12 +277,17 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through Structured Streaming: wire records in files, all of them as one
-    micro-batch, the micro-batch function, and the Parquet sink, read back."""
+    """Through Structured Streaming: wire records in files, a few files a micro-batch, the
+    micro-batch function, and the Parquet sink, read back. The records of one text are in one
+    batch, so that batch's deduplication is that of the whole table."""
     folder = new_folder(spark, "stream")
-    records = demo.document_wire(demo.read_documents(spark, sf_dir))
-    records.write.parquet(f"{folder}/wire")
-    wire = spark.readStream.schema(records.schema).parquet(f"{folder}/wire")
+    documents = demo.read_documents(spark, sf_dir)
+    share = F.coalesce(F.crc32(F.md5("text").cast("binary")), F.lit(0)) % _BOUNDED
+    for part in range(_BOUNDED):
+        records = demo.document_wire(documents.filter(share == part))
+        records.repartition(_BATCH_FILES).write.mode("append").parquet(f"{folder}/wire")
+    reader = spark.readStream.format("parquet").schema("doc_id long, value binary")
+    wire = read_wire_files(reader, f"{folder}/wire", _BATCH_FILES)
     write_batch = batch_writer(
         [ParquetSink(f"{folder}/enriched", per_batch=True)],
         demo.LengthSentiment(_GAP),
@@ -295,7 +300,8 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     articles = parse_articles(wire, keep=["doc_id"])
     stream = articles.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
     stream.trigger(availableNow=True).foreachBatch(write_batch).start().awaitTermination()
-    remove(spark, f"{folder}/wire")
+    for used in ("wire", "checkpoint"):
+        remove(spark, f"{folder}/{used}")
     written = spark.read.parquet(f"{folder}/enriched")
     return written.select("doc_id", *_readable(*BASE_FIELDS), *_ANSWERS)
 
@@ -341,7 +347,8 @@ def _stream_in_two(
             wire=wire,
             trigger={"availableNow": True},
         ).awaitTermination()
-    remove(spark, f"{folder}/wire")
+    for used in ("wire", "checkpoint"):
+        remove(spark, f"{folder}/{used}")
     written = spark.read.parquet(f"{folder}/enriched")
     timeless = [name for name in _ANSWERS if not name.endswith("_at")]
     return written.select("batch_id", *_readable(*BASE_FIELDS), *timeless)
