@@ -26,8 +26,12 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 # Texts handed over at once hold this many characters, or one text.
 BATCH_CHARS = 1_000_000
-# Pieces of text a worker remembers the ids of.
-CACHE_PIECES = 200_000
+# Pieces of text a worker remembers the ids of, in each of two generations.
+CACHE_PIECES = 300_000
+# Slots, of a byte each, for pieces that a worker has seen once.
+SEEN_SLOTS = 1 << 23
+# Characters of new pieces that go through the tokenizer as one string.
+JOINED_CHARS = 50_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 1000
 
@@ -49,8 +53,12 @@ class _Encoder:
 
     A byte-level tokenizer without a normaliser never joins what stands before a space
     with the space, if a character other than white space follows. Texts are cut there,
-    every piece that is new goes through the tokenizer, and the ids of a text are those of
-    its pieces, one after the other. Any other tokenizer gets the texts as they are.
+    pieces that are not known go through the tokenizer, and the ids of a text are those of
+    its pieces, one after the other. The new pieces of some texts are joined, each once, so they
+    never cost more than the texts; where the ids of each begin follows from the bytes that ids
+    stand for. A piece is remembered when it is seen again, so the many that stand
+    once take no room, and the older generation goes when the newer one is full.
+    Any other tokenizer gets the texts as they are.
     """
 
     def __init__(self, path: str):
@@ -64,37 +72,89 @@ class _Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self._tokenizer.to_str())
         before = spec.get("pre_tokenizer") or {}
+        added = {token["id"]: token["content"] for token in spec.get("added_tokens") or []}
         self._cut = None
         if (
             spec.get("normalizer") is None
             and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space", True)
-            and not any(" " in token["content"] for token in spec.get("added_tokens") or [])
+            and not any(" " in content for content in added.values())
         ):
             self._cut = re.compile(r" (?=\S)").split
-        self._known = worker_cache(f"pieces of {path}")
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+            self._odd = re.compile(r" (?!\S)").search
+        vocabulary = self._tokenizer.get_vocab()
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, "i8")
+        for token, number in vocabulary.items():  # a character of a token is a byte
+            self._bytes[number] = len(added[number].encode() if number in added else token)
+        self._memory = worker_cache(f"pieces of {path}")
+        if not self._memory:
+            self._memory |= {"new": {}, "old": {}, "seen": np.zeros(SEEN_SLOTS, "u1"), "marked": 0}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4") for x in found]
+
+    def _pieces(self, text: str) -> list[str]:
+        # Where every space has something behind it, cutting at each is the same and faster.
+        return self._cut(text) if self._odd(text) else text.split(" ")
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        sizes = np.fromiter(map(len, pieces), "i8", len(pieces)) + 1
+        group = np.cumsum(sizes) // JOINED_CHARS
+        borders = np.searchsorted(group, np.arange(group[-1] + 2 if len(group) else 1)).tolist()
+        groups = [(a, b) for a, b in zip(borders, borders[1:], strict=False) if a < b]
+        # Each piece has its space in front again.
+        texts = [" " + " ".join(pieces[a:b]) for a, b in groups]
+        out: list[bytes] = []
+        for (a, b), text, ids in zip(groups, texts, self._ids(texts), strict=True):
+            wide = sizes[a:b]
+            if not text.isascii():
+                wide = np.array([len(piece.encode()) + 1 for piece in pieces[a:b]])
+            reached = np.concatenate([[0], np.cumsum(self._bytes[ids])])
+            wanted = np.concatenate([[0], np.cumsum(wide)])
+            cuts = np.searchsorted(reached, wanted)
+            if cuts[-1] != len(ids) or (reached[cuts] != wanted).any():
+                out += [x.tobytes() for x in self._ids([" " + piece for piece in pieces[a:b]])]
+                continue
+            raw, at = ids.tobytes(), (4 * cuts).tolist()
+            out += [raw[i:j] for i, j in zip(at, at[1:], strict=False)]
+        return out
+
+    def _remember(self, pieces: list[str], coded: list[bytes]) -> None:
+        memory = self._memory
+        slots = np.fromiter(map(hash, pieces), "i8", len(pieces)) & (SEEN_SLOTS - 1)
+        again = memory["seen"][slots]
+        if memory["marked"] > SEEN_SLOTS // 4:
+            memory["seen"][:] = 0
+            memory["marked"] = 0
+        memory["seen"][slots] = 1
+        memory["marked"] += len(pieces)
+        for i in np.flatnonzero(again).tolist():
+            memory["new"][pieces[i]] = coded[i]
+        if len(memory["new"]) > CACHE_PIECES:
+            memory["old"], memory["new"] = memory["new"], {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self._cut is None:
-            return self._ids(texts)
-        pieces = [self._cut(text) for text in texts]
+            return [ids.tobytes() for ids in self._ids(texts)]
+        pieces = [self._pieces(text) for text in texts]
         # The first piece has no space before it; the others are known without theirs.
-        known = self._known
-        rest = set().union(*[p[1:] for p in pieces])
-        new = [piece for piece in rest if piece not in known]
-        heads = self._ids([p[0] for p in pieces])
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-            new = list(rest)
-        known.update(zip(new, self._ids([" " + piece for piece in new]), strict=True))
-        get = known.__getitem__
+        heads = self._ids([p.pop(0) for p in pieces])
+        rest = set().union(*pieces)
+        new, old = self._memory["new"], self._memory["old"]
+        ids_of = {piece: new[piece] for piece in rest & new.keys()}
+        rest -= ids_of.keys()
+        kept = {piece: old[piece] for piece in rest & old.keys()}
+        new |= kept
+        ids_of |= kept
+        unknown = list(rest - kept.keys())
+        coded = self._encode_pieces(unknown)
+        ids_of.update(zip(unknown, coded, strict=True))
+        self._remember(unknown, coded)
+        get = ids_of.__getitem__
         return [
-            head + b"".join(map(get, p[1:])) for head, p in zip(heads, pieces, strict=True)
+            head.tobytes() + b"".join(map(get, p)) for head, p in zip(heads, pieces, strict=True)
         ]
 
 

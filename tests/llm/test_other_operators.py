@@ -245,3 +245,36 @@ def test_links_and_ends():
     page = html_text.parse("<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><td>d<td>e<tr><td>f</table>g")
     assert [t for _, t in page.texts] == list("abcdefg")
     assert [page.tags[n] for n, _ in page.texts] == ["li", "li", "li", "td", "td", "td", "body"]
+
+
+def test_pieces_are_remembered_and_forgotten(monkeypatch):
+    """Many rounds over few words, with memories so small that they turn over."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 50)
+    monkeypatch.setattr(token_files, "SEEN_SLOTS", 256)
+    monkeypatch.setattr(token_files, "JOINED_CHARS", 40)
+    monkeypatch.setattr(token_files, "worker_cache", lambda name: {})
+    path = token_files.tokenizer_path()
+    encoder, tokenizer = token_files._Encoder(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(9)
+    words = [f"wörd{i}" if i % 3 else f"x{i}" for i in range(200)] + ["", " ", "\n", "<|endoftext|>", "'s", "日本"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(words, int(rng.integers(0, 40)))) for _ in range(8)] + [t or "" for t in TEXTS]
+        expected = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == expected
+    assert encoder._memory["old"] and len(encoder._memory["new"]) <= 300
+
+
+def test_a_text_of_megabytes(spark):
+    from tokenizers import Tokenizer
+
+    path = token_files.tokenizer_path()
+    text = " ".join(f"word{i % 5000} und äöü{i % 77}" for i in range(150_000))
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    folder = new_folder(spark, "test")
+    token_files.write_tokens(docs, folder, path)
+    ids = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+    got = token_files.token_digests(token_files.read_tokens(spark, folder)).collect()
+    crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+    assert sorted(map(tuple, got)) == [(1, 0, len(ids), crc), (2, len(ids), len(ids), crc)]
