@@ -8,17 +8,20 @@ item; where it covers a whole shorter item, that item occurs.
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presswork.llm.tables import read_table, ship, slices, tidy, unpack
-from presswork.storage import as_table
+from presswork.llm.tables import read_table, slices, tidy
+from presswork.storage import as_table, scratch
 
 WINDOW = 10
 # Item words that one automaton takes; about twice as many states, each a small dict. More
@@ -55,6 +58,12 @@ class Automaton:
             self._add(ids)
         self._mark(coded)
 
+    @classmethod
+    def restored(cls, state: bytes) -> Automaton:
+        made = cls.__new__(cls)
+        made.__dict__ |= pickle.loads(state)
+        return made
+
     def _state(self, length: int, step: dict[int, int], link: int) -> int:
         self.step.append(step)
         self.link.append(link)
@@ -155,21 +164,42 @@ class Automaton:
                     yield end - size, end, state
 
 
-def _automata(items: DataFrame, window: int) -> Iterator[Automaton]:
-    """One for each ``AUTOMATON_WORDS`` words of items. An item beyond that is cut into
-    pieces that share ``window - 1`` words, so no window is lost."""
-    held, size, pieces = [], 0, AUTOMATON_WORDS
-    for item, text in items.select(items["item_id"].cast("string"), "text").toLocalIterator():
-        words = item_words(text or "")
-        for begin in range(0, max(len(words) - window + 1, 1), pieces):
-            piece = words[begin : begin + pieces + window - 1]
-            if held and size + len(piece) > AUTOMATON_WORDS:
-                yield Automaton(held, window)
-                held, size = [], 0
-            if piece:
-                held.append((item, piece))
-                size += len(piece)
-    yield Automaton(held, window)
+def _build(window: int):
+    """Automata of the items of a partition, of ``AUTOMATON_WORDS`` words each. A longer item is
+    cut into pieces that share ``window - 1`` words, so no window is lost."""
+    limit = AUTOMATON_WORDS
+
+    def packed(held: list) -> pa.RecordBatch:
+        state = pickle.dumps(Automaton(held, window).__dict__)
+        return pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["automaton"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in (part for whole in batches for part in slices(whole)):
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = item_words(text.as_py() or "")
+                for begin in range(0, max(len(words) - window + 1, 1), limit):
+                    piece = words[begin : begin + limit + window - 1]
+                    if held and size + len(piece) > limit:
+                        yield packed(held)
+                        held, size = [], 0
+                    if piece:
+                        held.append((item, piece))
+                        size += len(piece)
+        if held:
+            yield packed(held)
+
+    return tidy(run)
+
+
+def _automata(items: DataFrame, window: int, table: Callable) -> DataFrame:
+    """A row for each ``AUTOMATON_WORDS`` words of items, about, built where the items are
+    dealt to."""
+    texts = items.select(items["item_id"].cast("string"), items["text"])
+    words = F.regexp_count(texts["text"], F.lit(_WORD.pattern))
+    total = texts.agg(F.sum(words.cast("long"))).first()[0] or 0
+    dealt = texts.repartition(max(1, math.ceil(total / AUTOMATON_WORDS)))
+    return table(dealt.mapInArrow(_build(window), "automaton binary"))
 
 
 # In words, and in characters of the text.
@@ -188,7 +218,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _match(shared, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton: Automaton = unpack(shared)
+        automaton = Automaton.restored(shared.value)
         number = automaton.vocabulary.get
         for batch in (part for whole in batches for part in slices(whole)):
             n_words, all_spans, all_items = [], [], []
@@ -225,6 +255,13 @@ def _match(shared, schema: pa.Schema):
     return tidy(run)
 
 
+def _through(rows: DataFrame, automaton: Broadcast) -> DataFrame:
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+    span = pa.struct([(name, pa.int32()) for name in ("begin", "end", "from", "to")])
+    plain = pa.schema([("hits", pa.list_(span)), ("items", pa.list_(pa.string()))])
+    return rows.mapInArrow(_match(automaton, plain), schema)
+
+
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``_row`` (the columns of ``docs`` but ``text``), ``_text``, ``n_words``, ``hits``
     (word spans covered by windows of items, merged) and ``items`` (the distinct
@@ -243,14 +280,18 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
         F.array().cast(_SPANS).alias("hits"),
         F.array().cast("array<string>").alias("items"),
     )
-    context = docs.sparkSession.sparkContext
-    for i, automaton in enumerate(_automata(items, window)):
-        if i:
-            rows = as_table(rows)
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-        span = pa.struct([(name, pa.int32()) for name in ("begin", "end", "from", "to")])
-        plain = pa.schema([("hits", pa.list_(span)), ("items", pa.list_(pa.string()))])
-        rows = rows.mapInArrow(_match(ship(context, automaton), plain), schema)
+    spark, shared = docs.sparkSession, None
+    with scratch(spark) as table:
+        # One at a time, as it was packed in its task: a bounded number of words.
+        for row in _automata(items, window, table).toLocalIterator():
+            if shared is not None:
+                rows = as_table(rows)
+                shared.unpersist()
+            shared = spark.sparkContext.broadcast(bytes(row["automaton"]))
+            rows = _through(rows, shared)
+    if shared is None:
+        none = pickle.dumps(Automaton([], window).__dict__)
+        rows = _through(rows, spark.sparkContext.broadcast(none))
     return rows
 
 
