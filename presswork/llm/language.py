@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork.llm.tables import read_table, ship, slices, tidy, unpack
-from presswork.storage import as_table
+from presswork.storage import scratch
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
@@ -234,17 +234,22 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """From the columns ``doc_id, text, lang``. Rows with null or letterless text or null
     ``lang`` teach nothing; of each language about ``sample`` documents are used, all if it
     has fewer. The model holds ``CENTROIDS`` vectors of ``DIMENSIONS`` floats a language."""
+    with scratch(labelled.sparkSession) as table:
+        return _fitted(labelled, sample, table)
+
+
+def _fitted(labelled: DataFrame, sample: int, table: Callable) -> Model:
     usable = labelled.filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull()
     )
-    sizes = as_table(usable.groupBy("lang").agg(F.count("*").alias("_n")))
+    sizes = table(usable.groupBy("lang").agg(F.count("*").alias("_n")))
     # Texts stay where they are unless there are more languages than a broadcast may hold.
     if sizes.count() <= BROADCAST_LANGS:
         sizes = F.broadcast(sizes)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     picked = usable.join(sizes, "lang").filter(place * F.col("_n") < sample)
     spec = "lang string, whole boolean, grams array<int>, counts array<int>"
-    cut = as_table(picked.select("lang", "text").mapInArrow(_grams, spec))
+    cut = table(picked.select("lang", "text").mapInArrow(_grams, spec))
     grams = cut.filter("whole")
     total = grams.count()
     present = grams.select(F.explode("grams").alias("gram")).groupBy("gram").count()

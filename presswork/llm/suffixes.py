@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm import hash_groups as hg
 from presswork.llm.tables import read_table, tidy
-from presswork.storage import as_table, new_folder, remove
+from presswork.storage import as_table, new_folder, remove, scratch
 
 LENGTH = 50
 ANCHOR = 25
@@ -273,14 +273,14 @@ def _print(fragment: Column) -> Column:
     return F.xxhash64(fragment, F.lit(0))
 
 
-def _sorted_fragments(places: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _sorted_fragments(places: DataFrame, table: Callable) -> tuple[DataFrame, DataFrame]:
     """The places without their bytes, crowded anchors' fragments cut up; and what the suffix
     arrays say of each fragment: its least owner, and as bits its strings that an earlier
     document has."""
     seen = places.select("key", _print(F.col("fragment")).alias("print")).distinct()
-    seen = as_table(seen.groupBy("key").count())
+    seen = table(seen.groupBy("key").count())
     total = seen.agg(F.sum("count")).first()[0] or 0
-    crowded = as_table(seen.filter(F.col("count") > CROWDED).select("key"))
+    crowded = table(seen.filter(F.col("count") > CROWDED).select("key"))
     whole = places.join(crowded, "key", "left_anti")
     pieces = places.join(crowded, "key", "left_semi").select(
         "node", "owner", "low", F.posexplode(_strings(F.col("fragment"))).alias("at", "fragment")
@@ -295,7 +295,7 @@ def _sorted_fragments(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = same.withColumn("print", _print(F.col("fragment"))).withColumn(
         "batch", F.pmod(F.xxhash64("key"), F.lit(batches))
     )
-    known = as_table(
+    known = table(
         dealt.groupBy("batch").applyInPandas(
             _sort, "key long, print long, owner long, early long"
         )
@@ -352,11 +352,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``doc_id`` counts as the last of all. Other columns are ignored; an empty table gives an
     empty one.
     """
+    with scratch(docs.sparkSession) as table:
+        return as_table(_removed(docs, table))
+
+
+def _removed(docs: DataFrame, table: Callable) -> DataFrame:
     spark, folder = docs.sparkSession, new_folder(docs.sparkSession, "groups")
     groups = hg.pack(docs, _describe, folder)
     listed = hg.list_documents(groups).withColumnRenamed("size", "n_bytes")
-    listed = as_table(listed.withColumn("owner", F.coalesce("doc_id", F.lit(_LAST))))
-    texts = as_table(_shared_places(groups, listed))
+    listed = table(listed.withColumn("owner", F.coalesce("doc_id", F.lit(_LAST))))
+    texts = table(_shared_places(groups, listed))
     remove(spark, folder)
     at = F.col("_at")
     fragments = F.transform(
@@ -374,7 +379,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     places = places.select("node", "owner", at["key"], at["low"], at["fragment"])
     places = places.toDF("node", "owner", "key", "low", "fragment")
-    dealt, known = _sorted_fragments(places)
+    dealt, known = _sorted_fragments(places, table)
     every = F.expr("shiftleft(1L, strings) - 1")
     found = dealt.join(known.withColumnRenamed("owner", "first"), ["key", "print"])
     later = F.col("owner") > F.col("first")
@@ -382,8 +387,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeats = found.filter("bits <> 0").groupBy("node").agg(
         F.collect_list(F.struct("low", "bits")).alias("repeats")
     )
-    repeats = as_table(repeats)
-    cut = as_table(
+    repeats = table(repeats)
+    cut = table(
         texts.select("node", "body").join(repeats, "node").mapInArrow(
             _cut(LENGTH), "node long, n_removed long, n_spans long, kept string"
         )
