@@ -232,15 +232,21 @@ class _Cell:
 
     def _divide(self, members: np.ndarray, home: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Voronoi regions with the documents of their windows, of which those at home are
-        marked; nothing if that leaves a region nearly as large."""
+        marked; nothing if that leaves a region nearly as large. What has nothing in common with
+        any pivot is a region too."""
         pivots = members[:: -(-len(members) // PIVOTS)]
         distances = np.stack([self.measure(int(pivot), members) for pivot in pivots])
         nearest, least = distances.argmin(0), distances.min(0)
-        window = distances <= least + 2 * self.limit
-        if window.sum(1).max() > SHRINK * len(members):
+        far = least >= 1 - 1e-12
+        parts = [(least >= 1 - self.limit, home & far)]
+        for i, away in enumerate(distances):
+            at_home = home & ~far & (nearest == i)
+            reach = away[at_home].max(initial=0) + self.limit
+            parts.append(((away <= least + 2 * self.limit) & (away <= reach), at_home))
+        parts = [(window, at_home) for window, at_home in parts if at_home.any()]
+        if max((window.sum() for window, _ in parts), default=0) > SHRINK * len(members):
             return []
-        at_home = [home & (nearest == i) for i in range(len(pivots))]
-        return [(members[w], h[w]) for w, h in zip(window, at_home, strict=True) if h.any()]
+        return [(members[window], at_home[window]) for window, at_home in parts]
 
     def _sweep(self, members: np.ndarray, home: np.ndarray) -> None:
         """All documents but the largest component's, one by one. A link with two guests is
