@@ -12,8 +12,10 @@ suffix array that is exact.
 * The fragments that share an anchor are sorted by their suffixes, those smaller than their
   successors directly, the rest by scans of the buckets; the common prefixes of neighbours
   give the groups of equal strings, and the least document of each.
-* An anchor with very many fragments is one of a phrase with many surroundings. Its
-  fragments are cut into their single strings, which are dealt out anew by their content.
+* An anchor with very many fragments is one of a phrase with many surroundings. Each of its
+  different fragments is halved: the strings with half of the other bytes at least before
+  the anchor, and those with as many behind it. What the strings of a half have in common is
+  longer than the anchor and takes its place; what is crowded still is halved again.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,10 +39,12 @@ LENGTH = 50
 ANCHOR = 25
 # Bytes of text for an anchor, about: half of the strings' starts around it.
 ANCHOR_EVERY = 13
-# Fragments that are sorted together, and those of one anchor from which on it is cut up.
+# Fragments that are sorted together, and those of one anchor above which they are halved: a
+# task sorts so many at once, some 1.5 MB of text, whatever comes with them.
 BATCH_FRAGMENTS = 4000
-CROWDED = 1000
+CROWDED = 20_000
 _LAST = (1 << 63) - 1
+_PLACE = ["key", "low", "fragment", "place"]
 
 
 # Suffix sorting
@@ -116,9 +121,9 @@ def common_prefixes(order: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.minimum(common, LENGTH)
 
 
-def first_owners(fragments: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For every string of ``LENGTH`` bytes in each fragment, the least owner of any
-    fragment that has it."""
+def first_owners(fragments: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of strings of ``LENGTH`` bytes in each fragment, and for every one of them,
+    fragment by fragment, the least owner of any fragment that has it."""
     text = np.frombuffer(b"".join(fragments), "u1")
     words = _words(text)
     sizes = np.array([len(f) for f in fragments])
@@ -128,14 +133,12 @@ def first_owners(fragments: list[bytes], owners: np.ndarray) -> list[np.ndarray]
     group = np.cumsum(common_prefixes(order, words) < LENGTH) - 1
     # Suffixes that leave their fragment belong to nobody.
     owner = np.full(len(text), _LAST)
-    starts = np.repeat(begins, strings) + np.arange(strings.sum()) - np.repeat(
-        np.cumsum(strings) - strings, strings
-    )
+    starts = np.repeat(begins - np.cumsum(strings) + strings, strings) + np.arange(strings.sum())
     owner[starts] = np.repeat(owners, strings)
     heads = np.flatnonzero(np.diff(group, prepend=-1))
     least = np.minimum.reduceat(owner[order], heads)
     owner[order] = least[group]
-    return np.split(owner[starts], np.cumsum(strings)[:-1])
+    return strings, owner[starts]
 
 
 # Anchors
@@ -207,7 +210,7 @@ def _fragments(bits: int):
                 # The strings of an anchor lie side by side.
                 first = np.flatnonzero(np.diff(places, prepend=-1))
                 strings = np.diff(np.append(first, len(places)))
-                begins, hashes = begins[first], hashes[first]
+                begins, places, hashes = begins[first], places[first], hashes[first]
                 shared = (
                     known[np.searchsorted(keys, hashes >> np.uint64(64 - bits))]
                     if len(known)
@@ -229,6 +232,7 @@ def _fragments(bits: int):
                             hashes[some][found].astype("i8"),
                             (begins[some][found] - a).astype("i4"),
                             strings[some][found].astype("i4"),
+                            (places[some][found] - begins[some][found]).astype("i4"),
                         )
                     )
                 kinds = [
@@ -239,60 +243,104 @@ def _fragments(bits: int):
                     pa.list_(pa.int64()),
                     pa.list_(pa.int32()),
                     pa.list_(pa.int32()),
+                    pa.list_(pa.int32()),
                 ]
                 for i in range(0, len(out), 1000):
                     columns = zip(*out[i : i + 1000], strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                        ["node", "owner", "whole", "body", "keys", "lows", "strings"],
+                        ["node", "owner", "whole", "body", "keys", "lows", "strings", "places"],
                     )
 
     return tidy(run)
 
 
 def _sort(batch: pd.DataFrame) -> pd.DataFrame:
-    batch = batch.sort_values(["key", "fragment"])
     own = batch["owner"].to_numpy()
-    first = first_owners(batch["fragment"].tolist(), own)
-    early = [
-        int(np.bitwise_or.reduce(np.left_shift(1, np.flatnonzero(f < o)), initial=0))
-        for f, o in zip(first, own, strict=True)
-    ]
+    strings, first = first_owners(batch["fragment"].tolist(), own)
+    begins = np.cumsum(strings) - strings
+    bits = np.left_shift(1, np.arange(len(first)) - np.repeat(begins, strings))
+    bits[first >= np.repeat(own, strings)] = 0
+    early = np.bitwise_or.reduceat(bits, begins)
     return pd.DataFrame(
         {"key": batch["key"], "print": batch["print"], "owner": own, "early": early}
     )
 
 
 def _strings(fragment: Column) -> Column:
-    """Every string of ``LENGTH`` bytes in a fragment."""
-    places = F.sequence(F.lit(1), F.length(fragment) - (LENGTH - 1))
-    return F.transform(places, lambda at: F.substring(fragment, at, F.lit(LENGTH)))
+    """Strings of ``LENGTH`` bytes in a fragment."""
+    return F.length(fragment) - (LENGTH - 1)
 
 
 def _print(fragment: Column) -> Column:
     return F.xxhash64(fragment, F.lit(0))
 
 
-def _sorted_fragments(places: DataFrame, table: Callable) -> tuple[DataFrame, DataFrame]:
-    """The places without their bytes, crowded anchors' fragments cut up; and what the suffix
-    arrays say of each fragment: its least owner, and as bits its strings that an earlier
-    document has."""
-    seen = places.select("key", _print(F.col("fragment")).alias("print")).distinct()
-    seen = table(seen.groupBy("key").count())
-    total = seen.agg(F.sum("count")).first()[0] or 0
-    crowded = table(seen.filter(F.col("count") > CROWDED).select("key"))
-    whole = places.join(crowded, "key", "left_anti")
-    pieces = places.join(crowded, "key", "left_semi").select(
-        "node", "owner", "low", F.posexplode(_strings(F.col("fragment"))).alias("at", "fragment")
+def _every(strings: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), strings) - 1
+
+
+def _halve(fragments: DataFrame, depth: int) -> DataFrame:
+    """Two rows at most for each fragment. ``place`` is where the anchor begins in it; its
+    strings have between ``fewest`` and ``most`` bytes before the anchor. A half's key is of
+    the bytes that all its strings have."""
+    fragment, place = F.col("fragment"), F.col("place")
+    middle = F.expr("(fewest + most + 1) div 2").cast("int")
+    halves = []
+    for fewest, most in ((F.col("fewest"), middle - 1), (middle, F.col("most"))):
+        first = F.greatest(F.lit(0), place - most)
+        last = F.least(_strings(fragment) - 1, place - fewest)
+        common = F.substring(fragment, place - fewest + 1, fewest - most + LENGTH)
+        half = F.struct(
+            first.alias("shift"),
+            F.xxhash64(common, F.lit(depth)).alias("key"),
+            F.substring(fragment, first + 1, last - first + LENGTH).alias("fragment"),
+            (place - first).alias("place"),
+            fewest.alias("fewest"),
+            most.alias("most"),
+        )
+        halves.append(F.when(first <= last, half))
+    made = fragments.select(
+        F.col("key").alias("whole"),
+        _print(fragment).alias("whole_print"),
+        "owner",
+        F.explode(F.array_compact(F.array(*halves))).alias("_half"),
     )
-    pieces = pieces.withColumn("key", F.xxhash64("fragment")).withColumn(
-        "low", F.col("low") + F.col("at")
+    return made.select("whole", "whole_print", "owner", "_half.*")
+
+
+def _judge(fragments: DataFrame, table: Callable) -> DataFrame:
+    """``key, print, owner, early`` for each different fragment of each anchor (``key,
+    fragment, place, owner``): its least owner, and as bits its strings that an earlier
+    document has."""
+    level = table(
+        fragments.groupBy("key", "fragment").agg(
+            F.min("place").alias("place"),
+            F.min("owner").alias("owner"),
+            F.lit(0).alias("fewest"),
+            F.lit(LENGTH - ANCHOR).alias("most"),
+        )
     )
-    columns = ["node", "owner", "low", "key", "fragment"]
-    places = whole.select(columns).unionByName(pieces.select(columns))
-    same = places.groupBy("key", "fragment").agg(F.min("owner").alias("owner"))
+    sortable, halved, total = [], [], 0
+    for depth in range((LENGTH - ANCHOR).bit_length() + 1):
+        counts = table(level.groupBy("key").count())
+        # After so many halvings a half is a string, and there is one row of it.
+        crowded = counts.filter(F.col("count") > CROWDED).select("key")
+        if depth == (LENGTH - ANCHOR).bit_length() or crowded.isEmpty():
+            sortable.append(level)
+            total += counts.agg(F.sum("count")).first()[0] or 0
+            break
+        sortable.append(level.join(crowded, "key", "left_anti"))
+        total += counts.filter(F.col("count") <= CROWDED).agg(F.sum("count")).first()[0] or 0
+        halved.append(table(_halve(level.join(crowded, "key", "left_semi"), depth)))
+        names = ["place", "owner", "fewest", "most"]
+        level = table(
+            halved[-1].groupBy("key", "fragment").agg(*(F.min(n).alias(n) for n in names))
+        )
     batches = max(1, math.ceil(total / BATCH_FRAGMENTS))
-    dealt = same.withColumn("print", _print(F.col("fragment"))).withColumn(
+    columns = [F.col("key"), F.col("owner"), F.col("fragment")]
+    dealt = reduce(DataFrame.unionByName, [some.select(*columns) for some in sortable])
+    dealt = dealt.withColumn("print", _print(F.col("fragment"))).withColumn(
         "batch", F.pmod(F.xxhash64("key"), F.lit(batches))
     )
     known = table(
@@ -300,15 +348,20 @@ def _sorted_fragments(places: DataFrame, table: Callable) -> tuple[DataFrame, Da
             _sort, "key long, print long, owner long, early long"
         )
     )
-    slim = places.select(
-        "node",
-        "owner",
-        "low",
-        "key",
-        _print(F.col("fragment")).alias("print"),
-        (F.length("fragment") - (LENGTH - 1)).alias("strings"),
-    )
-    return slim, known
+    for halves in reversed(halved):
+        # All strings of a half that an earlier document has are in that document.
+        bits = F.when(F.col("owner") > F.col("first"), _every(F.col("strings")))
+        bits = bits.otherwise(F.col("early"))
+        halves = halves.withColumns(
+            {"print": _print(F.col("fragment")), "strings": _strings(F.col("fragment"))}
+        )
+        joined = halves.join(known.withColumnRenamed("owner", "first"), ["key", "print"])
+        whole = joined.groupBy("whole", "whole_print").agg(
+            F.min("owner").alias("owner"),
+            F.sum(F.call_function("shiftleft", bits, F.col("shift"))).alias("early"),
+        )
+        known = table(known.unionByName(whole.toDF("key", "print", "owner", "early")))
+    return known
 
 
 def _cut(length: int):
@@ -317,19 +370,18 @@ def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans, kept = [], [], []
-            for body, repeats in zip(
-                batch.column("body"), batch.column("repeats").to_pylist(), strict=True
-            ):
+            repeats = batch.column("repeats")
+            cuts, places = repeats.offsets.to_numpy(), repeats.values
+            lows, bits = (places.field(n).to_numpy() for n in ("low", "bits"))
+            for body, a, b in zip(batch.column("body"), cuts, cuts[1:], strict=False):
                 text = np.frombuffer(body.as_py(), "u1")
-                steps = np.zeros(len(text) + 1, "i8")
-                for repeat in repeats:
-                    bits = repeat["bits"]
-                    while bits:
-                        low = bits & -bits
-                        begin = repeat["low"] + low.bit_length() - 1
-                        steps[begin] += 1
-                        steps[begin + length] -= 1
-                        bits ^= low
+                one = np.unpackbits(
+                    bits[a:b].astype("<u8").view("u1").reshape(-1, 8), axis=1, bitorder="little"
+                )
+                place, string = np.nonzero(one)
+                begins = lows[a:b][place] + string
+                steps = np.bincount(begins, minlength=len(text) + 1)
+                steps -= np.bincount(begins + length, minlength=len(text) + 1)
                 gone = np.cumsum(steps[:-1]) > 0
                 removed.append(int(gone.sum()))
                 spans.append(int(np.count_nonzero(np.diff(gone.astype("i1"), prepend=0) == 1)))
@@ -365,25 +417,33 @@ def _removed(docs: DataFrame, table: Callable) -> DataFrame:
     remove(spark, folder)
     at = F.col("_at")
     fragments = F.transform(
-        F.arrays_zip("keys", "lows", "strings"),
+        F.arrays_zip("keys", "lows", "strings", "places"),
         lambda x: F.struct(
             x["keys"].alias("key"),
             x["lows"].alias("low"),
             F.substring(F.col("body"), x["lows"] + 1, x["strings"] + (LENGTH - 1)).alias(
                 "fragment"
             ),
+            x["places"].alias("place"),
         ),
     )
     places = texts.filter(F.col("body").isNotNull()).select(
         "node", "owner", F.explode(fragments).alias("_at")
     )
-    places = places.select("node", "owner", at["key"], at["low"], at["fragment"])
-    places = places.toDF("node", "owner", "key", "low", "fragment")
-    dealt, known = _sorted_fragments(places, table)
-    every = F.expr("shiftleft(1L, strings) - 1")
-    found = dealt.join(known.withColumnRenamed("owner", "first"), ["key", "print"])
+    places = places.select("node", "owner", *(at[n].alias(n) for n in _PLACE))
+    known = _judge(places.select("key", "fragment", "place", "owner"), table)
+    slim = places.select(
+        "node",
+        "owner",
+        "key",
+        "low",
+        _print(F.col("fragment")).alias("print"),
+        _strings(F.col("fragment")).alias("strings"),
+    )
+    found = slim.join(known.withColumnRenamed("owner", "first"), ["key", "print"])
     later = F.col("owner") > F.col("first")
-    found = found.select("node", "low", F.when(later, every).otherwise(F.col("early")).alias("bits"))
+    bits = F.when(later, _every(F.col("strings"))).otherwise(F.col("early"))
+    found = found.select("node", "low", bits.alias("bits"))
     repeats = found.filter("bits <> 0").groupBy("node").agg(
         F.collect_list(F.struct("low", "bits")).alias("repeats")
     )
@@ -428,7 +488,7 @@ def _shared_places(groups: DataFrame, listed: DataFrame) -> DataFrame:
     return asked.select("gid", "ends", "body", "answers", "chosen").mapInArrow(
         _fragments(bits),
         "node long, owner long, whole string, body binary, keys array<long>, lows array<int>, "
-        "strings array<int>",
+        "strings array<int>, places array<int>",
     )
 
 

@@ -1,4 +1,5 @@
 import hashlib
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -88,6 +89,30 @@ def test_remove_repeats(spark, monkeypatch, crowded):
     assert sorted(got, key=str) == plain(rows)
 
 
+def test_a_phrase_with_many_surroundings_makes_two_rows_of_a_fragment(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWDED", 10)
+    scratch, sizes = suffixes.scratch, []
+
+    @contextmanager
+    def counted(session):
+        with scratch(session) as table:
+            yield lambda df: (made := table(df), sizes.append(made.count()))[0]
+
+    monkeypatch.setattr(suffixes, "scratch", counted)
+    # The anchor of most of a text's 50-byte strings, as of all texts'.
+    rng = np.random.default_rng(8)
+    phrase, letters = "a phrase that they all have in common", list("bcdfgjkquvwxz")
+    around = ["".join(rng.choice(letters, 60)) for _ in range(80)]
+    rows = [(i, a[:30] + phrase + a[30:]) for i, a in enumerate(around)]
+    rows += [(100 + i, a[:30] + phrase + b[30:]) for i, (a, b) in enumerate(zip(around, around[1:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in suffixes.remove_repeats(docs).collect()]
+    assert sorted(got, key=str) == plain(rows)
+    raw, cuts = "".join(t for _, t in rows).encode(), np.cumsum([len(t) for _, t in rows])
+    _, places, _ = suffixes.anchors(raw, cuts)
+    assert max(sizes) <= 2 * len(np.unique(places))
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffixes.remove_repeats(docs).collect() == []
