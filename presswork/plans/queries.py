@@ -34,7 +34,7 @@ from presswork.plans.enrich import enrich
 from presswork.schemas import ARTICLE_FIELDS, BASE_FIELDS, CONSOLE_FIELDS, IDENTITY
 from presswork.sinks import ParquetSink, Sink, kafka_payload, utc_date
 from presswork.sources import read_wire_files
-from presswork.storage import as_table, new_folder, remove
+from presswork.storage import as_table, new_folder, remove, stored_bytes
 from presswork.streaming import batch_writer, start
 
 _FIRST = ["published_at", "doc_id"]
@@ -55,9 +55,11 @@ _KEY_ROWS = 16
 _PARTS = 8
 _REQUEST_ROWS = 10
 _REQUEST_BYTES = 16_384
-# Micro-batches of the bounded stream, and the files of each.
+# Micro-batches of the bounded streams, the files of each at least, and the bytes of the
+# documents that a file stands for: a file is written by one task.
 _BOUNDED = 4
 _BATCH_FILES = 2
+_FILE_BYTES = 16 << 20
 
 
 def _readable(*names: str) -> list[str | Column]:
@@ -276,6 +278,13 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demo.read_articles(spark, sf_dir).withColumn("text_prepped", normalize_text("text"))
 
 
+def _batch_files(spark: SparkSession, sf_dir: str) -> int:
+    """The files of a micro-batch of a bounded stream: so many that the tasks which write and
+    read them grow in number with the input."""
+    held = stored_bytes(spark, f"{sf_dir}/documents.parquet")
+    return max(_BATCH_FILES, held // (_BOUNDED * _FILE_BYTES))
+
+
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through Structured Streaming: wire records in files, a few files a micro-batch, the
     micro-batch function, and the Parquet sink, read back. The records of one text are in one
@@ -283,11 +292,12 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream")
     documents = demo.read_documents(spark, sf_dir)
     share = F.coalesce(F.crc32(F.md5("text").cast("binary")), F.lit(0)) % _BOUNDED
+    files = _batch_files(spark, sf_dir)
     for part in range(_BOUNDED):
         records = demo.document_wire(documents.filter(share == part))
-        records.repartition(_BATCH_FILES).write.mode("append").parquet(f"{folder}/wire")
+        records.repartition(files).write.mode("append").parquet(f"{folder}/wire")
     reader = spark.readStream.format("parquet").schema("doc_id long, value binary")
-    wire = read_wire_files(reader, f"{folder}/wire", _BATCH_FILES)
+    wire = read_wire_files(reader, f"{folder}/wire", files)
     write_batch = batch_writer(
         [ParquetSink(f"{folder}/enriched", per_batch=True)],
         demo.LengthSentiment(_GAP),
@@ -468,11 +478,11 @@ def _shown(written: DataFrame, *more: str | Column) -> DataFrame:
 def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records are there from the start; admission deals them into micro-batches of
     so many files, the oldest first."""
-    stream = _Stream(spark, sf_dir, _BOUNDED)
+    stream, files = _Stream(spark, sf_dir, _BOUNDED), _batch_files(spark, sf_dir)
     for rest in range(_BOUNDED):
-        stream.add(rest, files=_BATCH_FILES)
+        stream.add(rest, files=files)
     sink = ParquetSink(f"{stream.folder}/enriched", per_batch=True)
-    stream.run([sink], max_files=_BATCH_FILES)
+    stream.run([sink], max_files=files)
     stream.done()
     return _shown(spark.read.parquet(sink.output_dir), "batch_id")
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from presswork.plans import queries
 from presswork.plans.oracles import ORACLES
 from presswork.plans.queries import QUERIES
 
@@ -39,5 +40,26 @@ def test_query_equals_its_sql(spark, database, name):
     assert rows and Counter(map(tuple, got.collect())) == Counter(rows)
 
 
+@pytest.mark.parametrize("name", ["stream_bounded", "stream_enrich"])
+def test_files_of_a_bounded_batch_grow_with_the_documents(spark, monkeypatch, tmp_path, name):
+    rows = [(i, f"text {i} " * 9, f"source{i % 3}") for i in range(400)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    documents.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "documents.parquet").glob("part-*"))
+    monkeypatch.setattr(queries, "_FILE_BYTES", size // 22, raising=False)
+    bounds, read = [], queries.read_wire_files
+
+    def noted(reader, path, bound):
+        found = len([f for f in os.listdir(path) if f.startswith("part-")])
+        bounds.append((bound, found))
+        return read(reader, path, bound)
+
+    monkeypatch.setattr(queries, "read_wire_files", noted)
+    got = QUERIES[name](spark, str(tmp_path))
+    assert bounds == [(5, 20)]
+    if name == "stream_bounded":
+        assert {r.batch_id for r in got.select("batch_id").distinct().collect()} == {0, 1, 2, 3}
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
