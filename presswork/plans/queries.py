@@ -295,7 +295,8 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _batch_files(spark, sf_dir)
     for part in range(_BOUNDED):
         records = demo.document_wire(documents.filter(share == part))
-        records.repartition(files).write.mode("append").parquet(f"{folder}/wire")
+        records = records.repartition(files).write.mode("append")
+        records.option("compression", "zstd").parquet(f"{folder}/wire")
     reader = spark.readStream.format("parquet").schema("doc_id long, value binary")
     wire = read_wire_files(reader, f"{folder}/wire", files)
     write_batch = batch_writer(
@@ -345,7 +346,8 @@ def _stream_in_two(
     for rest in (0, 1, None):
         if rest is not None:
             part = records.filter(F.col("doc_id") % 2 == rest).select("value")
-            part.write.mode("append").parquet(f"{folder}/wire")
+            part = part.write.mode("append").option("compression", "zstd")
+            part.parquet(f"{folder}/wire")
         wire = spark.readStream.schema("value binary").parquet(f"{folder}/wire")
         start(
             spark,
@@ -437,7 +439,8 @@ class _Stream:
         part = self.records.filter(F.col("doc_id") % self.parts == rest)
         part = part.select("value" if value is None else value.alias("value"))
         part = part.repartition(files) if files else part
-        part.write.mode("append").parquet(f"{self.folder}/wire")
+        part = part.write.mode("append").option("compression", "zstd")
+        part.parquet(f"{self.folder}/wire")
 
     def run(
         self,

@@ -33,6 +33,12 @@ def test_enriched_columns(enriched):
     assert enriched.columns == BASE_FIELDS + answers
 
 
+def test_parquet_files_are_compressed_with_zstd(spark, enriched, tmp_path):
+    ParquetSink(str(tmp_path)).write(enriched, 0)
+    files = list(tmp_path.rglob("part-*"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+
+
 def test_stats_and_error_rows(enriched):
     assert tuple(batch_stats(enriched).first()) == (3, 1, 2)
     assert {r.url_hash for r in error_rows(enriched).collect()} == {"b", "c"}
