@@ -10,6 +10,8 @@ and pages are small, and Parquet's page indexes let a filter on ``doc_id`` skip
 from __future__ import annotations
 
 import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +34,18 @@ CACHE_PIECES = 300_000
 SEEN_SLOTS = 1 << 23
 # Characters of new pieces that go through the tokenizer as one string.
 JOINED_CHARS = 50_000
+# The same for plain pieces, which are no longer than ``PLAIN_CHARS``; short strings are faster.
+JOINED_PIECES = 200
+PLAIN_CHARS = 200
+# Characters, in a pattern's brackets, that a byte-level pattern divides by kind alone: no
+# apostrophe, which makes contractions, and beyond ASCII only letters of Latin alphabets.
+PLAIN = "!-&(-~À-ÖØ-öø-ſ"
+# Tokens that can stand in pieces of these, characters begun or ended by a neighbour included,
+# and those that lie within one kind. White space other than a leading space stands alone.
+PLAIN_BYTES = (
+    rb"[\x80-\xbf]?(?:[!-&(-~]|[\t\n](?![\t\n])| (?![\t\n ])|[\xc3-\xc5][\x80-\xbf])*[\xc3-\xc5]?"
+)
+UNDIVIDED_BYTES = rb"\s| ?(?:[A-Za-z\x80-\xff]+|[0-9]+|[!-/:-@[-`{-~]+)"
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 1000
 
@@ -40,6 +54,7 @@ FILE_SCHEMA = (
 )
 _WRITE = {
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
     "parquet.writer.version": "v2",
     "parquet.block.size": str(ROW_GROUP_BYTES),
     "parquet.page.row.count.limit": str(PAGE_ROWS),
@@ -48,6 +63,16 @@ _WRITE = {
 }
 
 
+def _alphabet() -> dict[str, int]:
+    """The bytes that the characters of a byte-level vocabulary stand for."""
+    from tokenizers import pre_tokenizers
+
+    letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+    own = {ord(letter) for letter in letters if ord(letter) < 256}
+    others = (byte for byte in range(256) if byte not in own)
+    return {letter: ord(letter) if ord(letter) < 256 else next(others) for letter in letters}
+
+
 class _Encoder:
     """Little-endian ids of a text, as bytes.
 
@@ -58,22 +83,20 @@ class _Encoder:
     never cost more than the texts; where the ids of each begin follows from the bytes that ids
     stand for. A piece is remembered when it is seen again, so the many that stand
     once take no room, and the older generation goes when the newer one is full.
+    Pieces of ``PLAIN`` characters go through the same model without the tokenizer's pattern,
+    if no token reaches over a place where the pattern would have divided them.
     Any other tokenizer gets the texts as they are.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import re
-
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self._tokenizer.to_str())
         before = spec.get("pre_tokenizer") or {}
         added = {token["id"]: token["content"] for token in spec.get("added_tokens") or []}
-        self._cut = None
+        self._cut = self._plain = None
         if (
             spec.get("normalizer") is None
             and before.get("type") == "ByteLevel"
@@ -83,6 +106,7 @@ class _Encoder:
         ):
             self._cut = re.compile(r" (?=\S)").split
             self._odd = re.compile(r" (?!\S)").search
+            self._prepare_plain(spec["model"], added)
         vocabulary = self._tokenizer.get_vocab()
         self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, "i8")
         for token, number in vocabulary.items():  # a character of a token is a byte
@@ -91,6 +115,39 @@ class _Encoder:
         if not self._memory:
             self._memory |= {"new": {}, "old": {}, "seen": np.zeros(SEEN_SLOTS, "u1"), "marked": 0}
 
+    def _prepare_plain(self, model: dict, added: dict[int, str]) -> None:
+        """Sets ``_plain``, the test of a piece, where the model needs no pattern for it."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        byte_of = _alphabet()
+        if (
+            model.get("type") != "BPE"
+            or any(model.get(k) for k in ("dropout", "ignore_merges", "byte_fallback", "unk_token"))
+            or any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix"))
+            or not byte_of.keys() <= model["vocab"].keys()
+        ):
+            return
+        can_stand = re.compile(PLAIN_BYTES).fullmatch
+        undivided = re.compile(UNDIVIDED_BYTES).fullmatch
+        leads = np.zeros(max(model["vocab"].values()) + 1, "?")
+        for token, number in model["vocab"].items():
+            # Tokens with other characters than the alphabet's come from no text.
+            raw = bytes([byte_of.get(letter, 0) for letter in token])
+            if not undivided(raw) and can_stand(raw):
+                return
+            leads[number] = raw[:1] == b" "
+        # An added token is found by the full tokenizer only.
+        firsts = {content[:1] for content in added.values()}
+        usual = "".join({c for c in map(chr, range(384)) if re.match(f"[{PLAIN}]", c)} - firsts)
+        word = f"[{re.escape(usual)}]+"
+        self._plain = re.compile(rf"{word}(?:[\t\n]{word})*[\t\n]?").fullmatch
+        self._doubt = re.compile(rf"[^{re.escape(usual)} \t\n]").search
+        self._bare = Tokenizer(self._tokenizer.model)
+        self._bare.pre_tokenizer = pre_tokenizers.ByteLevel(
+            add_prefix_space=False, use_regex=False
+        )
+        self._leads = leads
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4") for x in found]
@@ -121,6 +178,31 @@ class _Encoder:
             out += [raw[i:j] for i, j in zip(at, at[1:], strict=False)]
         return out
 
+    def _plain_of(self, pieces: set[str]) -> list[str]:
+        if self._plain is None or not pieces:
+            return []
+        # Where none is in doubt, one look at all of them is enough.
+        text = " ".join(pieces)
+        if (
+            not self._doubt(text)
+            and not any(run in text for run in ("\n\n", "\n\t", "\t\n", "\t\t"))
+            and text.count(" ") == len(pieces) - 1
+            and max(map(len, pieces)) <= PLAIN_CHARS
+        ):
+            return list(pieces)
+        return [p for p in pieces if len(p) <= PLAIN_CHARS and self._plain(p)]
+
+    def _encode_plain(self, pieces: list[str]) -> list[bytes]:
+        if not pieces:
+            return []
+        starts = range(0, len(pieces), JOINED_PIECES)
+        texts = [" " + " ".join(pieces[a : a + JOINED_PIECES]) for a in starts]
+        found = self._bare.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array([number for x in found for number in x.ids], "<u4")
+        # Spaces stand before pieces only, and a token has one at its begin only.
+        raw, at = ids.tobytes(), (4 * np.flatnonzero(self._leads[ids])).tolist()
+        return [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)]
+
     def _remember(self, pieces: list[str], coded: list[bytes]) -> None:
         memory = self._memory
         slots = np.fromiter(map(hash, pieces), "i8", len(pieces)) & (SEEN_SLOTS - 1)
@@ -138,26 +220,50 @@ class _Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if self._cut is None:
             return [ids.tobytes() for ids in self._ids(texts)]
-        pieces = [self._pieces(text) for text in texts]
-        # The first piece has no space before it; the others are known without theirs.
-        heads = self._ids([p.pop(0) for p in pieces])
-        rest = set().union(*pieces)
         new, old = self._memory["new"], self._memory["old"]
-        ids_of = {piece: new[piece] for piece in rest & new.keys()}
-        rest -= ids_of.keys()
-        kept = {piece: old[piece] for piece in rest & old.keys()}
-        new |= kept
-        ids_of |= kept
-        unknown = list(rest - kept.keys())
-        coded = self._encode_pieces(unknown)
-        ids_of.update(zip(unknown, coded, strict=True))
-        self._remember(unknown, coded)
-        get = ids_of.__getitem__
+        # Of a text's pieces only the unknown ones are kept: the others' room is used again by
+        # the next text, while it is still in the processor's cache.
+        heads, coded, gaps, rest = [], [], [], set()
+        for text in texts:
+            pieces = self._pieces(text)
+            # The first piece has no space before it; the others are known without theirs.
+            heads.append(pieces.pop(0))
+            found = list(map(new.get, pieces))
+            places = [i for i, ids in enumerate(found) if ids is None]
+            missing = [pieces[i] for i in places]
+            coded.append(found)
+            gaps.append((places, missing))
+            rest.update(missing)
+        ids_of = {piece: old[piece] for piece in rest if piece in old}
+        new |= ids_of
+        rest.difference_update(ids_of)
+        plain = self._plain_of(rest)
+        rest.difference_update(plain)
+        unknown = plain + list(rest)
+        found = self._encode_plain(plain) + self._encode_pieces(unknown[len(plain) :])
+        ids_of.update(zip(unknown, found, strict=True))
+        self._remember(unknown, found)
+        for ids, (places, missing) in zip(coded, gaps, strict=True):
+            for i, piece in zip(places, missing, strict=True):
+                ids[i] = ids_of[piece]
         return [
-            head.tobytes() + b"".join(map(get, p)) for head, p in zip(heads, pieces, strict=True)
+            head.tobytes() + b"".join(ids)
+            for head, ids in zip(self._ids(heads), coded, strict=True)
         ]
 
 
+def _encoder(path: str) -> _Encoder:
+    """The worker's encoder for the file as it is now: reading it takes as long as encoding a
+    megabyte."""
+    state = os.stat(path)
+    made = worker_cache(f"encoder of {path}")
+    key = (state.st_mtime_ns, state.st_size)
+    if made.get("key") != key:
+        worker_cache(f"pieces of {path}").clear()
+        made |= {"encoder": _Encoder(path), "key": key}
+    return made["encoder"]
+
+
 def _chunks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
     begin = size = 0
     for i, text in enumerate(texts):
@@ -171,7 +277,7 @@ def _chunks(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = _Encoder(path), 0
+        encoder, start = _encoder(path), 0
         part = TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         for batch in (part for whole in batches for part in slices(whole)):

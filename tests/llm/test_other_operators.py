@@ -1,5 +1,6 @@
 """Language, main text, token files and top-k search on awkward rows."""
 
+import json
 import zlib
 
 import numpy as np
@@ -278,3 +279,63 @@ def test_a_text_of_megabytes(spark):
     got = token_files.token_digests(token_files.read_tokens(spark, folder)).collect()
     crc = zlib.crc32(np.array(ids, "<u4").tobytes())
     assert sorted(map(tuple, got)) == [(1, 0, len(ids), crc), (2, len(ids), len(ids), crc)]
+
+
+KINDS = "ab zéß ſÀ ×÷ 09 .,<|> ' 's 're \n\t\r\u00a0 日本 …— _ café's Ünïcödé %%% ° \x1f ½ ğ £".split(" ")
+
+
+def test_plain_pieces_equal_the_tokenizer(monkeypatch):
+    """Texts of all kinds of characters, with few and with many spaces."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "worker_cache", lambda name: {})
+    path = token_files.tokenizer_path()
+    encoder, tokenizer = token_files._Encoder(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(7)
+    signs = [" "] * 12 + list("".join(KINDS)) + KINDS + ["the", "ing", "<|endoftext|>", "x" * 250]
+    for _ in range(60):
+        texts = ["".join(rng.choice(signs, int(rng.integers(0, 120)))) for _ in range(20)]
+        expected = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == expected
+
+
+def test_new_plain_pieces_go_without_the_pattern(monkeypatch):
+    monkeypatch.setattr(token_files, "worker_cache", lambda name: {})
+    encoder = token_files._Encoder(token_files.tokenizer_path())
+    through = []
+    whole = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: through.extend(texts) or whole(texts))
+    encoder(["first second, third.\nFourth fünfte 6th <b> it's " + "x" * 300, "seven"])
+    assert sorted(" ".join(through).split()) == sorted(["first", "seven", "<b>", "it's", "x" * 300])
+
+
+def test_a_model_that_joins_kinds_keeps_its_pattern(tmp_path, monkeypatch):
+    """A vocabulary with a token of a letter and a full stop, which the pattern divides."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "worker_cache", lambda name: {})
+    spec = json.loads(Tokenizer.from_file(token_files.tokenizer_path()).to_str())
+    number = max(spec["model"]["vocab"].values()) + 2
+    spec["model"]["vocab"]["a."] = number
+    spec["model"]["merges"].insert(0, ["a", "."])
+    path = str(tmp_path / "joined.json")
+    (tmp_path / "joined.json").write_text(json.dumps(spec))
+    encoder, tokenizer = token_files._Encoder(path), Tokenizer.from_file(path)
+    texts = ["the sea. a. b.a.", "data.\nsea a.b"]
+    expected = [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == expected
+
+
+def test_a_worker_reads_a_tokenizer_once(tmp_path, monkeypatch):
+    from shutil import copyfile
+
+    caches = {}
+    monkeypatch.setattr(token_files, "worker_cache", lambda name: caches.setdefault(name, {}))
+    path = str(tmp_path / "own.json")
+    copyfile(token_files.tokenizer_path(), path)
+    first = token_files._encoder(path)
+    assert token_files._encoder(path) is first
+    first(["a b c", "a b c"])
+    (tmp_path / "own.json").write_text((tmp_path / "own.json").read_text() + " ")
+    assert token_files._encoder(path) is not first
+    assert token_files._encoder(path)._memory["new"] == {}
