@@ -448,10 +448,11 @@ class _Stream:
         sentiment: ScorerFactory | None = None,
         max_files: int | None = None,
         **options,
-    ) -> bool:
-        """Until all that is there is done, or something fails. Says whether nothing did."""
+    ) -> None:
+        """Until all that is there is done. What fails is raised: what the sinks have then is
+        no result."""
         reader = self.spark.readStream.format("parquet").schema("value binary")
-        query = start(
+        start(
             self.spark,
             StreamOptions(**self.options, **options),
             sentiment=sentiment or demo.LengthSentiment(_GAP),
@@ -460,15 +461,18 @@ class _Stream:
             wire=read_wire_files(reader, f"{self.folder}/wire", max_files),
             ready=lambda: True,
             trigger={"availableNow": True},
-        )
+        ).awaitTermination()
+
+    def fails(self, *arguments, **options) -> bool:
+        """A run that may fail, to be followed by another. Says whether it did."""
         try:
-            query.awaitTermination()
+            self.run(*arguments, **options)
         except StreamingQueryException:
-            return False
-        return True
+            return True
+        return False
 
     def done(self) -> None:
-        """Only what was delivered stays."""
+        """Only what was delivered stays. For streams whose last run did not fail."""
         for used in ("wire", "checkpoint"):
             remove(self.spark, f"{self.folder}/{used}")
 
@@ -513,7 +517,7 @@ def stream_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks = [steady, _Late(other)]
     for rest in range(2):
         stream.add(rest)
-        while not stream.run(sinks):
+        while stream.fails(sinks):
             pass
     stream.done()
     taken = [
@@ -550,7 +554,7 @@ def stream_replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream.add(0)
     stream.run([sink])
     stream.add(1)
-    if stream.run([sink], demo.Unavailable()):
+    if not stream.fails([sink], demo.Unavailable()):
         raise RuntimeError("scored without a scorer")
     stream.run([sink])
     stream.done()

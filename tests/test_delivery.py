@@ -10,6 +10,7 @@ from test_streaming import NOW, Collected, Feed
 
 from presswork import ParquetSink, StreamOptions, batch_writer, parse_articles, start
 from presswork.operators import CATEGORY, SENTIMENT
+from presswork.plans import queries
 from presswork.plans.demo import LengthSentiment, LengthTopic
 from presswork.sinks import ConsoleSink, KafkaSink
 from presswork.sources import read_articles_files, read_wire_files
@@ -280,3 +281,30 @@ def test_bounds_are_checked(spark):
     for bounds in ((1, 1), (0, None), (None, 0)):
         with pytest.raises(ValueError):
             read_wire_files(spark.readStream.format("text"), "/nowhere", *bounds)
+
+
+@pytest.mark.parametrize(
+    "name, batch",
+    [
+        *[("stream_bounded", batch) for batch in range(4)],
+        ("stream_empty_batch", 0),
+        ("stream_empty_batch", 2),
+        ("stream_replayed_batch", 0),
+        ("stream_replayed_batch", 1),
+    ],
+)
+def test_a_failed_stream_has_no_result(spark, monkeypatch, tmp_path, name, batch):
+    """The sink takes every batch but one; those it has are not the query's rows."""
+
+    class Full(ParquetSink):
+        def write(self, enriched, batch_id):
+            if batch_id == batch:
+                raise OSError("no space left")
+            super().write(enriched, batch_id)
+
+    rows = [(n, f"text {n} " * 9, f"source{n % 3}") for n in range(60)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    documents.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "ParquetSink", Full)
+    with pytest.raises(StreamingQueryException, match=rf"batch {batch}: sink 0 \(Full\)"):
+        queries.QUERIES[name](spark, str(tmp_path)).collect()
